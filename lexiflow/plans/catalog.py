@@ -116,3 +116,89 @@ def q_dedup_keep_first(spark, sf_dir):
 @query("prepare_sentences")
 def q_prepare_sentences(spark, sf_dir):
     return sentence_table(spark, sf_dir)
+
+
+# ---------------------------------------------------------------- JOB2 parts
+
+from ..operators import split as SP  # noqa: E402
+from ..sources import io as IO  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+
+SEED = 2330
+ORDER = ["doc_id", "sentence_pos"]
+CLASS = "source"
+
+
+def split_table(spark, sf_dir) -> DataFrame:
+    """JOB2 output: sentence table + fold + split."""
+    return SP.split_dataset(sentence_table(spark, sf_dir), CLASS, ORDER, seed=SEED)
+
+
+def roles():
+    return SP.fold_roles(SEED)
+
+
+@query("class_counts")
+def q_class_counts(spark, sf_dir):
+    return SP.class_counts(sentence_table(spark, sf_dir), CLASS)
+
+
+@query("stratified_kfold")
+def q_stratified_kfold(spark, sf_dir):
+    f = SP.stratified_kfold(sentence_table(spark, sf_dir), CLASS, ORDER, SP.N_FOLDS)
+    return f.select("doc_id", "sentence_pos", CLASS, SP.FOLD)
+
+
+@query("fold_roles")
+def q_fold_roles(spark, sf_dir):
+    counts = split_table(spark, sf_dir).groupBy(SP.FOLD, SP.SPLIT).agg(
+        F.count(F.lit(1)).alias("n_rows"))
+    return counts
+
+
+@query("split_dataset")
+def q_split_dataset(spark, sf_dir):
+    return split_table(spark, sf_dir).select("doc_id", "sentence_pos", CLASS, SP.FOLD, SP.SPLIT,
+                                             "sentence")
+
+
+@query("split_filter")
+def q_split_filter(spark, sf_dir):
+    return SP.split_filter(split_table(spark, sf_dir), roles(), SP.TEST, "sentence")
+
+
+@query("remaining_folds")
+def q_remaining_folds(spark, sf_dir):
+    return SP.remaining_folds(spark, split_table(spark, sf_dir), roles())
+
+
+# ------------------------------------------------------- sources and sinks
+
+@query("line_sink")
+def q_line_sink(spark, sf_dir):
+    path = scratch_path(spark, "lines")
+    IO.write_lines(split_table(spark, sf_dir), "sentence", path, SP.SPLIT)
+    return spark.read.text(path).select(SP.SPLIT, F.col("value").alias("line"))
+
+
+@query("line_scan")
+def q_line_scan(spark, sf_dir):
+    path = scratch_path(spark, "lines")
+    IO.write_lines(split_table(spark, sf_dir), "sentence", path, SP.SPLIT)
+    return IO.read_lines(spark, path).select(SP.SPLIT, "sentence")
+
+
+@query("csv_sink")
+def q_csv_sink(spark, sf_dir):
+    st = sentence_table(spark, sf_dir)
+    path = scratch_path(spark, "sentences-csv")
+    IO.write_csv(st, path)
+    return IO.read_csv(spark, path, st.schema)
+
+
+@query("csv_scan")
+def q_csv_scan(spark, sf_dir):
+    d = documents(spark, sf_dir)
+    path = scratch_path(spark, "documents-csv")
+    IO.write_csv(d, path)
+    return IO.read_csv(spark, path, d.schema)

@@ -75,3 +75,61 @@ ORACLE["dedup_keep_first"] = (
     f"{S.content_key('text')} ORDER BY conv_id, turn) AS rn FROM conversations) WHERE rn = 1")
 
 ORACLE["prepare_sentences"] = f"WITH {sentence_table_ctes()} SELECT * FROM st"
+
+
+# ---------------------------------------------------------------- JOB2 parts
+
+from .catalog import SEED  # noqa: E402
+
+
+def split_ctes(seed: int = SEED, k: int = 10, n_train: int = 7, n_val: int = 1) -> str:
+    """CTEs ending in ``sp``: sentence table + fold + split."""
+    h = S.draw_hash(seed, "'folds'", "fold", "i")
+    return (
+        sentence_table_ctes() + ", "
+        "firsts AS (SELECT source, doc_id AS fd, sentence_pos AS fp FROM (SELECT source, doc_id, "
+        "sentence_pos, row_number() OVER (PARTITION BY source ORDER BY doc_id, sentence_pos) AS rn "
+        "FROM st) WHERE rn = 1), "
+        "cnt AS (SELECT source, count(*) AS cn FROM st GROUP BY source), "
+        "cls AS (SELECT c.source, c.cn, coalesce(sum(c.cn) OVER (ORDER BY f.fd, f.fp ROWS BETWEEN "
+        "UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS a FROM cnt c JOIN firsts f USING (source)), "
+        f"q AS (SELECT source, i, ceil((a + cn - i) / {k}.0) - ceil((a - i) / {k}.0) AS quota "
+        f"FROM cls, range({k}) t(i)), "
+        "cq AS (SELECT source, i, sum(quota) OVER (PARTITION BY source ORDER BY i) AS cum FROM q), "
+        "rk AS (SELECT st.*, row_number() OVER (PARTITION BY source ORDER BY doc_id, sentence_pos) - 1 "
+        "AS r FROM st), "
+        "folded AS (SELECT rk.*, CAST((SELECT count(*) FROM cq WHERE cq.source = rk.source AND "
+        "cq.cum <= rk.r) AS INTEGER) AS fold FROM rk), "
+        f"roles AS (SELECT CAST(i AS INTEGER) AS fold, CASE WHEN rk <= {n_train} THEN 'train' "
+        f"WHEN rk <= {n_train + n_val} THEN 'validation' ELSE 'test' END AS split FROM ("
+        f"SELECT i, row_number() OVER (ORDER BY {S.md5_word(h)}, i) AS rk FROM range({k}) t(i))), "
+        "sp AS (SELECT folded.*, roles.split FROM folded JOIN roles USING (fold))"
+    )
+
+
+ORACLE["class_counts"] = (
+    f"WITH {sentence_table_ctes()} SELECT source, count(*) AS n_rows FROM st GROUP BY source")
+
+ORACLE["stratified_kfold"] = (
+    f"WITH {split_ctes()} SELECT doc_id, sentence_pos, source, fold FROM sp")
+
+ORACLE["fold_roles"] = (
+    f"WITH {split_ctes()} SELECT fold, split, count(*) AS n_rows FROM sp GROUP BY fold, split")
+
+ORACLE["split_dataset"] = (
+    f"WITH {split_ctes()} SELECT doc_id, sentence_pos, source, fold, split, sentence FROM sp")
+
+ORACLE["split_filter"] = f"WITH {split_ctes()} SELECT sentence FROM sp WHERE split = 'test'"
+
+ORACLE["remaining_folds"] = (
+    f"WITH {split_ctes()} SELECT fold, count(*) AS n_rows FROM sp "
+    "WHERE split NOT IN ('train', 'validation') GROUP BY fold")
+
+ORACLE["line_sink"] = f"WITH {split_ctes()} SELECT split, sentence AS line FROM sp"
+
+ORACLE["line_scan"] = (
+    f"WITH {split_ctes()} SELECT split, {S.strip_space('sentence')} AS sentence FROM sp")
+
+ORACLE["csv_sink"] = f"WITH {sentence_table_ctes()} SELECT * FROM st"
+
+ORACLE["csv_scan"] = "SELECT * FROM documents"
