@@ -202,3 +202,183 @@ def q_csv_scan(spark, sf_dir):
     path = scratch_path(spark, "documents-csv")
     IO.write_csv(d, path)
     return IO.read_csv(spark, path, d.schema)
+
+
+# ---------------------------------------------------------------- JOB3 parts
+
+from ..functions import draw as D  # noqa: E402
+from ..functions import typo as TY  # noqa: E402
+from ..operators import label as L  # noqa: E402
+
+LABEL = L.LabelConfig()
+BUDGET = 40  # a tighter token budget than the default, so P6 drops rows
+
+
+def test_sentences(spark, sf_dir) -> DataFrame:
+    return SP.split_filter(split_table(spark, sf_dir), roles(), SP.TEST, "sentence")
+
+
+def all_sentences(spark, sf_dir) -> DataFrame:
+    return sentence_table(spark, sf_dir).select("sentence")
+
+
+def valid_words(spark, sf_dir) -> DataFrame:
+    """One row per valid word (min 4 letters) of every sentence, with its draw key."""
+    st = sentence_table(spark, sf_dir)
+    w = st.select("doc_id", "sentence_pos", F.md5("sentence").alias("key"),
+                  F.posexplode(T.split_words(F.col("sentence"))).alias("word_pos", "word"))
+    return w.where(TY.valid_word(F.col("word"), LABEL.min_num_characters))
+
+
+def probe_draw(col_key="key", col_pos="word_pos"):
+    return D.draw_hash(LABEL.seed, F.col(col_key), "probe", F.col(col_pos))
+
+
+def _char_op(spark, sf_dir, op):
+    w = valid_words(spark, sf_dir)
+    h = probe_draw()
+    n = F.length("word").cast("long")
+    pos = D.scaled(D.word32(h, 1), n)
+    pos_s = D.scaled(D.word32(h, 1), n - 1)
+    ch = F.lit(TY.ALPHABET).substr((D.scaled(D.word32(h, 2), 26) + 1).cast("int"), F.lit(1))
+    word = F.col("word")
+    res = {"insert": lambda: TY.insert_char(word, pos, ch), "remove": lambda: TY.remove_char(word, pos),
+           "replace": lambda: TY.replace_char(word, pos, ch), "swap": lambda: TY.swap_adjacent(word, pos_s)}[op]()
+    return w.select("doc_id", "sentence_pos", "word_pos", "word", res.alias("result"))
+
+
+@query("insert_char")
+def q_insert_char(spark, sf_dir):
+    return _char_op(spark, sf_dir, "insert")
+
+
+@query("remove_char")
+def q_remove_char(spark, sf_dir):
+    return _char_op(spark, sf_dir, "remove")
+
+
+@query("replace_char")
+def q_replace_char(spark, sf_dir):
+    return _char_op(spark, sf_dir, "replace")
+
+
+@query("swap_adjacent")
+def q_swap_adjacent(spark, sf_dir):
+    return _char_op(spark, sf_dir, "swap")
+
+
+@query("generate_typo")
+def q_generate_typo(spark, sf_dir):
+    w = valid_words(spark, sf_dir)
+    t = TY.generate_typo(F.col("word"), LABEL.seed, F.col("key"), F.lit(0), F.col("word_pos"))
+    return w.select("doc_id", "sentence_pos", "word_pos", "word", t.alias("typo"))
+
+
+@query("valid_word")
+def q_valid_word(spark, sf_dir):
+    st = sentence_table(spark, sf_dir)
+    words = T.split_words(F.col("sentence"))
+    n_valid = F.size(F.filter(words, lambda w: TY.valid_word(w, LABEL.min_num_characters)))
+    return st.select("doc_id", "sentence_pos", F.size(words).alias("n_words"), n_valid.alias("n_valid"))
+
+
+@query("split_words")
+def q_split_words(spark, sf_dir):
+    st = sentence_table(spark, sf_dir)
+    return st.select("doc_id", "sentence_pos", F.size(T.split_words(F.col("sentence"))).alias("n_words"))
+
+
+@query("join_words")
+def q_join_words(spark, sf_dir):
+    st = sentence_table(spark, sf_dir)
+    return st.select("doc_id", "sentence_pos",
+                     T.join_words(T.split_words(F.col("sentence"))).alias("rejoined"))
+
+
+@query("add_prompt")
+def q_add_prompt(spark, sf_dir):
+    st = sentence_table(spark, sf_dir)
+    return st.select("doc_id", "sentence_pos", T.add_prompt(LABEL.detect_prompt, F.col("sentence")).alias("input"))
+
+
+@query("min_sentence_length")
+def q_min_sentence_length(spark, sf_dir):
+    st = sentence_table(spark, sf_dir)
+    return st.where(F.length("sentence") >= L.MIN_SENTENCE_CHARS).select("doc_id", "sentence_pos", "sentence")
+
+
+@query("portable_draw")
+def q_portable_draw(spark, sf_dir):
+    st = all_sentences(spark, sf_dir)
+    h = D.draw_hash(LABEL.seed, F.md5("sentence"), "sel")
+    return st.select("sentence", *[D.word32(h, k).alias(f"u{k}") for k in range(4)])
+
+
+def _plan(spark, sf_dir):
+    return L.plan_typos(all_sentences(spark, sf_dir), "sentence", LABEL)
+
+
+@query("bernoulli_rows")
+def q_bernoulli_rows(spark, sf_dir):
+    st = all_sentences(spark, sf_dir)
+    h = D.draw_hash(LABEL.seed, F.md5("sentence"), "sel")
+    return st.where(D.word32(h, 0) < D.threshold(LABEL.typo_probability))
+
+
+@query("weighted_count")
+def q_weighted_count(spark, sf_dir):
+    p = _plan(spark, sf_dir).where(F.col("_chosen").isNotNull())
+    return p.select("sentence", F.size("_chosen").alias("num_typo"))
+
+
+@query("sample_positions")
+def q_sample_positions(spark, sf_dir):
+    p = _plan(spark, sf_dir).where(F.col("_chosen").isNotNull())
+    return p.select("sentence", F.array_join(F.col("_chosen").cast("array<string>"), " ").alias("positions"))
+
+
+@query("mark_words")
+def q_mark_words(spark, sf_dir):
+    p = _plan(spark, sf_dir).where(F.col("_chosen").isNotNull())
+    m = TY.mark_words(F.col("_words"), F.col("_chosen"), LABEL.head_mark, LABEL.tail_mark)
+    return p.select("sentence", T.join_words(m).alias("marked"))
+
+
+@query("label_sentence")
+def q_label_sentence(spark, sf_dir):
+    return L.label_rows(all_sentences(spark, sf_dir), "sentence", LABEL)
+
+
+@query("fan_out")
+def q_fan_out(spark, sf_dir):
+    rows = L.label_rows(all_sentences(spark, sf_dir), "sentence", LABEL)
+    return rows.groupBy("sentence", "task").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("union_tasks")
+def q_union_tasks(spark, sf_dir):
+    rows = L.label_rows(all_sentences(spark, sf_dir), "sentence", LABEL)
+    return rows.groupBy("task").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("task_tag")
+def q_task_tag(spark, sf_dir):
+    rows = L.tag_tasks(L.label_rows(all_sentences(spark, sf_dir), "sentence", LABEL), LABEL)
+    return rows.select("sentence", "task", "input")
+
+
+@query("count_tokens")
+def q_count_tokens(spark, sf_dir):
+    rows = L.tag_tasks(L.label_rows(all_sentences(spark, sf_dir), "sentence", LABEL), LABEL)
+    return rows.select("input", T.count_tokens(F.col("input")).alias("num_tokens"))
+
+
+@query("token_budget")
+def q_token_budget(spark, sf_dir):
+    rows = L.tag_tasks(L.label_rows(test_sentences(spark, sf_dir), "sentence", LABEL), LABEL)
+    return L.budget_tokens(rows, BUDGET).select(*L.LABEL_COLUMNS)
+
+
+@query("label_dataset")
+def q_label_dataset(spark, sf_dir):
+    return L.label_sentences(test_sentences(spark, sf_dir), "sentence", LABEL)

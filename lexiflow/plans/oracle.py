@@ -133,3 +133,104 @@ ORACLE["line_scan"] = (
 ORACLE["csv_sink"] = f"WITH {sentence_table_ctes()} SELECT * FROM st"
 
 ORACLE["csv_scan"] = "SELECT * FROM documents"
+
+
+# ---------------------------------------------------------------- JOB3 parts
+
+from ..functions.draw import threshold  # noqa: E402
+from ..functions.typo import ALPHABET  # noqa: E402
+from . import sql_label as SL  # noqa: E402
+from .catalog import BUDGET, LABEL  # noqa: E402
+
+
+def valid_words_ctes() -> str:
+    return (sentence_table_ctes() + ", "
+            "vw0 AS (SELECT doc_id, sentence_pos, md5(sentence) AS key, string_split(sentence, ' ') AS ws "
+            "FROM st), "
+            "vw1 AS (SELECT doc_id, sentence_pos, key, CAST(unnest(range(len(ws))) AS INTEGER) AS word_pos, "
+            "unnest(ws) AS word FROM vw0), "
+            f"vw AS (SELECT * FROM vw1 WHERE {SL.valid_word('word', LABEL.min_num_characters)})")
+
+
+def _char_sql(op: str) -> str:
+    hh = S.draw_hash(LABEL.seed, "key", "probe", "word_pos")
+    n = "CAST(length(word) AS BIGINT)"
+    pos = f"({S.scaled(S.md5_word(hh, 1), n)})"
+    pos_s = f"({S.scaled(S.md5_word(hh, 1), n + ' - 1')})"
+    ch = f"substr('{ALPHABET}', CAST({S.scaled(S.md5_word(hh, 2), '26')} AS INTEGER) + 1, 1)"
+    res = {
+        "insert": f"substr(word, 1, {pos}) || {ch} || substr(word, {pos} + 1)",
+        "remove": f"substr(word, 1, {pos}) || substr(word, {pos} + 2)",
+        "replace": f"substr(word, 1, {pos}) || {ch} || substr(word, {pos} + 2)",
+        "swap": f"substr(word, 1, {pos_s}) || substr(word, {pos_s} + 2, 1) || "
+                f"substr(word, {pos_s} + 1, 1) || substr(word, {pos_s} + 3)",
+    }[op]
+    return f"WITH {valid_words_ctes()} SELECT doc_id, sentence_pos, word_pos, word, {res} AS result FROM vw"
+
+
+for _op, _key in (("insert", "insert_char"), ("remove", "remove_char"), ("replace", "replace_char"),
+                  ("swap", "swap_adjacent")):
+    ORACLE[_key] = _char_sql(_op)
+
+ORACLE["generate_typo"] = (
+    f"WITH {valid_words_ctes()} SELECT doc_id, sentence_pos, word_pos, word, "
+    f"{SL.generate_typo('word', LABEL.seed, 'key', '0', 'word_pos')} AS typo FROM vw")
+
+ORACLE["valid_word"] = (
+    f"WITH {sentence_table_ctes()} SELECT doc_id, sentence_pos, "
+    "CAST(len(string_split(sentence, ' ')) AS INTEGER) AS n_words, "
+    f"CAST(len(list_filter(string_split(sentence, ' '), lambda lw: "
+    f"{SL.valid_word('lw', LABEL.min_num_characters)})) AS INTEGER) AS n_valid FROM st")
+
+ORACLE["split_words"] = (
+    f"WITH {sentence_table_ctes()} SELECT doc_id, sentence_pos, "
+    "CAST(len(string_split(sentence, ' ')) AS INTEGER) AS n_words FROM st")
+
+ORACLE["join_words"] = (
+    f"WITH {sentence_table_ctes()} SELECT doc_id, sentence_pos, "
+    "array_to_string(string_split(sentence, ' '), ' ') AS rejoined FROM st")
+
+ORACLE["add_prompt"] = (
+    f"WITH {sentence_table_ctes()} SELECT doc_id, sentence_pos, "
+    f"{S.add_prompt(LABEL.detect_prompt, 'sentence')} AS input FROM st")
+
+ORACLE["min_sentence_length"] = (
+    f"WITH {sentence_table_ctes()} SELECT doc_id, sentence_pos, sentence FROM st "
+    "WHERE length(sentence) >= 5")
+
+_SEL = S.draw_hash(LABEL.seed, "md5(sentence)", "sel")
+ORACLE["portable_draw"] = (
+    f"WITH {sentence_table_ctes()} SELECT sentence, "
+    + ", ".join(f"{S.md5_word(_SEL, k)} AS u{k}" for k in range(4)) + " FROM st")
+
+ORACLE["bernoulli_rows"] = (
+    f"WITH {sentence_table_ctes()} SELECT sentence FROM st "
+    f"WHERE {S.md5_word(_SEL, 0)} < {threshold(LABEL.typo_probability)}")
+
+_PLAN = f"WITH {sentence_table_ctes()}, {SL.plan_ctes('st', LABEL)} "
+ORACLE["weighted_count"] = (
+    _PLAN + "SELECT sentence, CAST(len(chosen) AS INTEGER) AS num_typo FROM lab_plan WHERE chosen IS NOT NULL")
+ORACLE["sample_positions"] = (
+    _PLAN + "SELECT sentence, array_to_string(chosen, ' ') AS positions FROM lab_plan WHERE chosen IS NOT NULL")
+ORACLE["mark_words"] = (
+    _PLAN + f"SELECT sentence, array_to_string("
+    f"{SL.mark('words', 'chosen', LABEL.head_mark, LABEL.tail_mark)}, ' ') AS marked "
+    "FROM lab_plan WHERE chosen IS NOT NULL")
+
+_ROWS = f"WITH {sentence_table_ctes()}, {SL.rows_ctes('st', LABEL)} "
+ORACLE["label_sentence"] = _ROWS + "SELECT sentence, task, input, output FROM lab_rows"
+ORACLE["fan_out"] = _ROWS + "SELECT sentence, task, count(*) AS n_rows FROM lab_rows GROUP BY sentence, task"
+ORACLE["union_tasks"] = _ROWS + "SELECT task, count(*) AS n_rows FROM lab_rows GROUP BY task"
+_TAG = (f"CASE WHEN task = 0 THEN {S.add_prompt(LABEL.detect_prompt, 'input')} "
+        f"ELSE {S.add_prompt(LABEL.correct_prompt, 'input')} END")
+ORACLE["task_tag"] = _ROWS + f"SELECT sentence, task, {_TAG} AS input FROM lab_rows"
+ORACLE["count_tokens"] = (
+    _ROWS + f"SELECT input, {S.count_tokens('input')} AS num_tokens FROM "
+    f"(SELECT {_TAG} AS input FROM lab_rows)")
+
+_TEST_SRC = "test_st AS (SELECT sentence FROM sp WHERE split = 'test')"
+ORACLE["token_budget"] = (
+    f"WITH {split_ctes()}, {_TEST_SRC}, {SL.dataset_ctes('test_st', LABEL)} "
+    f"SELECT * FROM lab_all WHERE num_tokens <= {BUDGET}")
+ORACLE["label_dataset"] = (
+    f"WITH {split_ctes()}, {_TEST_SRC}, {SL.dataset_ctes('test_st', LABEL)} SELECT * FROM lab")
