@@ -20,6 +20,7 @@ from ..functions.draw import draw_hash, scaled, threshold, word32
 DETECT, CORRECT = 0, 1
 LABEL_COLUMNS = ("sentence", "input", "output", "task", "num_tokens")
 MIN_SENTENCE_CHARS = 5
+EXAMPLE_ID = "example_id"
 
 
 @dataclass(frozen=True)
@@ -100,9 +101,12 @@ def plan_typos(df: DataFrame, text_col: str, cfg: LabelConfig, key_col: str | No
 
 
 def label_rows(df: DataFrame, text_col: str = "sentence", cfg: LabelConfig = LabelConfig(),
-               key_col: str | None = None) -> DataFrame:
+               key_col: str | None = None, with_id: bool = False) -> DataFrame:
     """Unprompted label rows ``sentence, task, input, output`` (G2/G3).
 
+    ``with_id`` adds ``example_id`` = ``key:copy:task`` (copy -1 for a row
+    without typos), unique per row even when two copies come out equal.
+
     Not selected, or no valid word: one detect row (s, s, s). Otherwise
     ``data_multiple`` copies, each one detect row (s, typo, marked typo) and
     one correct row (s, marked typo, marked s); copies share positions and
@@ -114,10 +118,10 @@ def label_rows(df: DataFrame, text_col: str = "sentence", cfg: LabelConfig = Lab
     typo_words = F.transform(F.col("_words"), lambda w, i: F.when(
         F.array_contains(F.col("_chosen"), i),
         TY.generate_typo(w, cfg.seed, F.col("_key"), F.col("_copy"), i, cfg.on_exhausted)).otherwise(w))
-    typed = fanned.select("sentence", "_words", "_chosen", "_copy", typo_words.alias("_typo"))
+    typed = fanned.select("sentence", "_key", "_words", "_chosen", "_copy", typo_words.alias("_typo"))
     head, tail = cfg.head_mark, cfg.tail_mark
     marked = typed.select(
-        "sentence", "_copy",
+        "sentence", "_key", "_copy",
         T.join_words(F.col("_typo")).alias("_typo_s"),
         T.join_words(TY.mark_words(F.col("_typo"), F.col("_chosen"), head, tail)).alias("_mtypo"),
         T.join_words(TY.mark_words(F.col("_words"), F.col("_chosen"), head, tail)).alias("_mclean"),
@@ -130,7 +134,13 @@ def label_rows(df: DataFrame, text_col: str = "sentence", cfg: LabelConfig = Lab
     rows = F.when(F.col("_copy").isNull(), F.array(row(DETECT, s, s))).otherwise(F.array(
         row(DETECT, F.col("_typo_s"), F.col("_mtypo")),
         row(CORRECT, F.col("_mtypo"), F.col("_mclean"))))
-    return marked.select("sentence", F.inline(rows)).withColumn("task", F.col("task").cast("int"))
+    out = marked.select("sentence", "_key", "_copy", F.inline(rows))
+    example_id = F.concat_ws(":", F.col("_key"), F.coalesce(F.col("_copy"), F.lit(-1)).cast("string"),
+                             F.col("task").cast("string"))
+    cols = ["sentence", F.col("task").cast("int").alias("task"), "input", "output"]
+    if with_id:
+        cols.append(example_id.alias(EXAMPLE_ID))
+    return out.select(*cols)
 
 
 def tag_tasks(rows: DataFrame, cfg: LabelConfig = LabelConfig()) -> DataFrame:
@@ -147,7 +157,8 @@ def budget_tokens(rows: DataFrame, max_length: int, counter=T.count_tokens) -> D
 
 
 def label_sentences(df: DataFrame, text_col: str = "sentence", cfg: LabelConfig = LabelConfig(),
-                    key_col: str | None = None) -> DataFrame:
+                    key_col: str | None = None, with_id: bool = False) -> DataFrame:
     """JOB3 rows ``sentence, input, output, task, num_tokens`` (prompted, budgeted)."""
-    rows = tag_tasks(label_rows(df, text_col, cfg, key_col), cfg)
-    return budget_tokens(rows, cfg.max_length).select(*LABEL_COLUMNS)
+    rows = tag_tasks(label_rows(df, text_col, cfg, key_col, with_id), cfg)
+    cols = list(LABEL_COLUMNS) + ([EXAMPLE_ID] if with_id else [])
+    return budget_tokens(rows, cfg.max_length).select(*cols)

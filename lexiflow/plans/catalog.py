@@ -382,3 +382,72 @@ def q_token_budget(spark, sf_dir):
 @query("label_dataset")
 def q_label_dataset(spark, sf_dir):
     return L.label_sentences(test_sentences(spark, sf_dir), "sentence", LABEL)
+
+
+# ---------------------------------------------------------------- JOB4 parts
+
+from ..operators import encode as EN  # noqa: E402
+
+MAX_LENGTH = 128
+EVAL_BATCH = 100
+
+
+def split_sentences(spark, sf_dir, role) -> DataFrame:
+    return SP.split_filter(split_table(spark, sf_dir), roles(), role, "sentence")
+
+
+def train_vocabulary(spark, sf_dir) -> DataFrame:
+    return EN.vocabulary(split_sentences(spark, sf_dir, SP.TRAIN), "sentence")
+
+
+def labeled(spark, sf_dir, role=SP.TEST) -> DataFrame:
+    return L.label_sentences(split_sentences(spark, sf_dir, role), "sentence", LABEL, with_id=True)
+
+
+def ids_text(c) -> F.Column:
+    return F.array_join(F.transform(c, lambda v: v.cast("string")), " ")
+
+
+def encoded_pairs(spark, sf_dir, role=SP.TEST) -> DataFrame:
+    lab = labeled(spark, sf_dir, role).select(L.EXAMPLE_ID, "input", "output")
+    voc = train_vocabulary(spark, sf_dir)
+    x = EN.encode_words(lab, L.EXAMPLE_ID, "input", voc, "in_ids")
+    return EN.encode_words(x, L.EXAMPLE_ID, "output", voc, "out_ids")
+
+
+@query("vocabulary")
+def q_vocabulary(spark, sf_dir):
+    return train_vocabulary(spark, sf_dir)
+
+
+@query("vocab_encode_join")
+def q_vocab_encode_join(spark, sf_dir):
+    lab = labeled(spark, sf_dir).select(L.EXAMPLE_ID, "input")
+    enc = EN.encode_words(lab, L.EXAMPLE_ID, "input", train_vocabulary(spark, sf_dir), "ids")
+    return enc.select(L.EXAMPLE_ID, ids_text(F.col("ids")).alias("input_ids"))
+
+
+def _fixed(spark, sf_dir, role):
+    e = EN.encode_fixed(encoded_pairs(spark, sf_dir, role), "in_ids", "out_ids", MAX_LENGTH)
+    return e.select(L.EXAMPLE_ID, ids_text(F.col("input_ids")).alias("input_ids"),
+                    ids_text(F.col("attention_mask")).alias("attention_mask"),
+                    ids_text(F.col("labels")).alias("labels"))
+
+
+@query("encode_fixed")
+def q_encode_fixed(spark, sf_dir):
+    return _fixed(spark, sf_dir, SP.TEST)
+
+
+@query("encode_dataset")
+def q_encode_dataset(spark, sf_dir):
+    return _fixed(spark, sf_dir, SP.VALIDATION)
+
+
+@query("encode_longest")
+def q_encode_longest(spark, sf_dir):
+    e = EN.encode_longest(encoded_pairs(spark, sf_dir), "in_ids", "out_ids", [F.col(L.EXAMPLE_ID)],
+                          EVAL_BATCH)
+    return e.select(L.EXAMPLE_ID, "batch", ids_text(F.col("input_ids")).alias("input_ids"),
+                    ids_text(F.col("attention_mask")).alias("attention_mask"),
+                    ids_text(F.col("labels")).alias("labels"))

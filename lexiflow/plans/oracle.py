@@ -231,6 +231,77 @@ ORACLE["count_tokens"] = (
 _TEST_SRC = "test_st AS (SELECT sentence FROM sp WHERE split = 'test')"
 ORACLE["token_budget"] = (
     f"WITH {split_ctes()}, {_TEST_SRC}, {SL.dataset_ctes('test_st', LABEL)} "
-    f"SELECT * FROM lab_all WHERE num_tokens <= {BUDGET}")
+    f"SELECT sentence, input, output, task, num_tokens FROM lab_all WHERE num_tokens <= {BUDGET}")
 ORACLE["label_dataset"] = (
-    f"WITH {split_ctes()}, {_TEST_SRC}, {SL.dataset_ctes('test_st', LABEL)} SELECT * FROM lab")
+    f"WITH {split_ctes()}, {_TEST_SRC}, {SL.dataset_ctes('test_st', LABEL)} "
+    "SELECT sentence, input, output, task, num_tokens FROM lab")
+
+
+# ---------------------------------------------------------------- JOB4 parts
+
+from .catalog import EVAL_BATCH, MAX_LENGTH  # noqa: E402
+
+
+def vocab_ctes() -> str:
+    """After split_ctes: ``voc(word, freq, word_id)`` from the train split."""
+    return ("vtok AS (SELECT unnest(list_filter(string_split(sentence, ' '), lambda lw: lw <> '')) AS word "
+            "FROM sp WHERE split = 'train'), "
+            "voc AS (SELECT word, count(*) AS freq, row_number() OVER (ORDER BY count(*) DESC, word) + 2 "
+            "AS word_id FROM vtok GROUP BY word)")
+
+
+def labeled_ctes(role: str = "test") -> str:
+    return (f"{split_ctes()}, role_st AS (SELECT sentence FROM sp WHERE split = '{role}'), "
+            f"{SL.dataset_ctes('role_st', LABEL)}, {vocab_ctes()}")
+
+
+def encode_cte(name: str, col: str) -> str:
+    return (f"{name}_tok AS (SELECT example_id, unnest(range(len(t))) AS pos, unnest(t) AS word FROM "
+            f"(SELECT example_id, list_filter(string_split({col}, ' '), lambda lw: lw <> '') AS t FROM lab)), "
+            f"{name} AS (SELECT example_id, list(coalesce(word_id, 2) ORDER BY pos) AS ids "
+            f"FROM {name}_tok LEFT JOIN voc USING (word) GROUP BY example_id)")
+
+
+def pairs_cte() -> str:
+    return (encode_cte("enc_in", "input") + ", " + encode_cte("enc_out", "output") + ", "
+            "pairs AS (SELECT l.example_id, coalesce(i.ids, []) AS in_ids, coalesce(o.ids, []) AS out_ids "
+            "FROM lab l LEFT JOIN enc_in i USING (example_id) LEFT JOIN enc_out o USING (example_id))")
+
+
+def ids_text(e: str) -> str:
+    return f"array_to_string({e}, ' ')"
+
+
+ORACLE["vocabulary"] = f"WITH {split_ctes()}, {vocab_ctes()} SELECT word, freq, word_id FROM voc"
+
+ORACLE["vocab_encode_join"] = (
+    f"WITH {labeled_ctes()}, {encode_cte('enc_in', 'input')} "
+    f"SELECT l.example_id, {ids_text('coalesce(i.ids, [])')} AS input_ids FROM lab l "
+    "LEFT JOIN enc_in i USING (example_id)")
+
+
+def fixed_sql(role: str) -> str:
+    m = MAX_LENGTH
+    return (
+        f"WITH {labeled_ctes(role)}, {pairs_cte()}, "
+        f"f AS (SELECT example_id, list_concat(in_ids[1:{m - 1}], [1]) AS fin, "
+        f"list_concat(out_ids[1:{m - 1}], [1]) AS fout FROM pairs) "
+        f"SELECT example_id, {ids_text(f'list_resize(fin, {m}, 0)')} AS input_ids, "
+        f"{ids_text(f'list_transform(range({m}), lambda li: CASE WHEN li < len(fin) THEN 1 ELSE 0 END)')} "
+        f"AS attention_mask, "
+        f"{ids_text(f'list_transform(range({m}), lambda li: CASE WHEN li < len(fout) THEN fout[li + 1] ELSE -100 END)')} "
+        f"AS labels FROM f")
+
+
+ORACLE["encode_fixed"] = fixed_sql("test")
+ORACLE["encode_dataset"] = fixed_sql("validation")
+
+ORACLE["encode_longest"] = (
+    f"WITH {labeled_ctes()}, {pairs_cte()}, "
+    f"f AS (SELECT example_id, (row_number() OVER (ORDER BY example_id) - 1) // {EVAL_BATCH} AS batch, "
+    "list_concat(in_ids[1:511], [1]) AS fin, list_concat(out_ids[1:511], [1]) AS fout FROM pairs), "
+    "g AS (SELECT *, max(len(fin)) OVER (PARTITION BY batch) AS lin, "
+    "max(len(fout)) OVER (PARTITION BY batch) AS lout FROM f) "
+    f"SELECT example_id, batch, {ids_text('list_resize(fin, lin, 0)')} AS input_ids, "
+    f"{ids_text('list_transform(range(lin), lambda li: CASE WHEN li < len(fin) THEN 1 ELSE 0 END)')} "
+    f"AS attention_mask, {ids_text('list_resize(fout, lout, 0)')} AS labels FROM g")

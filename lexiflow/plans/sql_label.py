@@ -73,14 +73,14 @@ def rows_ctes(src: str, cfg: LabelConfig, text: str = "sentence") -> str:
         plan_ctes(src, cfg, text) + ", "
         f"lab_copy AS (SELECT sentence, key, words, chosen, unnest(range({cfg.data_multiple})) AS copy "
         f"FROM lab_plan WHERE chosen IS NOT NULL), "
-        f"lab_typo AS (SELECT sentence, words, chosen, {typo} AS typo FROM lab_copy), "
-        f"lab_mark AS (SELECT sentence, array_to_string(typo, ' ') AS typo_s, "
+        f"lab_typo AS (SELECT sentence, key, copy, words, chosen, {typo} AS typo FROM lab_copy), "
+        f"lab_mark AS (SELECT sentence, key, copy, array_to_string(typo, ' ') AS typo_s, "
         f"array_to_string({mark('typo', 'chosen', h, t)}, ' ') AS mtypo, "
         f"array_to_string({mark('words', 'chosen', h, t)}, ' ') AS mclean FROM lab_typo), "
-        f"lab_rows AS (SELECT sentence, CAST(0 AS INTEGER) AS task, sentence AS input, sentence AS output "
-        f"FROM lab_plan WHERE chosen IS NULL "
-        f"UNION ALL SELECT sentence, CAST(0 AS INTEGER), typo_s, mtypo FROM lab_mark "
-        f"UNION ALL SELECT sentence, CAST(1 AS INTEGER), mtypo, mclean FROM lab_mark)"
+        f"lab_rows AS (SELECT sentence, CAST(0 AS INTEGER) AS task, sentence AS input, sentence AS output, "
+        f"key || ':-1:0' AS example_id FROM lab_plan WHERE chosen IS NULL "
+        f"UNION ALL SELECT sentence, CAST(0 AS INTEGER), typo_s, mtypo, key || ':' || copy || ':0' FROM lab_mark "
+        f"UNION ALL SELECT sentence, CAST(1 AS INTEGER), mtypo, mclean, key || ':' || copy || ':1' FROM lab_mark)"
     )
 
 
@@ -90,8 +90,8 @@ def dataset_ctes(src: str, cfg: LabelConfig, text: str = "sentence") -> str:
                 f"ELSE {S.add_prompt(cfg.correct_prompt, 'input')} END")
     return (
         rows_ctes(src, cfg, text) + ", "
-        f"lab_tag AS (SELECT sentence, {prompted} AS input, output, task FROM lab_rows), "
-        f"lab_all AS (SELECT sentence, input, output, task, {S.count_tokens('input')} AS num_tokens "
-        f"FROM lab_tag), "
+        f"lab_tag AS (SELECT sentence, {prompted} AS input, output, task, example_id FROM lab_rows), "
+        f"lab_all AS (SELECT sentence, input, output, task, {S.count_tokens('input')} AS num_tokens, "
+        f"example_id FROM lab_tag), "
         f"lab AS (SELECT * FROM lab_all WHERE num_tokens <= {cfg.max_length})"
     )
