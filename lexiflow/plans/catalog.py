@@ -451,3 +451,146 @@ def q_encode_longest(spark, sf_dir):
     return e.select(L.EXAMPLE_ID, "batch", ids_text(F.col("input_ids")).alias("input_ids"),
                     ids_text(F.col("attention_mask")).alias("attention_mask"),
                     ids_text(F.col("labels")).alias("labels"))
+
+
+# ------------------------------------------------------ correction parts
+
+from ..functions import correct as FC  # noqa: E402
+from ..functions import edit as ED  # noqa: E402
+from ..operators import correct as CO  # noqa: E402
+
+CORRECT = CO.CorrectConfig()
+N_PROMPT = len(LABEL.detect_prompt.split(" "))
+
+
+@query("edit_distance")
+def q_edit_distance(spark, sf_dir):
+    t = q_generate_typo(spark, sf_dir)
+    return t.select("doc_id", "sentence_pos", "word_pos",
+                    ED.edit_distance(F.col("word"), F.col("typo")).alias("distance"))
+
+
+@query("edit_gate")
+def q_edit_gate(spark, sf_dir):
+    st = sentence_table(spark, sf_dir)
+    w = st.select("doc_id", "sentence_pos", T.split_words(F.col("sentence")).alias("ws"))
+    pairs = w.select("doc_id", "sentence_pos", "ws",
+                     F.explode(F.sequence(F.lit(0), F.size("ws") - 2)).alias("word_pos"))
+    a, b = F.get(F.col("ws"), F.col("word_pos")), F.get(F.col("ws"), F.col("word_pos") + 1)
+    pairs = pairs.select("doc_id", "sentence_pos", "word_pos", a.alias("a"), b.alias("b"))
+    pairs = pairs.where(TY.valid_word(F.col("a"), LABEL.min_num_characters)
+                        & TY.valid_word(F.col("b"), LABEL.min_num_characters))
+    return pairs.select("doc_id", "sentence_pos", "word_pos",
+                        ED.within_distance(F.col("a"), F.col("b"), CORRECT.max_edit_distance).alias("accepted"))
+
+
+def labeled_rows(spark, sf_dir) -> DataFrame:
+    return L.label_rows(test_sentences(spark, sf_dir), "sentence", LABEL, with_id=True)
+
+
+@query("strip_prompt_words")
+def q_strip_prompt_words(spark, sf_dir):
+    lab = labeled(spark, sf_dir)
+    return lab.select(L.EXAMPLE_ID, T.strip_prompt_words(F.col("input"), LABEL.detect_prompt).alias("stripped"))
+
+
+@query("extract_marked")
+def q_extract_marked(spark, sf_dir):
+    rows = labeled_rows(spark, sf_dir).where(F.col("task") == L.CORRECT)
+    ex = T.extract_marked(F.col("output"), LABEL.head_mark, LABEL.tail_mark)
+    return rows.select(L.EXAMPLE_ID, F.array_join(ex, "|").alias("corrections"))
+
+
+def _detect_pairs(spark, sf_dir):
+    rows = labeled_rows(spark, sf_dir).where((F.col("task") == L.DETECT) & (F.col("input") != F.col("output")))
+    return rows.select(L.EXAMPLE_ID,
+                       T.split_words(T.add_prompt(LABEL.detect_prompt, F.col("input"))).alias("dw"),
+                       T.split_words(F.col("output")).alias("mw"))
+
+
+def _locate(spark, sf_dir, mode):
+    p = _detect_pairs(spark, sf_dir)
+    idx = FC.locate_marked(F.col("dw"), F.col("mw"), LABEL.head_mark, LABEL.tail_mark, N_PROMPT, mode)
+    return p.select(L.EXAMPLE_ID, F.array_join(idx.cast("array<string>"), " ").alias("positions"))
+
+
+@query("locate_marked")
+def q_locate_marked(spark, sf_dir):
+    return _locate(spark, sf_dir, "position")
+
+
+@query("locate_marked_pair")
+def q_locate_marked_pair(spark, sf_dir):
+    return _locate(spark, sf_dir, "pair")
+
+
+@query("apply_corrections")
+def q_apply_corrections(spark, sf_dir):
+    """The labels play detector and corrector: detect row gives the marks,
+    the matching correct row (same copy) gives the corrections."""
+    rows = labeled_rows(spark, sf_dir)
+    pair_key = F.regexp_extract(F.col(L.EXAMPLE_ID), "^(.*):[01]$", 1)
+    d = rows.where((F.col("task") == L.DETECT) & (F.col("input") != F.col("output"))).select(
+        pair_key.alias("pair_id"), F.col("input").alias("d_in"), F.col("output").alias("d_out"))
+    c = rows.where(F.col("task") == L.CORRECT).select(pair_key.alias("pair_id"), F.col("output").alias("c_out"))
+    j = d.join(c, "pair_id")
+    dw = T.split_words(T.add_prompt(LABEL.detect_prompt, F.col("d_in")))
+    idx = FC.locate_marked(dw, T.split_words(F.col("d_out")), LABEL.head_mark, LABEL.tail_mark, N_PROMPT)
+    corr = T.extract_marked(F.col("c_out"), LABEL.head_mark, LABEL.tail_mark)
+    applied = FC.apply_corrections(dw, idx, corr, CORRECT.max_edit_distance)
+    out = T.join_words(F.slice(applied, N_PROMPT + 1, F.greatest(F.size(applied) - N_PROMPT, F.lit(0))))
+    return j.select("pair_id", out.alias("corrected"))
+
+
+def conversation_texts(spark, sf_dir) -> DataFrame:
+    conv = read_table(spark, sf_dir, "conversations")
+    return conv.select(F.concat_ws(":", "conv_id", "turn").alias("id"), "conv_id", "turn", "text")
+
+
+def conversation_words(spark, sf_dir) -> DataFrame:
+    c = conversation_texts(spark, sf_dir)
+    return c.select("id", F.posexplode(T.split_words(T.typeset_clean(F.col("text")))).alias("pos", "word"))
+
+
+def _unknown_and_targets(spark, sf_dir):
+    voc = train_vocabulary(spark, sf_dir)
+    words = conversation_words(spark, sf_dir).select("word").distinct().where(
+        TY.valid_word(F.col("word"), CORRECT.min_num_characters))
+    unknown = words.join(voc.select("word"), "word", "left_anti")
+    targets = voc.where(TY.valid_word(F.col("word"), CORRECT.min_num_characters))
+    return unknown, targets, voc
+
+
+@query("fuzzy_vocab_join")
+def q_fuzzy_vocab_join(spark, sf_dir):
+    unknown, targets, _ = _unknown_and_targets(spark, sf_dir)
+    return CO.fuzzy_vocab_join(unknown, "word", targets, "word", CORRECT.candidate_distance, "cand")
+
+
+@query("best_candidate")
+def q_best_candidate(spark, sf_dir):
+    unknown, targets, voc = _unknown_and_targets(spark, sf_dir)
+    pairs = CO.fuzzy_vocab_join(unknown, "word", targets, "word", CORRECT.candidate_distance, "cand")
+    return CO.best_candidate(pairs, "word", "cand", voc)
+
+
+@query("vocab_corrector")
+def q_vocab_corrector(spark, sf_dir):
+    return CO.word_corrections(conversation_words(spark, sf_dir), "word", train_vocabulary(spark, sf_dir), CORRECT)
+
+
+@query("correct_text")
+def q_correct_text(spark, sf_dir):
+    c = conversation_texts(spark, sf_dir)
+    out = CO.correct_table(c, "id", "text", train_vocabulary(spark, sf_dir), CORRECT)
+    return out.select("conv_id", "turn", "corrected")
+
+
+@query("correct_table")
+def q_correct_table(spark, sf_dir):
+    """JOB6 on the typo sentences of the test set, serving variant (no cleaning)."""
+    rows = labeled_rows(spark, sf_dir).where((F.col("task") == L.DETECT))
+    cfg = CO.CorrectConfig(clean=False)
+    out = CO.correct_table(rows.select(L.EXAMPLE_ID, "input"), L.EXAMPLE_ID, "input",
+                           train_vocabulary(spark, sf_dir), cfg)
+    return out.select(L.EXAMPLE_ID, "corrected")

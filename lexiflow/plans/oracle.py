@@ -305,3 +305,83 @@ ORACLE["encode_longest"] = (
     f"SELECT example_id, batch, {ids_text('list_resize(fin, lin, 0)')} AS input_ids, "
     f"{ids_text('list_transform(range(lin), lambda li: CASE WHEN li < len(fin) THEN 1 ELSE 0 END)')} "
     f"AS attention_mask, {ids_text('list_resize(fout, lout, 0)')} AS labels FROM g")
+
+
+# ------------------------------------------------------ correction parts
+
+from . import sql_correct as SC  # noqa: E402
+from .catalog import CORRECT, N_PROMPT  # noqa: E402
+
+ORACLE["edit_distance"] = (
+    f"WITH {valid_words_ctes()}, t AS (SELECT doc_id, sentence_pos, word_pos, word, "
+    f"{SL.generate_typo('word', LABEL.seed, 'key', '0', 'word_pos')} AS typo FROM vw) "
+    f"SELECT doc_id, sentence_pos, word_pos, {SC.edit_distance('word', 'typo')} AS distance FROM t")
+
+ORACLE["edit_gate"] = (
+    f"WITH {sentence_table_ctes()}, w AS (SELECT doc_id, sentence_pos, string_split(sentence, ' ') AS ws FROM st), "
+    "p AS (SELECT doc_id, sentence_pos, ws, CAST(unnest(range(len(ws) - 1)) AS INTEGER) AS word_pos FROM w), "
+    "q AS (SELECT doc_id, sentence_pos, word_pos, ws[word_pos + 1] AS a, ws[word_pos + 2] AS b FROM p) "
+    f"SELECT doc_id, sentence_pos, word_pos, {SC.within('a', 'b', CORRECT.max_edit_distance)} AS accepted FROM q "
+    f"WHERE {SL.valid_word('a', LABEL.min_num_characters)} AND {SL.valid_word('b', LABEL.min_num_characters)}")
+
+_LROWS = f"WITH {split_ctes()}, {_TEST_SRC}, {SL.rows_ctes('test_st', LABEL)} "
+
+ORACLE["strip_prompt_words"] = (
+    f"WITH {labeled_ctes()} SELECT example_id, "
+    f"{S.strip_prompt_words('input', LABEL.detect_prompt)} AS stripped FROM lab")
+
+ORACLE["extract_marked"] = (
+    _LROWS + f"SELECT example_id, array_to_string("
+    f"{S.extract_marked('output', LABEL.head_mark, LABEL.tail_mark)}, '|') AS corrections "
+    "FROM lab_rows WHERE task = 1")
+
+_DPAIRS = (_LROWS + ", dp AS (SELECT example_id, "
+           f"string_split({S.add_prompt(LABEL.detect_prompt, 'input')}, ' ') AS dw, "
+           "string_split(output, ' ') AS mw FROM lab_rows WHERE task = 0 AND input <> output) ")
+ORACLE["locate_marked"] = (
+    _DPAIRS + f"SELECT example_id, array_to_string("
+    f"{SC.locate_position('mw', LABEL.head_mark, LABEL.tail_mark, N_PROMPT)}, ' ') AS positions FROM dp")
+ORACLE["locate_marked_pair"] = (
+    _DPAIRS + f"SELECT example_id, array_to_string("
+    f"{SC.locate_pair('dw', 'mw', LABEL.head_mark, LABEL.tail_mark, N_PROMPT)}, ' ') AS positions FROM dp")
+
+ORACLE["apply_corrections"] = (
+    _LROWS + ", d AS (SELECT regexp_extract(example_id, '^(.*):[01]$', 1) AS pair_id, input AS d_in, "
+    "output AS d_out FROM lab_rows WHERE task = 0 AND input <> output), "
+    "c AS (SELECT regexp_extract(example_id, '^(.*):[01]$', 1) AS pair_id, output AS c_out FROM lab_rows "
+    "WHERE task = 1), "
+    f"j AS (SELECT pair_id, string_split({S.add_prompt(LABEL.detect_prompt, 'd_in')}, ' ') AS dw, "
+    "string_split(d_out, ' ') AS mw, "
+    f"{S.extract_marked('c_out', LABEL.head_mark, LABEL.tail_mark)} AS corr FROM d JOIN c USING (pair_id)), "
+    f"k AS (SELECT pair_id, dw, corr, {SC.locate_position('mw', LABEL.head_mark, LABEL.tail_mark, N_PROMPT)} "
+    "AS idx FROM j) "
+    f"SELECT pair_id, array_to_string({SC.apply_corrections('dw', 'idx', 'corr', CORRECT.max_edit_distance)}"
+    f"[{N_PROMPT + 1}:], ' ') AS corrected FROM k")
+
+
+def conv_words_ctes() -> str:
+    return (f"{split_ctes()}, {vocab_ctes()}, "
+            f"ctext AS (SELECT conv_id || ':' || turn AS id, conv_id, turn, {S.typeset_clean('text')} AS clean "
+            "FROM conversations), "
+            "cw AS (SELECT id, CAST(unnest(range(len(ws))) AS INTEGER) AS pos, unnest(ws) AS word FROM "
+            "(SELECT id, string_split(clean, ' ') AS ws FROM ctext)), "
+            f"{SC.corrector_ctes('cw', CORRECT)}")
+
+
+ORACLE["fuzzy_vocab_join"] = f"WITH {conv_words_ctes()} SELECT word, cand, distance FROM fz"
+ORACLE["best_candidate"] = f"WITH {conv_words_ctes()} SELECT word, best, distance FROM best"
+ORACLE["vocab_corrector"] = f"WITH {conv_words_ctes()} SELECT word, best FROM fixes"
+ORACLE["correct_text"] = (
+    f"WITH {conv_words_ctes()}, src AS (SELECT ctext.id, clean, coalesce(flags.flags, []) AS fl "
+    f"FROM ctext LEFT JOIN flags USING (id)), {SC.chain_ctes('src', CORRECT)} "
+    "SELECT conv_id, turn, corrected FROM ctext JOIN chained USING (id)")
+
+_NOCLEAN = type(CORRECT)(clean=False)
+ORACLE["correct_table"] = (
+    _LROWS + f", {vocab_ctes()}, "
+    "det AS (SELECT example_id AS id, input AS clean FROM lab_rows WHERE task = 0), "
+    "cw AS (SELECT id, CAST(unnest(range(len(ws))) AS INTEGER) AS pos, unnest(ws) AS word FROM "
+    "(SELECT id, string_split(clean, ' ') AS ws FROM det)), "
+    f"{SC.corrector_ctes('cw', _NOCLEAN)}, "
+    "src AS (SELECT det.id, clean, coalesce(flags.flags, []) AS fl FROM det LEFT JOIN flags USING (id)), "
+    f"{SC.chain_ctes('src', _NOCLEAN)} SELECT id AS example_id, corrected FROM chained")
