@@ -594,3 +594,109 @@ def q_correct_table(spark, sf_dir):
     out = CO.correct_table(rows.select(L.EXAMPLE_ID, "input"), L.EXAMPLE_ID, "input",
                            train_vocabulary(spark, sf_dir), cfg)
     return out.select(L.EXAMPLE_ID, "corrected")
+
+
+# ------------------------------------------------------ scoring parts
+
+from ..operators import score as SC  # noqa: E402
+
+STOP_TOP_K = 25  # stop list = the most frequent tokens (a top-k report by design)
+
+
+def predictions(spark, sf_dir) -> DataFrame:
+    """Test rows with M3 predictions and encoded prediction / output ids."""
+    lab = labeled(spark, sf_dir).select(L.EXAMPLE_ID, "task", "input", "output")
+    voc = train_vocabulary(spark, sf_dir)
+    pred = SC.vocab_predict(lab, L.EXAMPLE_ID, "input", "task", voc, CORRECT)
+    x = EN.encode_words(pred, L.EXAMPLE_ID, "prediction", voc, "pred_ids")
+    return EN.encode_words(x, L.EXAMPLE_ID, "output", voc, "out_ids")
+
+
+def scored(spark, sf_dir) -> DataFrame:
+    """M4: 5_test semantics (longest padding per batch, pad marker 0)."""
+    p = predictions(spark, sf_dir).withColumn("_p", F.col("pred_ids"))
+    enc = EN.encode_longest(p, "_p", "out_ids", [F.col(L.EXAMPLE_ID)], EVAL_BATCH)
+    # the generator's view is the bare prediction: start + ids + end
+    gen = SC.generated_ids(F.col("pred_ids"), MAX_LENGTH)
+    return enc.select(L.EXAMPLE_ID, "task", SC.exact_match(gen, F.col("labels"), EN.PAD_ID).alias("correct"))
+
+
+@query("batch_predict")
+def q_batch_predict(spark, sf_dir):
+    lab = labeled(spark, sf_dir).select(L.EXAMPLE_ID, "input")
+    out = SC.batch_predict(lab, "input", lambda: SC.StripPromptPredictor(N_PROMPT))
+    return out.select(L.EXAMPLE_ID, "results")
+
+
+@query("exact_match")
+def q_exact_match(spark, sf_dir):
+    """A1 with 4_train semantics: fixed padding, labels' pad marker -100."""
+    p = predictions(spark, sf_dir)
+    enc = EN.encode_fixed(p.select(L.EXAMPLE_ID, "pred_ids", "out_ids").withColumn("_p", F.col("pred_ids")),
+                          "_p", "out_ids", MAX_LENGTH)
+    gen = SC.generated_ids(F.col("pred_ids"), MAX_LENGTH)
+    return enc.select(L.EXAMPLE_ID, SC.exact_match(gen, F.col("labels"), EN.LABEL_PAD).alias("correct"))
+
+
+@query("score_test_set")
+def q_score_test_set(spark, sf_dir):
+    return scored(spark, sf_dir)
+
+
+@query("accuracy")
+def q_accuracy(spark, sf_dir):
+    return SC.accuracy(scored(spark, sf_dir), "correct", ["task"])
+
+
+@query("evaluate_dataset")
+def q_evaluate_dataset(spark, sf_dir):
+    return SC.accuracy(scored(spark, sf_dir), "correct")
+
+
+def weighted_events(spark, sf_dir) -> DataFrame:
+    ev = read_table(spark, sf_dir, "events")
+    return ev.select("event_id", "event_type", "value", (F.col("event_id") % 4 + 1).alias("n"))
+
+
+@query("weighted_mean")
+def q_weighted_mean(spark, sf_dir):
+    return SC.weighted_mean(weighted_events(spark, sf_dir), "value", "n", ["event_type"])
+
+
+@query("running_weighted_mean")
+def q_running_weighted_mean(spark, sf_dir):
+    ev = weighted_events(spark, sf_dir)
+    out = SC.running_weighted_mean(ev, "value", "n", "event_type", "event_id", block_size=1024)
+    return out.select("event_id", "event_type", "running_mean")
+
+
+def stop_words_frame(spark, sf_dir) -> DataFrame:
+    """Derived stop list: the most frequent tokens of the sentence table,
+    written as a stop-word file and scanned back (S5)."""
+    st = sentence_table(spark, sf_dir)
+    tok = st.select(F.explode(EN.tokens(F.col("sentence"))).alias("word"))
+    top = (tok.groupBy("word").agg(F.count(F.lit(1)).alias("freq"))
+           .orderBy(F.col("freq").desc(), F.col("word").asc()).limit(STOP_TOP_K))
+    path = scratch_path(spark, "stop-words")
+    IO.write_lines(top, "word", path)
+    return IO.read_stop_words(spark, path)
+
+
+@query("stop_word_scan")
+def q_stop_word_scan(spark, sf_dir):
+    return stop_words_frame(spark, sf_dir)
+
+
+@query("stop_word_anti_join")
+def q_stop_word_anti_join(spark, sf_dir):
+    w = valid_words(spark, sf_dir).select("doc_id", "sentence_pos", "word_pos", "word")
+    return CO.stop_word_anti_join(w, "word", stop_words_frame(spark, sf_dir))
+
+
+@query("prompt_config")
+def q_prompt_config(spark, sf_dir):
+    path = scratch_path(spark, "prompt-config")
+    IO.write_prompt_config(spark, path, LABEL.prompt_config())
+    cfg = IO.read_prompt_config(spark, path)
+    st = test_sentences(spark, sf_dir)
+    return st.select("sentence", T.add_prompt(cfg["detect_prompt"], F.col("sentence")).alias("input"))

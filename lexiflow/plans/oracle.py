@@ -385,3 +385,88 @@ ORACLE["correct_table"] = (
     f"{SC.corrector_ctes('cw', _NOCLEAN)}, "
     "src AS (SELECT det.id, clean, coalesce(flags.flags, []) AS fl FROM det LEFT JOIN flags USING (id)), "
     f"{SC.chain_ctes('src', _NOCLEAN)} SELECT id AS example_id, corrected FROM chained")
+
+
+# ------------------------------------------------------ scoring parts
+
+from .catalog import STOP_TOP_K  # noqa: E402
+
+
+def encode_src_cte(name: str, src: str, id_col: str, col: str) -> str:
+    return (f"{name}_tok AS (SELECT {id_col} AS eid, unnest(range(len(t))) AS pos, unnest(t) AS word FROM "
+            f"(SELECT {id_col}, list_filter(string_split({col}, ' '), lambda lw: lw <> '') AS t FROM {src})), "
+            f"{name} AS (SELECT eid, list(coalesce(word_id, 2) ORDER BY pos) AS ids "
+            f"FROM {name}_tok LEFT JOIN voc USING (word) GROUP BY eid)")
+
+
+def predict_ctes() -> str:
+    """``pe(example_id, task, pred_ids, out_ids)`` for the test set with M3 predictions."""
+    h, t = CORRECT.head_mark, CORRECT.tail_mark
+    best_at = "list_transform(list_filter(fl, lambda fb: fb.pos = li - 1), lambda fb: fb.best)[1]"
+    correct_out = (f"array_to_string(list_transform(w, lambda lw, li: CASE WHEN li - 1 > 0 AND li - 1 < len(w) - 1 "
+                   f"AND w[li - 1] = {S.lit(h)} AND w[li + 1] = {S.lit(t)} THEN coalesce({best_at}, lw) "
+                   f"ELSE lw END), ' ')")
+    detect_out = f"array_to_string({SL.mark('w', 'list_transform(fl, lambda fs: fs.pos)', h, t)}, ' ')"
+    return (
+        f"{labeled_ctes()}, "
+        f"pw AS (SELECT example_id AS id, task, output, string_split(input, ' ')[{N_PROMPT + 1}:] AS w FROM lab), "
+        "cw AS (SELECT id, CAST(unnest(range(len(w))) AS INTEGER) AS pos, unnest(w) AS word FROM pw), "
+        f"{SC.corrector_ctes('cw', CORRECT)}, "
+        "pr AS (SELECT pw.*, coalesce(flags.flags, []) AS fl FROM pw LEFT JOIN flags USING (id)), "
+        f"pred AS (SELECT id, task, output, CASE WHEN task = 0 THEN {detect_out} ELSE {correct_out} END "
+        "AS prediction FROM pr), "
+        f"{encode_src_cte('e_pred', 'pred', 'id', 'prediction')}, {encode_src_cte('e_out', 'pred', 'id', 'output')}, "
+        "pe AS (SELECT pred.id AS example_id, task, coalesce(a.ids, []) AS pred_ids, coalesce(b.ids, []) AS out_ids "
+        "FROM pred LEFT JOIN e_pred a ON a.eid = pred.id LEFT JOIN e_out b ON b.eid = pred.id)"
+    )
+
+
+def exact_match_sql(gen: str, labels: str, pad: int) -> str:
+    return (f"(len(list_filter(range(len({labels})), lambda mi: NOT ({labels}[mi + 1] = {pad} OR "
+            f"coalesce({gen}[mi + 2], 0) = {labels}[mi + 1]))) = 0)")
+
+
+_GEN = f"list_concat([0], pred_ids, [1])[1:{MAX_LENGTH}]"
+_SCORED = (f"WITH {predict_ctes()}, sc AS (SELECT example_id, task, "
+           f"{exact_match_sql(_GEN, 'list_concat(out_ids[1:511], [1])', 0)} AS correct FROM pe) ")
+
+ORACLE["batch_predict"] = (
+    f"WITH {labeled_ctes()} SELECT example_id, array_to_string(string_split(input, ' ')[{N_PROMPT + 1}:], ' ') "
+    "AS results FROM lab")
+
+_FOUT = f"list_concat(out_ids[1:{MAX_LENGTH - 1}], [1])"
+ORACLE["exact_match"] = (
+    f"WITH {predict_ctes()}, lb AS (SELECT example_id, pred_ids, "
+    f"list_transform(range({MAX_LENGTH}), lambda li: CASE WHEN li < len({_FOUT}) THEN {_FOUT}[li + 1] "
+    "ELSE -100 END) AS labels FROM pe) "
+    f"SELECT example_id, {exact_match_sql(_GEN, 'labels', -100)} AS correct FROM lb")
+
+ORACLE["score_test_set"] = _SCORED + "SELECT example_id, task, correct FROM sc"
+ORACLE["accuracy"] = (
+    _SCORED + "SELECT task, count(*) AS n_rows, sum(CAST(correct AS BIGINT)) AS n_correct, "
+    "CAST(sum(CAST(correct AS BIGINT)) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS accuracy FROM sc GROUP BY task")
+ORACLE["evaluate_dataset"] = (
+    _SCORED + "SELECT count(*) AS n_rows, sum(CAST(correct AS BIGINT)) AS n_correct, "
+    "CAST(sum(CAST(correct AS BIGINT)) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS accuracy FROM sc")
+
+_EV = ("ev AS (SELECT event_id, event_type, CAST(value AS DECIMAL(18,6)) * CAST(event_id % 4 + 1 AS DECIMAL(18,0)) "
+       "AS v, CAST(event_id % 4 + 1 AS DECIMAL(18,0)) AS n FROM events)")
+ORACLE["weighted_mean"] = (
+    f"WITH {_EV} SELECT event_type, CAST(sum(v) AS DOUBLE) / CAST(sum(n) AS DOUBLE) AS weighted_mean "
+    "FROM ev GROUP BY event_type")
+ORACLE["running_weighted_mean"] = (
+    f"WITH {_EV} SELECT event_id, event_type, "
+    "CAST(sum(v) OVER w AS DOUBLE) / CAST(sum(n) OVER w AS DOUBLE) AS running_mean FROM ev "
+    "WINDOW w AS (PARTITION BY event_type ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
+
+_STOP_CTE = ("stop AS (SELECT word FROM (SELECT word, count(*) AS freq FROM "
+             "(SELECT unnest(list_filter(string_split(sentence, ' '), lambda lw: lw <> '')) AS word FROM st) "
+             f"GROUP BY word ORDER BY freq DESC, word LIMIT {STOP_TOP_K}))")
+ORACLE["stop_word_scan"] = (
+    f"WITH {sentence_table_ctes()}, {_STOP_CTE} SELECT {S.strip_space('word')} AS word FROM stop")
+ORACLE["stop_word_anti_join"] = (
+    f"WITH {valid_words_ctes()}, {_STOP_CTE} "
+    "SELECT doc_id, sentence_pos, word_pos, word FROM vw WHERE word NOT IN (SELECT word FROM stop)")
+ORACLE["prompt_config"] = (
+    f"WITH {split_ctes()} SELECT sentence, {S.add_prompt(LABEL.detect_prompt, 'sentence')} AS input "
+    "FROM sp WHERE split = 'test'")
