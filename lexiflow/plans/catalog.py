@@ -700,3 +700,22 @@ def q_prompt_config(spark, sf_dir):
     cfg = IO.read_prompt_config(spark, path)
     st = test_sentences(spark, sf_dir)
     return st.select("sentence", T.add_prompt(cfg["detect_prompt"], F.col("sentence")).alias("input"))
+
+
+# ------------------------------------------------------ streaming
+
+from ..streaming import correct_stream as CS  # noqa: E402
+
+
+@query("stream_correct")
+def q_stream_correct(spark, sf_dir):
+    """ST1 over the conversations file as a stream; equals ``correct_text``."""
+    conv = read_table(spark, sf_dir, "conversations")
+    voc = CS.materialize(train_vocabulary(spark, sf_dir), scratch_path(spark, "vocabulary"))
+    sink, ckpt = scratch_path(spark, "stream-sink"), scratch_path(spark, "stream-ckpt")
+    src = conv.select("conv_id", "turn", "text")
+    keyed_schema = src.schema
+    CS.stream_correct(spark, sf_dir, keyed_schema, "id", "text", voc, sink, ckpt, CORRECT,
+                      keep_cols=("conv_id", "turn"), glob="conversations.parquet",
+                      id_expr=F.concat_ws(":", "conv_id", "turn"))
+    return spark.read.parquet(sink).select("conv_id", "turn", "corrected")

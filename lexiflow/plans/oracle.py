@@ -470,3 +470,5 @@ ORACLE["stop_word_anti_join"] = (
 ORACLE["prompt_config"] = (
     f"WITH {split_ctes()} SELECT sentence, {S.add_prompt(LABEL.detect_prompt, 'sentence')} AS input "
     "FROM sp WHERE split = 'test'")
+
+ORACLE["stream_correct"] = ORACLE["correct_text"]
