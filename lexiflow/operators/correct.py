@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..functions import correct as C
 from ..functions import text as T
 from ..functions import typo as TY
+from ..session import write_table
 
 # Unknown-word tables up to this many rows are broadcast into the per-word
 # lookup; larger ones are shuffle-joined.
@@ -116,7 +117,9 @@ def word_flags(df: DataFrame, id_col: str, words_col: str, vocab: DataFrame, cfg
     """
     ex = df.select(id_col, F.posexplode(F.col(words_col)).alias("pos", "word"))
     ex = ex.where(TY.valid_word(F.col("word"), cfg.min_num_characters))
-    fixes = word_corrections(ex, "word", vocab, cfg)
+    # written once: the size check and the lookup then read files instead of
+    # running the fuzzy join twice
+    fixes = write_table(word_corrections(ex, "word", vocab, cfg), "word-fixes")
     hits = ex.join(_small(fixes), "word")
     flags = hits.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("pos", "best"))).alias("_flags"))
     out = df.join(flags, id_col, "left")

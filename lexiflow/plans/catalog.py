@@ -122,16 +122,21 @@ def q_prepare_sentences(spark, sf_dir):
 
 from ..operators import split as SP  # noqa: E402
 from ..sources import io as IO  # noqa: E402
-from ..session import scratch_path  # noqa: E402
+from ..session import scratch_path, write_table  # noqa: E402
 
 SEED = 2330
 ORDER = ["doc_id", "sentence_pos"]
 CLASS = "source"
 
 
+def stored_sentences(spark, sf_dir) -> DataFrame:
+    """JOB1 output written once (step boundary): JOB2 reads it three times."""
+    return write_table(sentence_table(spark, sf_dir), "sentences")
+
+
 def split_table(spark, sf_dir) -> DataFrame:
     """JOB2 output: sentence table + fold + split."""
-    return SP.split_dataset(sentence_table(spark, sf_dir), CLASS, ORDER, seed=SEED)
+    return SP.split_dataset(stored_sentences(spark, sf_dir), CLASS, ORDER, seed=SEED)
 
 
 def roles():
@@ -145,7 +150,7 @@ def q_class_counts(spark, sf_dir):
 
 @query("stratified_kfold")
 def q_stratified_kfold(spark, sf_dir):
-    f = SP.stratified_kfold(sentence_table(spark, sf_dir), CLASS, ORDER, SP.N_FOLDS)
+    f = SP.stratified_kfold(stored_sentences(spark, sf_dir), CLASS, ORDER, SP.N_FOLDS)
     return f.select("doc_id", "sentence_pos", CLASS, SP.FOLD)
 
 
@@ -401,7 +406,10 @@ def train_vocabulary(spark, sf_dir) -> DataFrame:
 
 
 def labeled(spark, sf_dir, role=SP.TEST) -> DataFrame:
-    return L.label_sentences(split_sentences(spark, sf_dir, role), "sentence", LABEL, with_id=True)
+    """JOB3 output for one split, written once (encoding and scoring read it
+    in several branches)."""
+    lab = L.label_sentences(split_sentences(spark, sf_dir, role), "sentence", LABEL, with_id=True)
+    return write_table(lab, f"labeled-{role}")
 
 
 def ids_text(c) -> F.Column:

@@ -11,7 +11,7 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app_name: str = "lexiflow") -> SparkSession:
+              app_name: str = "lexiflow", conf: dict[str, str] | None = None) -> SparkSession:
     """Session with AQE on and the UI off.
 
     On a cluster, call with no arguments: master, partitions and the checkpoint
@@ -31,6 +31,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    for k, v in (conf or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
@@ -65,3 +67,14 @@ def _count():
 
 
 _counter = _count()
+
+
+def write_table(df, name: str):
+    """Write ``df`` as parquet under the shared checkpoint folder and read it
+    back: a step boundary that cuts lineage, so a result used by several
+    branches of a later plan is computed once, and a lost executor re-reads
+    files instead of recomputing the steps before."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
