@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..functions import correct as C
 from ..functions import text as T
 from ..functions import typo as TY
+from ..functions.util import let
 from ..session import write_table
 
 # Unknown-word tables up to this many rows are broadcast into the per-word
@@ -140,11 +141,14 @@ def correct_output(words: Column, flags: Column, cfg: CorrectConfig) -> Column:
     """What a corrector returns: marked words replaced by their best candidate
     (kept when there is none)."""
     h, t = cfg.head_mark, cfg.tail_mark
-    n = F.size(words)
-    fixed = F.transform(words, lambda w, i: F.when(
-        (F.get(words, i - 1) == h) & (F.get(words, i + 1) == t) & (i > 0) & (i < n - 1),
-        F.coalesce(_best_at(flags, i), w)).otherwise(w))
-    return T.join_words(fixed)
+
+    def fix(ws, fl):
+        n = F.size(ws)
+        return F.transform(ws, lambda w, i: F.when(
+            (F.get(ws, i - 1) == h) & (F.get(ws, i + 1) == t) & (i > 0) & (i < n - 1),
+            F.coalesce(_best_at(fl, i), w)).otherwise(w))
+
+    return T.join_words(let(words, lambda ws: let(flags, lambda fl: fix(ws, fl))))
 
 
 def correct_table(df: DataFrame, id_col: str, text_col: str, vocab: DataFrame,
