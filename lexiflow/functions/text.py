@@ -1,39 +1,22 @@
 """Text scalar functions as Spark Column expressions.
 
-Regular expressions here avoid look-around and the engine-dependent classes
-``\\s``/``\\w``; they spell out their character classes so the same pattern
-means the same thing in Java regex and in RE2.
+Regular expressions avoid the engine-dependent classes ``\\s``/``\\w`` and
+spell out their character classes, so a pattern means the same in Java regex
+and in RE2 (the SQL twins). The one Java-only pattern (the period rule, which
+uses look-around for speed) has an RE2 twin with the same effect.
 """
 
 from __future__ import annotations
 
-import sys
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _char_class_body(pred) -> str:
-    """Regex class body (``\\x{..}`` ranges) of all code points where pred holds."""
-    spans, start, prev = [], None, None
-    for cp in range(sys.maxunicode + 1):
-        if pred(chr(cp)):
-            if start is None:
-                start = cp
-            elif cp != prev + 1:
-                spans.append((start, prev))
-                start = cp
-            prev = cp
-    if start is not None:
-        spans.append((start, prev))
-    return "".join(
-        f"\\x{{{a:x}}}" if a == b else f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in spans
-    )
-
-
-# Whitespace as Python's str.isspace()/str.strip()/re's \s see it, derived from
-# Python's own Unicode tables rather than listed by hand.
-SPACE_CLASS = "[" + _char_class_body(str.isspace) + "]"
+# Whitespace as Python's str.isspace()/str.strip()/re's \s see it: Unicode
+# category Z plus \t-\r, \x1c-\x1f and \x85 (the identity is checked against
+# Python's own tables in the tests). A category test is one lookup per
+# character in Java; a long list of ranges is several.
+SPACE_CLASS = "[\\p{Z}\\t-\\r\\x{1c}-\\x{1f}\\x{85}]"
 SPACE_RUN = SPACE_CLASS + "+"
 STRIP_PATTERN = "^" + SPACE_RUN + "|" + SPACE_RUN + "\\z"
 
@@ -76,14 +59,22 @@ def typeset_clean(c: Column) -> Column:
     """
     t = newline_to_space(c)
     t = F.regexp_replace(t, "([" + _escape_class(PAD_PUNCTUATION) + "])", " $1 ")
-    t = F.regexp_replace(t, _PERIOD_PATTERN, "$1 .$2")
+    t = F.regexp_replace(t, _PERIOD_PATTERN_JAVA, " .")
     t = F.regexp_replace(t, SPACE_RUN, " ")
     return F.regexp_replace(t, "^ | \\z", "")
 
 
+# The period rule, consuming its neighbours (RE2 has no look-around; used by
+# the SQL twin) ...
 _PERIOD_PATTERN = (
     "([^0-9" + SPACE_CLASS[1:-1] + "])\\.(" + SPACE_CLASS + "|\\z)"
 )
+# ... and the same rule for Java, anchored on the literal period so the
+# classes are tested only at periods. Equivalent: a consumed neighbour can
+# never be a period that the rule would rewrite itself.
+_PERIOD_PATTERN_JAVA = (
+    "\\.(?<=[^0-9" + SPACE_CLASS[1:-1] + "]\\.)(?=" + SPACE_CLASS + "|\\z)"
+)
 
 
 def _escape_class(chars: str) -> str:
@@ -157,5 +148,6 @@ def extract_marked(c: Column, head: str, tail: str) -> Column:
 
 
 def marked_pattern(head: str, tail: str) -> str:
-    # ``[^\n]`` is Python's ``.``; Java's ``.`` would also stop at \r,  , ...
+    # ``[^\\n]`` is Python's ``.``: Java's ``.`` would also stop at \\r and
+    # other line separators.
     return quote_regex(head) + SPACE_CLASS + "([^\\n]+?)" + SPACE_CLASS + quote_regex(tail)

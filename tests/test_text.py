@@ -72,3 +72,21 @@ def test_strip_prompt_and_count_tokens(spark):
     assert _col(spark, vals, lambda c: T.strip_prompt_words(c, "detect typo:")) == [
         " ".join(v.split(" ")[2:]) for v in vals]
     assert _col(spark, vals, T.count_tokens) == [len([w for w in v.split(" ") if w]) + 1 for v in vals]
+
+
+def test_space_class_is_python_whitespace(spark):
+    """The category-based class equals str.isspace() over all code points."""
+    import sys
+    spaces = [chr(c) for c in range(sys.maxunicode + 1) if chr(c).isspace()]
+    near = ["​", "᠎", "﻿", "a", "_", "\x1b", "\x20"]
+    df = spark.createDataFrame([(ch,) for ch in spaces + near], "c string")
+    got = {r[0]: r[1] for r in df.select("c", F.col("c").rlike("^" + T.SPACE_CLASS + "$")).collect()}
+    assert all(got[ch] == ch.isspace() for ch in spaces + near)
+
+
+def test_period_rule_java_equals_re2_form(spark):
+    vals = ["a.. b", "x. y.", "2. z.", "end.", "a. b", "..", "a.　.", "3.5 x.5"]
+    df = spark.createDataFrame([(v,) for v in vals], "s string")
+    java = [r[0] for r in df.select(F.regexp_replace("s", T._PERIOD_PATTERN_JAVA, " .")).collect()]
+    re2 = [r[0] for r in df.select(F.regexp_replace("s", T._PERIOD_PATTERN, "$1 .$2")).collect()]
+    assert java == re2
