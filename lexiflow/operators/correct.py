@@ -27,10 +27,10 @@ BROADCAST_MAX_ROWS = 2_000_000
 
 
 def stop_word_anti_join(words: DataFrame, word_col: str, stop_words: DataFrame) -> DataFrame:
-    """Rows whose word is not a stop word. The stop list is a small file; it is
-    broadcast (its size is checked by the caller via ``stop_word_list``)."""
+    """Rows whose word is not a stop word. A stop list within
+    ``BROADCAST_MAX_ROWS`` (checked) is broadcast; a larger one is shuffle-joined."""
     stop = stop_words.select(F.col("word").alias(word_col)).distinct()
-    return words.join(F.broadcast(stop), word_col, "left_anti")
+    return words.join(_small(stop), word_col, "left_anti")
 
 
 def delete_variants(w: Column, max_deletes: int) -> Column:
