@@ -19,7 +19,7 @@ from ..functions import correct as C
 from ..functions import text as T
 from ..functions import typo as TY
 from ..functions.util import let
-from ..session import write_table
+from ..session import spread_keys, write_table
 
 # Unknown-word tables up to this many rows are broadcast into the per-word
 # lookup; larger ones are shuffle-joined.
@@ -55,15 +55,19 @@ def fuzzy_vocab_join(left: DataFrame, left_col: str, right: DataFrame, right_col
     on the right, so every matched pair is a true result; duplicates of a pair
     (several shared variants) collapse in a partial aggregate.
     """
-    lw = left.select(F.col(left_col).alias("_l")).distinct()
-    rw = right.select(F.col(right_col).alias("_r")).distinct()
+    lw = spread_keys(left.select(F.col(left_col).alias("_l")).distinct(), "_l")
+    rw = spread_keys(right.select(F.col(right_col).alias("_r")).distinct(), "_r")
     lv = lw.select("_l", F.explode(delete_variants(F.col("_l"), max_distance)).alias("_v"))
     lv = lv.select("_l", "_v", (F.length("_l") - F.length("_v")).alias("_dl"))
     lv = lv.select("_l", "_v", "_dl", F.explode(F.sequence(F.lit(0), F.lit(max_distance) - F.col("_dl")))
                    .alias("_dr"))
     rv = rw.select("_r", F.explode(delete_variants(F.col("_r"), max_distance)).alias("_v"))
     rv = rv.select("_r", "_v", (F.length("_r") - F.length("_v")).alias("_dr"))
-    pairs = lv.join(rv, ["_v", "_dr"])
+    # Catalyst sizes an explode by its input, so both variant tables look tiny
+    # and would be broadcast although they hold dozens of rows per word. The
+    # merge hint keeps this a shuffled join whose size is bounded per key
+    # (AQE still splits hot variant keys).
+    pairs = lv.hint("merge").join(rv, ["_v", "_dr"])
     best = pairs.groupBy("_l", "_r").agg(F.min(F.col("_dl") + F.col("_dr")).alias("distance"))
     return best.select(F.col("_l").alias(left_col), F.col("_r").alias(right_out),
                        F.col("distance").cast("int").alias("distance"))

@@ -7,13 +7,16 @@ column names and integer widths agree between the two.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import prepare as P
+from ..session import spread
 from ..sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,15 +25,45 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CUSTOM_HEADER = "ation" + T.WORD_CLASS + "* ,"
 
 
+# Step outputs of the running query call: a step used by several branches of
+# one query (JOB1 sentences, the split, the labelled set, the vocabulary) is
+# built and written once per call, not once per branch. Nothing is kept
+# between calls.
+_STEPS: ContextVar[dict | None] = ContextVar("lexiflow_steps", default=None)
+
+
 def query(name: str):
     def deco(fn):
-        QUERIES[name] = fn
-        return fn
+        @functools.wraps(fn)
+        def run(spark, sf_dir):
+            if _STEPS.get() is not None:  # called from inside another query
+                return fn(spark, sf_dir)
+            token = _STEPS.set({})
+            try:
+                return fn(spark, sf_dir)
+            finally:
+                _STEPS.reset(token)
+        QUERIES[name] = run
+        return run
     return deco
 
 
+def step(fn):
+    """Memoise ``fn(spark, sf_dir, *args)`` for the duration of one query call."""
+    @functools.wraps(fn)
+    def run(spark, sf_dir, *args):
+        steps = _STEPS.get()
+        if steps is None:
+            return fn(spark, sf_dir, *args)
+        key = (fn.__name__, sf_dir, *args)
+        if key not in steps:
+            steps[key] = fn(spark, sf_dir, *args)
+        return steps[key]
+    return run
+
+
 def documents(spark, sf_dir) -> DataFrame:
-    return read_table(spark, sf_dir, "documents")
+    return spread(read_table(spark, sf_dir, "documents"))
 
 
 def cleaned_documents(spark, sf_dir) -> DataFrame:
@@ -44,6 +77,7 @@ def document_sentences(spark, sf_dir) -> DataFrame:
     return P.explode_sentences(cleaned_documents(spark, sf_dir), "text")
 
 
+@step
 def sentence_table(spark, sf_dir) -> DataFrame:
     """JOB1 output on ``documents``: the input of every later step."""
     return P.prepare_sentences(documents(spark, sf_dir), "text", ["doc_id"])
@@ -129,11 +163,13 @@ ORDER = ["doc_id", "sentence_pos"]
 CLASS = "source"
 
 
+@step
 def stored_sentences(spark, sf_dir) -> DataFrame:
     """JOB1 output written once (step boundary): JOB2 reads it three times."""
     return write_table(sentence_table(spark, sf_dir), "sentences")
 
 
+@step
 def split_table(spark, sf_dir) -> DataFrame:
     """JOB2 output: sentence table + fold + split."""
     return SP.split_dataset(stored_sentences(spark, sf_dir), CLASS, ORDER, seed=SEED)
@@ -401,10 +437,12 @@ def split_sentences(spark, sf_dir, role) -> DataFrame:
     return SP.split_filter(split_table(spark, sf_dir), roles(), role, "sentence")
 
 
+@step
 def train_vocabulary(spark, sf_dir) -> DataFrame:
     return EN.vocabulary(split_sentences(spark, sf_dir, SP.TRAIN), "sentence")
 
 
+@step
 def labeled(spark, sf_dir, role=SP.TEST) -> DataFrame:
     """JOB3 output for one split, written once (encoding and scoring read it
     in several branches)."""
@@ -492,6 +530,7 @@ def q_edit_gate(spark, sf_dir):
                         ED.within_distance(F.col("a"), F.col("b"), CORRECT.max_edit_distance).alias("accepted"))
 
 
+@step
 def labeled_rows(spark, sf_dir) -> DataFrame:
     return L.label_rows(test_sentences(spark, sf_dir), "sentence", LABEL, with_id=True)
 
@@ -551,7 +590,7 @@ def q_apply_corrections(spark, sf_dir):
 
 
 def conversation_texts(spark, sf_dir) -> DataFrame:
-    conv = read_table(spark, sf_dir, "conversations")
+    conv = spread(read_table(spark, sf_dir, "conversations"))
     return conv.select(F.concat_ws(":", "conv_id", "turn").alias("id"), "conv_id", "turn", "text")
 
 
@@ -678,6 +717,7 @@ def q_running_weighted_mean(spark, sf_dir):
     return out.select("event_id", "event_type", "running_mean")
 
 
+@step
 def stop_words_frame(spark, sf_dir) -> DataFrame:
     """Derived stop list: the most frequent tokens of the sentence table,
     written as a stop-word file and scanned back (S5)."""

@@ -6,6 +6,7 @@ import os
 import tempfile
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -78,3 +79,35 @@ def write_table(df, name: str):
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def spread(df):
+    """Spread a scan that arrived in fewer splits than the session has cores.
+
+    A file with one large row group is read by one task, and every per-row
+    text expression after it would run on one core. Such a scan is spread
+    round-robin over the cores before the CPU-heavy work; a scan that is
+    already wide (the normal case on a cluster) is returned as is, so no
+    shuffle is added there.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
+def spread_keys(df, key: str):
+    """Spread a small key table over ``spark.sql.shuffle.partitions`` tasks
+    before each row expands into many (delete-variants, candidate lists).
+
+    A distinct key list is small in bytes, so AQE would coalesce it into one
+    or two partitions, and the expansion would run on one core. A
+    repartition on the key itself would be dropped as redundant after the
+    distinct's own exchange (which AQE coalesces); hashing the key gives a
+    partitioning no child satisfies, so the fixed count stands.
+    """
+    return df.repartition(shuffle_partitions(df.sparkSession), F.xxhash64(key))
