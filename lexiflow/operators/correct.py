@@ -118,8 +118,11 @@ def word_flags(df: DataFrame, id_col: str, words_col: str, vocab: DataFrame, cfg
     """Per row id: ``_flags`` = sorted array of (pos, best) for unknown words.
 
     Distinct words go through the fuzzy join once; occurrences are matched to
-    the (small) unknown-word table and regrouped per row id.
+    the (small) unknown-word table and regrouped per row id. Rows are
+    hash-partitioned by id once, so the broadcast lookup, the regroup and the
+    join back run without further exchanges.
     """
+    df = df.repartition(id_col)
     ex = df.select(id_col, F.posexplode(F.col(words_col)).alias("pos", "word"))
     ex = ex.where(TY.valid_word(F.col("word"), cfg.min_num_characters))
     # written once: the size check and the lookup then read files instead of

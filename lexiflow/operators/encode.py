@@ -50,13 +50,18 @@ def encode_words(df: DataFrame, id_col: str, text_col: str, vocab: DataFrame,
 
     Explode with positions, left-join the vocabulary, regroup per row id and
     order by position. A row's group is one text, so it is bounded.
+
+    The rows are hash-partitioned by id once; the broadcast lookup keeps that
+    partitioning, so the regroup and the join back need no further exchange
+    (a second call on the result reuses it too).
     """
-    ex = df.select(id_col, F.posexplode(tokens(F.col(text_col))).alias("_pos", "word"))
+    part = df.repartition(id_col)
+    ex = part.select(id_col, F.posexplode(tokens(F.col(text_col))).alias("_pos", "word"))
     looked = ex.join(_vocab_side(vocab), "word", "left")
     pairs = F.struct("_pos", F.coalesce(F.col("word_id"), F.lit(UNK_ID)).alias("_id"))
     grouped = looked.groupBy(id_col).agg(F.array_sort(F.collect_list(pairs)).alias("_pairs"))
     ids = grouped.select(id_col, F.transform("_pairs", lambda s: s["_id"]).alias(out_col))
-    out = df.join(ids, id_col, "left")
+    out = part.join(ids, id_col, "left")
     return out.withColumn(out_col, F.coalesce(F.col(out_col), F.array().cast("array<bigint>")))
 
 

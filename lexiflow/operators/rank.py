@@ -24,7 +24,11 @@ _LOW_BITS = 33
 def global_row_number(df: DataFrame, order: Sequence[Column | str], out_col: str = "row_number",
                       n_partitions: int | None = None) -> DataFrame:
     """Add ``out_col`` = 1-based position of the row in ``order`` (ties broken
-    by the order's columns only, so make ``order`` total for a stable result)."""
+    by the order's columns only, so make ``order`` total for a stable result).
+
+    The range partitioning samples its input in a job of its own, so an input
+    that is expensive to compute should be written (or checkpointed) first.
+    """
     spark = df.sparkSession
     checkpoint_dir(spark)
     n = n_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))

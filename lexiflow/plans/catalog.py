@@ -492,7 +492,8 @@ def q_encode_dataset(spark, sf_dir):
 
 @query("encode_longest")
 def q_encode_longest(spark, sf_dir):
-    e = EN.encode_longest(encoded_pairs(spark, sf_dir), "in_ids", "out_ids", [F.col(L.EXAMPLE_ID)],
+    pairs = write_table(encoded_pairs(spark, sf_dir), "encoded-pairs")  # numbered by a range shuffle next
+    e = EN.encode_longest(pairs, "in_ids", "out_ids", [F.col(L.EXAMPLE_ID)],
                           EVAL_BATCH)
     return e.select(L.EXAMPLE_ID, "batch", ids_text(F.col("input_ids")).alias("input_ids"),
                     ids_text(F.col("attention_mask")).alias("attention_mask"),
@@ -650,13 +651,16 @@ from ..operators import score as SC  # noqa: E402
 STOP_TOP_K = 25  # stop list = the most frequent tokens (a top-k report by design)
 
 
+@step
 def predictions(spark, sf_dir) -> DataFrame:
-    """Test rows with M3 predictions and encoded prediction / output ids."""
+    """Test rows with M3 predictions and encoded prediction / output ids,
+    written once: the batch numbering after it range-partitions, and its key
+    sampling would otherwise run the whole prediction chain a second time."""
     lab = labeled(spark, sf_dir).select(L.EXAMPLE_ID, "task", "input", "output")
     voc = train_vocabulary(spark, sf_dir)
     pred = SC.vocab_predict(lab, L.EXAMPLE_ID, "input", "task", voc, CORRECT)
     x = EN.encode_words(pred, L.EXAMPLE_ID, "prediction", voc, "pred_ids")
-    return EN.encode_words(x, L.EXAMPLE_ID, "output", voc, "out_ids")
+    return write_table(EN.encode_words(x, L.EXAMPLE_ID, "output", voc, "out_ids"), "predictions")
 
 
 def scored(spark, sf_dir) -> DataFrame:
