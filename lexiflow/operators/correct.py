@@ -19,16 +19,12 @@ from ..functions import correct as C
 from ..functions import text as T
 from ..functions import typo as TY
 from ..functions.util import let
-from ..session import spread_keys, write_table
-
-# Unknown-word tables up to this many rows are broadcast into the per-word
-# lookup; larger ones are shuffle-joined.
-BROADCAST_MAX_ROWS = 2_000_000
+from ..session import broadcast_if_small, spread_keys, write_table
 
 
 def stop_word_anti_join(words: DataFrame, word_col: str, stop_words: DataFrame) -> DataFrame:
-    """Rows whose word is not a stop word. A stop list within
-    ``BROADCAST_MAX_ROWS`` (checked) is broadcast; a larger one is shuffle-joined."""
+    """Rows whose word is not a stop word. A stop list within the broadcast
+    bounds (checked) is broadcast; a larger one is shuffle-joined."""
     stop = stop_words.select(F.col("word").alias(word_col)).distinct()
     return words.join(_small(stop), word_col, "left_anti")
 
@@ -47,22 +43,31 @@ def delete_variants(w: Column, max_deletes: int) -> Column:
     return F.array_distinct(out)
 
 
-def fuzzy_vocab_join(left: DataFrame, left_col: str, right: DataFrame, right_col: str,
-                     max_distance: int, right_out: str = "cand") -> DataFrame:
+def variant_index(right: DataFrame, right_col: str, max_distance: int) -> DataFrame:
+    """The right side of the fuzzy join: ``_r, _v, _dr`` = word, one of its
+    delete-variants, deletions. It depends only on the vocabulary, so a job
+    that corrects many batches builds it once (see ``stream_correct``)."""
+    rw = spread_keys(right.select(F.col(right_col).alias("_r")).distinct(), "_r")
+    rv = rw.select("_r", F.explode(delete_variants(F.col("_r"), max_distance)).alias("_v"))
+    return rv.select("_r", "_v", (F.length("_r") - F.length("_v")).alias("_dr"))
+
+
+def fuzzy_vocab_join(left: DataFrame, left_col: str, right: DataFrame | None, right_col: str,
+                     max_distance: int, right_out: str = "cand",
+                     right_index: DataFrame | None = None) -> DataFrame:
     """All (left word, right word as ``right_out``, distance) with distance <= ``max_distance``.
 
     The left side enumerates, per variant, the deletion budgets still allowed
     on the right, so every matched pair is a true result; duplicates of a pair
-    (several shared variants) collapse in a partial aggregate.
+    (several shared variants) collapse in a partial aggregate. ``right_index``
+    (from ``variant_index`` with the same ``max_distance``) replaces ``right``.
     """
     lw = spread_keys(left.select(F.col(left_col).alias("_l")).distinct(), "_l")
-    rw = spread_keys(right.select(F.col(right_col).alias("_r")).distinct(), "_r")
     lv = lw.select("_l", F.explode(delete_variants(F.col("_l"), max_distance)).alias("_v"))
     lv = lv.select("_l", "_v", (F.length("_l") - F.length("_v")).alias("_dl"))
     lv = lv.select("_l", "_v", "_dl", F.explode(F.sequence(F.lit(0), F.lit(max_distance) - F.col("_dl")))
                    .alias("_dr"))
-    rv = rw.select("_r", F.explode(delete_variants(F.col("_r"), max_distance)).alias("_v"))
-    rv = rv.select("_r", "_v", (F.length("_r") - F.length("_v")).alias("_dr"))
+    rv = right_index if right_index is not None else variant_index(right, right_col, max_distance)
     # Catalyst sizes an explode by its input, so both variant tables look tiny
     # and would be broadcast although they hold dozens of rows per word. The
     # merge hint keeps this a shuffled join whose size is bounded per key
@@ -97,24 +102,37 @@ class CorrectConfig:
     locate_mode: str = "position"
 
 
-def word_corrections(words: DataFrame, word_col: str, vocab: DataFrame, cfg: CorrectConfig) -> DataFrame:
+def _known(vocab: DataFrame, cfg: CorrectConfig) -> DataFrame:
+    return vocab.where(F.col("freq") >= cfg.min_freq).select("word", "freq")
+
+
+def vocabulary_index(vocab: DataFrame, cfg: CorrectConfig) -> DataFrame:
+    """Delete-variant index of the correction targets (known valid words)."""
+    targets = _known(vocab, cfg).where(TY.valid_word(F.col("word"), cfg.min_num_characters))
+    return variant_index(targets, "word", cfg.candidate_distance)
+
+
+def word_corrections(words: DataFrame, word_col: str, vocab: DataFrame, cfg: CorrectConfig,
+                     index: DataFrame | None = None) -> DataFrame:
     """M3's decision per distinct word: unknown valid words with their best
-    vocabulary candidate (``best`` null when none is close enough)."""
-    known = vocab.where(F.col("freq") >= cfg.min_freq).select("word", "freq")
+    vocabulary candidate (``best`` null when none is close enough).
+    ``index``: a prebuilt ``vocabulary_index(vocab, cfg)``."""
+    known = _known(vocab, cfg)
     distinct = words.select(F.col(word_col).alias("word")).distinct().where(
         TY.valid_word(F.col("word"), cfg.min_num_characters))
     unknown = distinct.join(known.select("word"), "word", "left_anti")
-    targets = known.where(TY.valid_word(F.col("word"), cfg.min_num_characters))
-    pairs = fuzzy_vocab_join(unknown, "word", targets, "word", cfg.candidate_distance, "cand")
+    index = index if index is not None else vocabulary_index(vocab, cfg)
+    pairs = fuzzy_vocab_join(unknown, "word", None, "word", cfg.candidate_distance, "cand", right_index=index)
     best = best_candidate(pairs, "word", "cand", known)
     return unknown.join(best.select("word", "best"), "word", "left")
 
 
 def _small(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= BROADCAST_MAX_ROWS else df
+    return broadcast_if_small(df)
 
 
-def word_flags(df: DataFrame, id_col: str, words_col: str, vocab: DataFrame, cfg: CorrectConfig) -> DataFrame:
+def word_flags(df: DataFrame, id_col: str, words_col: str, vocab: DataFrame, cfg: CorrectConfig,
+               index: DataFrame | None = None) -> DataFrame:
     """Per row id: ``_flags`` = sorted array of (pos, best) for unknown words.
 
     Distinct words go through the fuzzy join once; occurrences are matched to
@@ -127,7 +145,7 @@ def word_flags(df: DataFrame, id_col: str, words_col: str, vocab: DataFrame, cfg
     ex = ex.where(TY.valid_word(F.col("word"), cfg.min_num_characters))
     # written once: the size check and the lookup then read files instead of
     # running the fuzzy join twice
-    fixes = write_table(word_corrections(ex, "word", vocab, cfg), "word-fixes")
+    fixes = write_table(word_corrections(ex, "word", vocab, cfg, index), "word-fixes")
     hits = ex.join(_small(fixes), "word")
     flags = hits.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("pos", "best"))).alias("_flags"))
     out = df.join(flags, id_col, "left")
@@ -159,18 +177,19 @@ def correct_output(words: Column, flags: Column, cfg: CorrectConfig) -> Column:
 
 
 def correct_table(df: DataFrame, id_col: str, text_col: str, vocab: DataFrame,
-                  cfg: CorrectConfig = CorrectConfig(), out_col: str = "corrected") -> DataFrame:
+                  cfg: CorrectConfig = CorrectConfig(), out_col: str = "corrected",
+                  index: DataFrame | None = None) -> DataFrame:
     """M2 over a table with M3 as detector and corrector.
 
     clean -> detect prompt -> detector -> locate marked words -> correct prompt
     -> corrector -> extract marked corrections -> gated replacement -> drop
     the prompt words. ``cfg.clean=False`` is the serving variant without the
-    cleaning step.
+    cleaning step. ``index``: a prebuilt ``vocabulary_index(vocab, cfg)``.
     """
     text = T.typeset_clean(F.col(text_col)) if cfg.clean else F.col(text_col)
     base = df.select("*", text.alias("_clean"))
     base = base.select("*", T.split_words(F.col("_clean")).alias("_words"))
-    flagged = word_flags(base, id_col, "_words", vocab, cfg)
+    flagged = word_flags(base, id_col, "_words", vocab, cfg, index)
     n_prompt = len(cfg.detect_prompt.split(" "))
     step1 = flagged.select(
         "*",

@@ -11,14 +11,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..session import broadcast_if_small
 from .rank import global_row_number
 
 PAD_ID, EOS_ID, UNK_ID = 0, 1, 2
 N_RESERVED = 3
 LABEL_PAD = -100
-# Vocabularies up to this many rows are broadcast to the lookup join; bigger
-# ones are shuffle-joined (AQE splits partitions of hot words).
-BROADCAST_MAX_ROWS = 2_000_000
 
 
 def tokens(c: Column) -> Column:
@@ -38,10 +36,9 @@ def vocabulary(df: DataFrame, text_col: str, min_freq: int = 1) -> DataFrame:
 
 
 def _vocab_side(vocab: DataFrame) -> DataFrame:
-    side = vocab.select("word", "word_id")
-    if vocab.count() <= BROADCAST_MAX_ROWS:
-        return F.broadcast(side)
-    return side
+    """The vocabulary as the lookup side: broadcast after a size check
+    (rows and bytes); a larger one is shuffle-joined (AQE splits hot words)."""
+    return broadcast_if_small(vocab.select("word", "word_id"))
 
 
 def encode_words(df: DataFrame, id_col: str, text_col: str, vocab: DataFrame,
