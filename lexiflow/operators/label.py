@@ -7,9 +7,10 @@ sentence's own row, so the plan has no Exchange and scales with the scan.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -150,15 +151,34 @@ def tag_tasks(rows: DataFrame, cfg: LabelConfig = LabelConfig()) -> DataFrame:
     return rows.withColumn("input", prompted)
 
 
+def subword_counter(load: Callable[[], Callable[[list[str]], list[int]]]) -> Callable[[Column], Column]:
+    """E1 with a user's sub-word model: a counter for ``budget_tokens``.
+
+    ``load()`` runs once per task and returns a function from a batch of texts
+    to their token counts (end token included, as the model counts it); texts
+    cross into Python as Arrow batches, other columns stay in the JVM.
+    """
+
+    @F.pandas_udf("int")
+    def _count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        count = load()
+        for s in batches:
+            yield pd.Series(count(s.tolist()), index=s.index, dtype="int32")
+
+    return lambda c: _count(c)
+
+
 def budget_tokens(rows: DataFrame, max_length: int, counter=T.count_tokens) -> DataFrame:
-    """Count tokens of ``input`` (E1) and keep rows within ``max_length`` (P6)."""
+    """Count tokens of ``input`` (E1) and keep rows within ``max_length`` (P6).
+    ``counter``: the built-in word counter, or ``subword_counter(...)``."""
     counted = rows.withColumn("num_tokens", counter(F.col("input")))
     return counted.where(F.col("num_tokens") <= max_length)
 
 
 def label_sentences(df: DataFrame, text_col: str = "sentence", cfg: LabelConfig = LabelConfig(),
-                    key_col: str | None = None, with_id: bool = False) -> DataFrame:
+                    key_col: str | None = None, with_id: bool = False,
+                    counter=T.count_tokens) -> DataFrame:
     """JOB3 rows ``sentence, input, output, task, num_tokens`` (prompted, budgeted)."""
     rows = tag_tasks(label_rows(df, text_col, cfg, key_col, with_id), cfg)
     cols = list(LABEL_COLUMNS) + ([EXAMPLE_ID] if with_id else [])
-    return budget_tokens(rows, cfg.max_length).select(*cols)
+    return budget_tokens(rows, cfg.max_length, counter).select(*cols)

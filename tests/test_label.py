@@ -72,3 +72,17 @@ def test_min_chars_guard():
     import pytest
     with pytest.raises(ValueError):
         TY.check_min_chars(1)
+
+
+def test_subword_counter_plugs_into_budget(spark, sf_dir):
+    """A user counter (here: words + end token, in Python) gives the same
+    budgeted rows as the built-in expression."""
+    def load():
+        return lambda texts: [len([w for w in t.split(" ") if w]) + 1 for t in texts]
+
+    sents = C.test_sentences(spark, sf_dir)
+    cfg = L.LabelConfig(max_length=20)
+    built_in = L.label_sentences(sents, "sentence", cfg)
+    plugged = L.label_sentences(sents, "sentence", cfg, counter=L.subword_counter(load))
+    assert built_in.count() == plugged.count() > 0
+    assert built_in.exceptAll(plugged).count() == 0
