@@ -433,8 +433,16 @@ MAX_LENGTH = 128
 EVAL_BATCH = 100
 
 
+@step
+def stored_split(spark, sf_dir) -> DataFrame:
+    """JOB2 output written once: the labelled sets and the training vocabulary
+    of one query read it in separate jobs, and the k-fold's window shuffle
+    would otherwise run for each of them."""
+    return write_table(split_table(spark, sf_dir), "split")
+
+
 def split_sentences(spark, sf_dir, role) -> DataFrame:
-    return SP.split_filter(split_table(spark, sf_dir), roles(), role, "sentence")
+    return SP.split_filter(stored_split(spark, sf_dir), roles(), role, "sentence")
 
 
 @step
@@ -533,7 +541,7 @@ def q_edit_gate(spark, sf_dir):
 
 @step
 def labeled_rows(spark, sf_dir) -> DataFrame:
-    return L.label_rows(test_sentences(spark, sf_dir), "sentence", LABEL, with_id=True)
+    return L.label_rows(split_sentences(spark, sf_dir, SP.TEST), "sentence", LABEL, with_id=True)
 
 
 @query("strip_prompt_words")
