@@ -43,13 +43,31 @@ def delete_variants(w: Column, max_deletes: int) -> Column:
     return F.array_distinct(out)
 
 
-def variant_index(right: DataFrame, right_col: str, max_distance: int) -> DataFrame:
+def variant_index(right: DataFrame, right_col: str, max_distance: int,
+                  carry: tuple[str, ...] = ()) -> DataFrame:
     """The right side of the fuzzy join: ``_r, _v, _dr`` = word, one of its
-    delete-variants, deletions. It depends only on the vocabulary, so a job
-    that corrects many batches builds it once (see ``stream_correct``)."""
-    rw = spread_keys(right.select(F.col(right_col).alias("_r")).distinct(), "_r")
-    rv = rw.select("_r", F.explode(delete_variants(F.col("_r"), max_distance)).alias("_v"))
-    return rv.select("_r", "_v", (F.length("_r") - F.length("_v")).alias("_dr"))
+    delete-variants, deletions (plus the ``carry`` columns of the word). It
+    depends only on the vocabulary, so a job that corrects many batches
+    builds it once (see ``stream_correct``)."""
+    rw = spread_keys(right.select(F.col(right_col).alias("_r"), *carry).distinct(), "_r")
+    rv = rw.select("_r", *carry, F.explode(delete_variants(F.col("_r"), max_distance)).alias("_v"))
+    return rv.select("_r", *carry, "_v", (F.length("_r") - F.length("_v")).alias("_dr"))
+
+
+def _variant_matches(left: DataFrame, left_col: str, index: DataFrame, max_distance: int) -> DataFrame:
+    """Join rows ``_l, _dl, index columns`` of left words and index words that
+    share a variant within the budget (a pair may appear once per shared
+    variant; ``_dl + _dr`` is minimal, and equals the distance, on one of them)."""
+    lw = spread_keys(left.select(F.col(left_col).alias("_l")).distinct(), "_l")
+    lv = lw.select("_l", F.explode(delete_variants(F.col("_l"), max_distance)).alias("_v"))
+    lv = lv.select("_l", "_v", (F.length("_l") - F.length("_v")).alias("_dl"))
+    lv = lv.select("_l", "_v", "_dl", F.explode(F.sequence(F.lit(0), F.lit(max_distance) - F.col("_dl")))
+                   .alias("_dr"))
+    # Catalyst sizes an explode by its input, so both variant tables look tiny
+    # and would be broadcast although they hold dozens of rows per word. The
+    # merge hint keeps this a shuffled join whose size is bounded per key
+    # (AQE still splits hot variant keys).
+    return lv.hint("merge").join(index, ["_v", "_dr"])
 
 
 def fuzzy_vocab_join(left: DataFrame, left_col: str, right: DataFrame | None, right_col: str,
@@ -62,17 +80,8 @@ def fuzzy_vocab_join(left: DataFrame, left_col: str, right: DataFrame | None, ri
     (several shared variants) collapse in a partial aggregate. ``right_index``
     (from ``variant_index`` with the same ``max_distance``) replaces ``right``.
     """
-    lw = spread_keys(left.select(F.col(left_col).alias("_l")).distinct(), "_l")
-    lv = lw.select("_l", F.explode(delete_variants(F.col("_l"), max_distance)).alias("_v"))
-    lv = lv.select("_l", "_v", (F.length("_l") - F.length("_v")).alias("_dl"))
-    lv = lv.select("_l", "_v", "_dl", F.explode(F.sequence(F.lit(0), F.lit(max_distance) - F.col("_dl")))
-                   .alias("_dr"))
     rv = right_index if right_index is not None else variant_index(right, right_col, max_distance)
-    # Catalyst sizes an explode by its input, so both variant tables look tiny
-    # and would be broadcast although they hold dozens of rows per word. The
-    # merge hint keeps this a shuffled join whose size is bounded per key
-    # (AQE still splits hot variant keys).
-    pairs = lv.hint("merge").join(rv, ["_v", "_dr"])
+    pairs = _variant_matches(left, left_col, rv.select("_r", "_v", "_dr"), max_distance)
     best = pairs.groupBy("_l", "_r").agg(F.min(F.col("_dl") + F.col("_dr")).alias("distance"))
     return best.select(F.col("_l").alias(left_col), F.col("_r").alias(right_out),
                        F.col("distance").cast("int").alias("distance"))
@@ -107,9 +116,28 @@ def _known(vocab: DataFrame, cfg: CorrectConfig) -> DataFrame:
 
 
 def vocabulary_index(vocab: DataFrame, cfg: CorrectConfig) -> DataFrame:
-    """Delete-variant index of the correction targets (known valid words)."""
+    """Delete-variant index of the correction targets (known valid words),
+    carrying each word's frequency for the candidate choice."""
     targets = _known(vocab, cfg).where(TY.valid_word(F.col("word"), cfg.min_num_characters))
-    return variant_index(targets, "word", cfg.candidate_distance)
+    return variant_index(targets, "word", cfg.candidate_distance, carry=("freq",))
+
+
+def nearest_known(left: DataFrame, left_col: str, index: DataFrame, max_distance: int) -> DataFrame:
+    """J2 + W3 in one aggregate: per left word, ``best`` = the index word
+    with the smallest distance, then the highest frequency, then the
+    smallest word; ``distance`` its distance.
+
+    Same result as ``best_candidate(fuzzy_vocab_join(...))``: the minimum over
+    all join rows takes each pair at its smallest ``_dl + _dr``, which is the
+    pair's distance. The per-word minimum is partially aggregated after the
+    join, so no (word, candidate) pair list is shuffled or materialised.
+    """
+    rows = _variant_matches(left, left_col, index, max_distance)
+    key = F.struct((F.col("_dl") + F.col("_dr")).alias("distance"), (-F.col("freq")).alias("nf"),
+                   F.col("_r").alias("c"))
+    best = rows.groupBy("_l").agg(F.min(key).alias("_b"))
+    return best.select(F.col("_l").alias(left_col), F.col("_b.c").alias("best"),
+                       F.col("_b.distance").cast("int").alias("distance"))
 
 
 def word_corrections(words: DataFrame, word_col: str, vocab: DataFrame, cfg: CorrectConfig,
@@ -122,8 +150,7 @@ def word_corrections(words: DataFrame, word_col: str, vocab: DataFrame, cfg: Cor
         TY.valid_word(F.col("word"), cfg.min_num_characters))
     unknown = distinct.join(known.select("word"), "word", "left_anti")
     index = index if index is not None else vocabulary_index(vocab, cfg)
-    pairs = fuzzy_vocab_join(unknown, "word", None, "word", cfg.candidate_distance, "cand", right_index=index)
-    best = best_candidate(pairs, "word", "cand", known)
+    best = nearest_known(unknown, "word", index, cfg.candidate_distance)
     return unknown.join(best.select("word", "best"), "word", "left")
 
 

@@ -61,3 +61,24 @@ def test_fuzzy_join_plan_has_no_pairwise_join(spark):
     left = spark.createDataFrame([("abcd",)], "word string")
     plan = CO.fuzzy_vocab_join(left, "word", left, "word", 2)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+
+
+def test_nearest_known_equals_brute_force(spark, sf_dir):
+    """J2 + W3 fused: per word the closest, then most frequent, then smallest
+    vocabulary word, as picked by brute force."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    words = (docs.select(F.explode(F.split("text", "[^A-Za-z]+")).alias("w"))
+             .where(F.length("w") >= 3).distinct().orderBy("w").limit(400))
+    ws = [r[0] for r in words.collect()]
+    freq = {w: 1 + (i * 7) % 5 for i, w in enumerate(ws)}
+    left = spark.createDataFrame([(w + "x",) for w in ws[::4]] + [(w[1:],) for w in ws[1::4]], "word string")
+    vocab = spark.createDataFrame(list(freq.items()), "word string, freq long")
+    index = CO.variant_index(vocab, "word", 2, carry=("freq",))
+    got = {r[0]: (r[1], r[2]) for r in CO.nearest_known(left, "word", index, 2).collect()}
+    want = {}
+    for (a,) in left.collect():
+        cands = [(py_distance(a, b), -freq[b], b) for b in ws if py_distance(a, b) <= 2]
+        if cands:
+            d, _, b = min(cands)
+            want[a] = (b, d)
+    assert got == want
