@@ -123,11 +123,11 @@ def broadcast_if_small(df, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int =
     """``broadcast(df)`` when its row count and string bytes are within the
     bounds, else ``df`` as is (a shuffled join; AQE handles skew there).
 
-    One aggregate pass measures rows and the length of every string column;
+    One aggregate pass measures rows and the UTF-8 bytes of every string column;
     pass a written (or otherwise cheap) ``df``, as the pass reads it once more.
     """
     strings = [f.name for f in df.schema.fields if f.dataType.typeName() == "string"]
-    chars = [F.coalesce(F.sum(F.length(c)), F.lit(0)) for c in strings]
+    chars = [F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) for c in strings]
     size = sum(chars, F.lit(0)) if chars else F.lit(0)
     n, payload = df.agg(F.count(F.lit(1)), size.cast("long")).first()
     if n <= max_rows and payload + _ROW_OVERHEAD * n <= max_bytes:
