@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.draw import py_word32
+from .rank import prefix_sum
 
 FOLD = "fold"
 SPLIT = "split"
@@ -35,16 +36,15 @@ def _quota(a, b, i: int, k: int):
 
 
 def class_table(counts: DataFrame, class_col: str, n_splits: int) -> DataFrame:
-    """Per class: cumulative fold quotas; one row per class (small)."""
+    """Per class: cumulative fold quotas; one row per class.
+
+    The class offsets (rows of all classes that appear earlier) are a
+    distributed prefix sum, so even a very large number of classes never
+    meets in one task.
+    """
     classes = counts.groupBy(class_col).agg(
         F.sum("_n").alias("_cn"), F.min("_first").alias("_cfirst"))
-    by_first = Window.orderBy("_cfirst")
-    before = by_first.rowsBetween(Window.unboundedPreceding, -1)
-    classes = classes.select(
-        class_col, "_cn",
-        F.coalesce(F.sum("_cn").over(before), F.lit(0)).alias("_a"),
-        F.max("_cn").over(Window.partitionBy()).alias("_maxn"),
-    )
+    classes = prefix_sum(classes, [F.col("_cfirst")], "_cn", "_a", max_col="_maxn")
     a, b = F.col("_a"), F.col("_a") + F.col("_cn")
     quotas = [_quota(a, b, i, n_splits) for i in range(n_splits)]
     cum = [quotas[0]]

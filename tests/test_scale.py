@@ -95,3 +95,16 @@ def test_stream_over_several_batches_equals_batch(spark, sf_dir):
     run()
     assert {os.path.basename(p) for p in glob.glob(os.path.join(sink, "epoch=*"))} == epochs
     assert spark.read.parquet(sink).count() == batch.count()
+
+
+def test_prefix_sum_matches_python(spark):
+    from lexiflow.operators.rank import prefix_sum
+
+    rows = [(i, (i * 37) % 11 + 1) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k long, v long")
+    got = {r["k"]: (r["s"], r["m"]) for r in prefix_sum(df, ["k"], "v", "s", max_col="m", n_partitions=7).collect()}
+    run, want = 0, {}
+    for k, v in sorted(rows):
+        want[k] = (run, max(v for _, v in rows))
+        run += v
+    assert got == want
