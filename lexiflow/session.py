@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -43,31 +43,42 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins. Only when it is unset (local tests) is a
-    fresh scratch folder created and registered.
+    The cluster's setting always wins. Only when it is unset on a local master
+    (tests) is a fresh scratch folder created and registered; on a cluster a
+    machine-local folder would be invisible to the other machines, so an unset
+    folder is an error there.
     """
     path = spark.conf.get(CHECKPOINT_CONF, None)
+    sc = spark.sparkContext
     if not path:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder all machines share (master {sc.master})")
         path = tempfile.mkdtemp(prefix="lexiflow-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, path)
-    spark.sparkContext.setCheckpointDir(path)
+    if sc.getCheckpointDir() is None or path not in _registered.get(sc.applicationId, ()):
+        sc.setCheckpointDir(path)
+        _registered.setdefault(sc.applicationId, set()).add(path)
     return path
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh location under the shared checkpoint folder for written tables."""
-    base = checkpoint_dir(spark)
-    return os.path.join(base, "tables", f"{name}-{os.getpid()}-{next(_counter)}")
+_registered: dict[str, set[str]] = {}
+
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh location under the shared checkpoint folder for written tables.
 
-def _count():
-    n = 0
-    while True:
-        n += 1
-        yield n
+    The application id and a random part keep two drivers that share the
+    folder (and may share a process id, as in containers) apart.
+    """
+    base = checkpoint_dir(spark).rstrip("/")
+    return f"{base}/tables/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-_counter = _count()
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a written table or folder through Hadoop's file system API."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def write_table(df, name: str):
