@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, sharding, token_count, url_reputation, warc
+from . import decontaminate, langid, log_frequency_lm, packing, quality_rules, sharding, token_count, url_reputation, warc
 from .common import read_table
 from .oracle import SQL
 
@@ -27,6 +27,24 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@query("op1_evidence_fusion")
+def op1(spark, sf_dir):
+    return langid.identify_pages(read_table(spark, sf_dir, "pages"), read_table(spark, sf_dir, "documents"))
+
+
+@query("op2_risk_controlled_rules")
+def op2(spark, sf_dir):
+    out = quality_rules.judge_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                      "base_failed", "kept", "failed_rules")
+
+
+@query("op3_log_frequency_bloom")
+def op3(spark, sf_dir):
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    return log_frequency_lm.score_documents(read_table(spark, sf_dir, "documents"), held_out)
+
+
 @query("op4_hypergeometric_shards")
 def op4(spark, sf_dir):
     out = sharding.shard_documents(read_table(spark, sf_dir, "documents"))
@@ -49,6 +67,12 @@ def op7(spark, sf_dir):
     return token_count.token_counts(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+@query("op10_simhash_windows")
+def op10(spark, sf_dir):
+    out = decontaminate.find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "item_id", "start", "n_words", "similarity")
+
+
 RULES = (
     url_reputation.Rule("allow", "org", "/"),
     url_reputation.Rule("block", "example.org", "/es/"),

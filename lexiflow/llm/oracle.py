@@ -69,3 +69,101 @@ SELECT page_id, host, path, rule,
        WHEN low > 0.4 THEN 'block' ELSE 'allow' END AS verdict
 FROM j
 """
+
+# Walks and levels as in quality_rules: 5 rules, limit 0.02 / 5, level 0.05 / (strata * 5).
+_SHARES = "[500, 400, 300, 250, 200, 150, 120, 100, 80, 60, 50, 40, 30, 20, 10, 5]"
+SQL["op2_risk_controlled_rules"] = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS text FROM documents
+), w AS (
+  SELECT rid, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+    [x for x in string_split(text, chr(10)) if regexp_matches(x, '[^\x20\x09-\x0D]')] AS lines
+  FROM d
+), g AS (
+  SELECT rid, i, words[i:i + 2] AS tri FROM (SELECT rid, words, unnest(range(1, len(words) - 1)) AS i FROM w)
+), g2 AS (
+  SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, tri) AS c FROM g) WHERE c > 1
+), r AS (
+  SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS p FROM g2) GROUP BY rid
+), f AS (
+  SELECT d.doc_id, d.stratum, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+    (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words,
+    len(lines)::BIGINT AS n_lines, length(regexp_replace(text, '[^A-Z]', '', 'g'))::BIGINT AS n_upper
+  FROM d JOIN w USING (rid) LEFT JOIN r USING (rid)
+), good AS (
+  SELECT doc_id FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1
+), rules AS (
+  SELECT * FROM (VALUES ('symbols', {_SHARES}), ('duplicate_lines', [900, 800, 700, 600] || {_SHARES}),
+    ('repeated_words', [900, 800, 700, 600] || {_SHARES}), ('upper_case', [900, 800, 700, 600] || {_SHARES}),
+    ('long_words', [30000, 25000, 20000, 18000, 16000, 14000, 12000, 11000, 10000])) t(rule, cuts)
+), cuts AS (SELECT rule, unnest(cuts) AS cut, generate_subscripts(cuts, 1) AS j FROM rules),
+m AS (
+  SELECT doc_id, stratum, rule,
+    CASE rule WHEN 'symbols' THEN n_symbols WHEN 'duplicate_lines' THEN n_dup_lines WHEN 'repeated_words' THEN n_repeat_words
+      WHEN 'upper_case' THEN n_upper ELSE word_chars END AS a,
+    CASE rule WHEN 'symbols' THEN word_chars WHEN 'duplicate_lines' THEN n_lines WHEN 'repeated_words' THEN n_words
+      WHEN 'upper_case' THEN word_chars ELSE n_words END AS b
+  FROM f CROSS JOIN rules
+), k AS (
+  SELECT stratum, rule, j, cut, count(*) AS n, count(*) FILTER (WHERE 1000 * a > cut * b) AS k
+  FROM m JOIN good USING (doc_id) JOIN cuts USING (rule) GROUP BY ALL
+), p AS (
+  SELECT stratum, rule, j, cut, CASE WHEN k >= n * (0.02 / 5) THEN 1.0 ELSE
+    list_sum([exp(lgamma(n + 1) - lgamma(x + 1) - lgamma(n - x + 1) + x * ln(0.02 / 5) + (n - x) * ln(1 - 0.02 / 5)) for x in range(k + 1)]) END AS p
+  FROM k
+), lev AS (SELECT 0.05 / (5 * count(DISTINCT stratum)) AS level FROM k),
+ff AS (SELECT stratum, rule, min(j) FILTER (WHERE p > level) AS first_fail, max(j) AS last FROM p, lev GROUP BY stratum, rule),
+chosen AS (SELECT p.stratum, p.rule, p.cut FROM p JOIN ff USING (stratum, rule) WHERE p.j = coalesce(first_fail - 1, last)),
+fails AS (
+  SELECT f.*, [x.rule for x in [
+    {{'rule': 'symbols', 'bad': (SELECT any_value(cut) FROM chosen c WHERE c.stratum = f.stratum AND c.rule = 'symbols') * word_chars < 1000 * n_symbols}},
+    {{'rule': 'duplicate_lines', 'bad': (SELECT any_value(cut) FROM chosen c WHERE c.stratum = f.stratum AND c.rule = 'duplicate_lines') * n_lines < 1000 * n_dup_lines}},
+    {{'rule': 'repeated_words', 'bad': (SELECT any_value(cut) FROM chosen c WHERE c.stratum = f.stratum AND c.rule = 'repeated_words') * n_words < 1000 * n_repeat_words}},
+    {{'rule': 'upper_case', 'bad': (SELECT any_value(cut) FROM chosen c WHERE c.stratum = f.stratum AND c.rule = 'upper_case') * word_chars < 1000 * n_upper}},
+    {{'rule': 'long_words', 'bad': (SELECT any_value(cut) FROM chosen c WHERE c.stratum = f.stratum AND c.rule = 'long_words') * n_words < 1000 * word_chars}}
+  ] if x.bad] AS failed_rules
+  FROM f
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND len(failed_rules) = 0 AS kept, failed_rules
+FROM fails
+"""
+
+SQL["op10_simhash_windows"] = r"""
+WITH d AS (
+  SELECT DISTINCT doc_id, text FROM documents
+), d1 AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM d
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM benchmark
+), ds AS (
+  SELECT rid, i - 1 AS pos, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT rid, w, unnest(range(1, len(w) - 3)) AS i FROM d1)
+), bs AS (
+  SELECT item_id, len(w) AS size, i - 1 AS pos, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - 3)) AS i FROM b)
+), win AS (
+  SELECT DISTINCT ds.rid, greatest(0, least(ds.pos - bs.pos, len(d1.w) - bs.size)) AS start, bs.size
+  FROM ds JOIN (SELECT DISTINCT size, pos, s FROM bs) bs USING (s) JOIN d1 USING (rid)
+), ws AS (
+  SELECT win.rid, win.start, win.size, ds.s, count(*) AS c
+  FROM win JOIN ds ON ds.rid = win.rid AND ds.pos BETWEEN win.start AND win.start + win.size - 5 GROUP BY ALL
+), wn AS (SELECT rid, start, size, sum(c) AS n FROM ws GROUP BY ALL),
+ic AS (SELECT item_id, size, s, count(*) AS c FROM bs GROUP BY ALL),
+inn AS (SELECT item_id, size, sum(c) AS n FROM ic GROUP BY ALL),
+x AS (
+  SELECT ws.rid, ws.start, ws.size, ic.item_id, sum(least(ws.c, ic.c)) AS both
+  FROM ws JOIN ic ON ws.s = ic.s AND ws.size = ic.size GROUP BY ALL
+), sim AS (
+  SELECT x.rid, x.start, x.size, x.item_id, x.both::DOUBLE / (wn.n + inn.n - x.both)::DOUBLE AS similarity
+  FROM x JOIN wn USING (rid, start, size) JOIN inn ON inn.item_id = x.item_id
+), top AS (
+  SELECT *, row_number() OVER (PARTITION BY rid, item_id ORDER BY similarity DESC, start) AS r FROM sim WHERE similarity >= 0.8
+)
+SELECT d1.doc_id, top.item_id, top.start::BIGINT AS start, least(top.size, len(d1.w) - top.start)::BIGINT AS n_words, similarity
+FROM top JOIN d1 USING (rid) WHERE r = 1
+"""
