@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, log_frequency_lm, packing, quality_rules, sharding, token_count, url_reputation, warc
+from . import decontaminate, jaccard_join, langid, log_frequency_lm, packing, quality_rules, sharding, token_count, url_reputation, warc
 from .common import read_table
 from .oracle import SQL
 
@@ -73,6 +73,11 @@ def op10(spark, sf_dir):
     return out.select("doc_id", "item_id", "start", "n_words", "similarity")
 
 
+@query("op8_metric_space_join")
+def op8(spark, sf_dir):
+    return jaccard_join.join_documents(read_table(spark, sf_dir, "documents"))
+
+
 RULES = (
     url_reputation.Rule("allow", "org", "/"),
     url_reputation.Rule("block", "example.org", "/es/"),
