@@ -110,7 +110,9 @@ def with_features(df: DataFrame, text_col: str = "text", out: str = "_f") -> Dat
         "n_symbols": kept("[^#*$%&|<>]+"), "n_dup_lines": F.size("_lines") - F.size(F.array_distinct("_lines")),
         "n_repeat_words": _repeat_words(w, F.col("_hashes")), "n_lines": F.size("_lines"), "n_upper": kept("[^A-Z]+"),
     }
-    return b.select(*df.columns, F.struct(*[values[f].cast("long").alias(f) for f in FEATURES]).alias(out))
+    # exploding one struct keeps the optimizer from copying these expressions into every later use of a field
+    one = F.array(F.struct(*[values[f].cast("long").alias(f) for f in FEATURES]))
+    return b.select(*df.columns, F.explode(one).alias(out))
 
 
 def base_failed(f: Column, cfg: RiskConfig) -> Column:
