@@ -13,10 +13,10 @@ all values within ``BLOCK_RADIUS`` bits, so that any two fingerprints at most
 Jaccard similarity (smaller over larger number of occurrences, summed) of at least
 ``similarity``.
 
-A window that reaches the similarity shares shingles with its item, so a placed
-window misses nothing; at a similarity of 0.8 the expected distance of two
-fingerprints is 9.7 bits with a deviation of 2.9, and ``RADIUS`` is 4.5
-deviations above it.
+A window that shares no shingle with its item has similarity 0, so every passage
+that comes near the similarity gets windows, one for each way its shingles lie on
+the item's. At a similarity of 0.8 the expected distance of two fingerprints is
+9.7 bits with a deviation of 2.9, and ``RADIUS`` is 4.5 deviations above it.
 
 Scale: all of it is column expressions, explode and equi-joins. The benchmark's
 shingles are broadcast while their measured size allows it, else shuffled. Only

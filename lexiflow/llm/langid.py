@@ -142,7 +142,7 @@ def trigram_table(counts: DataFrame, cfg: FusionConfig) -> tuple[list[str], np.n
     langs = sorted(r[0] for r in counts.select("lang").distinct().take(MAX_LANGUAGES + 1))
     if len(langs) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} labelled languages")
-    got = counts.toPandas()
+    got = counts.toArrow().to_pandas()
     table = np.full((BUCKETS, len(langs)), cfg.smoothing)
     if len(got):
         table[got["bucket"].to_numpy(), np.searchsorted(np.array(langs, object), got["lang"].to_numpy())] += got["n"].to_numpy()

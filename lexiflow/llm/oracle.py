@@ -42,17 +42,17 @@ h AS (
 s0 AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad, any_value(pmean) AS pm FROM h3, r GROUP BY suffix),
 sm AS (SELECT count(*)::DOUBLE AS g, sum(n) AS t, sum(n * (bad / n - pm) * (bad / n - pm)) AS s, sum(n * pm * (1 - pm)) AS v FROM s0 WHERE n > 0),
 sr AS (SELECT CASE WHEN v > 0 AND g / t < 1 THEN (s / t - v / t * (g / t)) / (v / t * (1 - g / t)) END AS rho FROM sm),
-sk AS (SELECT least(greatest(coalesce(CASE WHEN rho > 0 THEN 1 / rho - 1 ELSE 1000.0 END, 1000.0), 2.0), 1000.0) AS m FROM sr),
+sk AS (SELECT least(greatest(CASE WHEN rho IS NULL THEN 2.0 WHEN rho > 0 THEN 1 / rho - 1 ELSE 1000.0 END, 2.0), 1000.0) AS m FROM sr),
 s1 AS (SELECT suffix, (m * pm + bad) / (m + n) AS mean FROM s0, sk),
 d0 AS (SELECT h3.suffix, domain, sum(n) AS n, sum(bad) AS bad, any_value(mean) AS pm FROM h3 JOIN s1 USING (suffix) GROUP BY h3.suffix, domain),
 dm AS (SELECT count(*)::DOUBLE AS g, sum(n) AS t, sum(n * (bad / n - pm) * (bad / n - pm)) AS s, sum(n * pm * (1 - pm)) AS v FROM d0 WHERE n > 0),
 dr AS (SELECT CASE WHEN v > 0 AND g / t < 1 THEN (s / t - v / t * (g / t)) / (v / t * (1 - g / t)) END AS rho FROM dm),
-dk AS (SELECT least(greatest(coalesce(CASE WHEN rho > 0 THEN 1 / rho - 1 ELSE 1000.0 END, 1000.0), 2.0), 1000.0) AS m FROM dr),
+dk AS (SELECT least(greatest(CASE WHEN rho IS NULL THEN 2.0 WHEN rho > 0 THEN 1 / rho - 1 ELSE 1000.0 END, 2.0), 1000.0) AS m FROM dr),
 d1 AS (SELECT suffix, domain, (m * pm + bad) / (m + n) AS mean FROM d0, dk),
 h4 AS (SELECT host, n, bad, mean AS pm FROM h3 JOIN d1 USING (suffix, domain)),
 hm AS (SELECT count(*)::DOUBLE AS g, sum(n) AS t, sum(n * (bad / n - pm) * (bad / n - pm)) AS s, sum(n * pm * (1 - pm)) AS v FROM h4 WHERE n > 0),
 hr AS (SELECT CASE WHEN v > 0 AND g / t < 1 THEN (s / t - v / t * (g / t)) / (v / t * (1 - g / t)) END AS rho FROM hm),
-hk AS (SELECT least(greatest(coalesce(CASE WHEN rho > 0 THEN 1 / rho - 1 ELSE 1000.0 END, 1000.0), 2.0), 1000.0) AS m FROM hr),
+hk AS (SELECT least(greatest(CASE WHEN rho IS NULL THEN 2.0 WHEN rho > 0 THEN 1 / rho - 1 ELSE 1000.0 END, 2.0), 1000.0) AS m FROM hr),
 h5 AS (SELECT host, (m * pm + bad) / (m + n) AS mean, m + n AS st FROM h4, hk),
 b AS (SELECT host, greatest(mean - 1.645 * sqrt(mean * (1 - mean) / (st + 1)), 0.0) AS low FROM h5),
 j AS (

@@ -96,7 +96,8 @@ def _shrink(groups: DataFrame, key: str, parent: str | None, cfg: ReputationConf
     is fitted by moments: with s2 the outcome-weighted mean of (rate - pmean)^2
     and v the same mean of pmean (1 - pmean), the share of variance between
     groups is rho = (s2 - v G / N) / (v (1 - G / N)) and the strength 1 / rho - 1,
-    held within bounds (G groups with outcomes, N outcomes).
+    held within bounds (G groups with outcomes, N outcomes); it is the least one
+    where no group has two outcomes to fit it with.
     """
     n, bad, pm = F.col("n").cast("double"), F.col("bad").cast("double"), F.col("pmean")
     seen = F.col("n") > 0
@@ -106,9 +107,8 @@ def _shrink(groups: DataFrame, key: str, parent: str | None, cfg: ReputationConf
     share = F.col("_g") / F.col("_n")
     v, s2 = F.col("_v") / F.col("_n"), F.col("_s") / F.col("_n")
     rho = F.when((v > 0) & (share < 1), (s2 - v * share) / (v * (1 - share)))
-    raw = F.when(rho > 0, 1 / rho - 1).otherwise(F.lit(cfg.max_strength))
-    m = F.least(F.greatest(F.coalesce(raw, F.lit(cfg.max_strength)), F.lit(cfg.min_strength)),
-                F.lit(cfg.max_strength))
+    raw = F.when(rho.isNull(), F.lit(cfg.min_strength)).when(rho > 0, 1 / rho - 1).otherwise(F.lit(cfg.max_strength))
+    m = F.least(F.greatest(raw, F.lit(cfg.min_strength)), F.lit(cfg.max_strength))
     level = moments.select(m.alias("_m"))  # one row
     out = groups.join(F.broadcast(level))
     a, s = F.col("_m") * pm + bad, F.col("_m") + n
