@@ -16,14 +16,16 @@ from .draw import draw_hash, scaled, word32
 
 ASCII_WORD = "^[A-Za-z]+\\z"
 ALPHABET = string.ascii_lowercase
-MAX_TYPO_ATTEMPTS = 10
+# An attempt keeps the word with a probability of at most 0.26 (a word of one
+# letter), so that 40 attempts all fail with one below 1e-23.
+MAX_TYPO_ATTEMPTS = 40
 # kinds, in draw order: 0 insert, 1 remove, 2 replace, 3 swap adjacent
 N_KINDS = 4
 
 
 def check_min_chars(min_chars: int) -> None:
     if min_chars < 2:
-        raise ValueError("The minimum number of characters must be greater than or equal to 2")
+        raise ValueError(f"a word needs at least 2 letters to swap two of them, not {min_chars}")
 
 
 def valid_word(w: Column, min_chars: int = 2, stop_words: Sequence[str] | Column | None = None) -> Column:
@@ -86,11 +88,12 @@ def typo_candidate(w: Column, h: Column) -> Column:
 
 
 def generate_typo(w: Column, seed: int, key: Column, copy, index, on_exhausted: str = "error") -> Column:
-    """First of up to 10 attempts whose result differs from ``w``.
+    """First of up to ``MAX_TYPO_ATTEMPTS`` attempts whose result differs from ``w``.
 
     Attempts are evaluated lazily (an attempt is computed only while no
-    earlier one succeeded). When all fail: ``on_exhausted='error'`` raises
-    like the original; ``'keep'`` returns the word unchanged.
+    earlier one succeeded), so the result follows the draws' distribution given
+    that the word changes. When all fail: ``on_exhausted='error'`` raises;
+    ``'keep'`` returns the word unchanged.
     """
     if on_exhausted not in ("error", "keep"):
         raise ValueError("on_exhausted must be 'error' or 'keep'")
@@ -104,8 +107,8 @@ def generate_typo(w: Column, seed: int, key: Column, copy, index, on_exhausted:
                         lambda acc, a: F.coalesce(acc, attempt(a)))
     if on_exhausted == "keep":
         return F.coalesce(found, w)
-    return F.coalesce(found, F.raise_error(F.lit(
-        "Typos are regenerated too many times (maximum 0 times)")).cast("string"))
+    failed = F.concat(F.lit("no draw changes the word "), w)
+    return F.coalesce(found, F.raise_error(failed).cast("string"))
 
 
 def mark_words(words: Column, chosen: Column, head: str, tail: str) -> Column:

@@ -10,6 +10,7 @@ pairwise comparison.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -20,6 +21,8 @@ from ..functions import text as T
 from ..functions import typo as TY
 from ..functions.util import let
 from ..session import broadcast_if_small, spread_keys, write_table
+from .encode import ROW_KEY, with_row_key
+from .predict import Predictor, batch_predict
 
 
 def stop_word_anti_join(words: DataFrame, word_col: str, stop_words: DataFrame) -> DataFrame:
@@ -103,14 +106,21 @@ class CorrectConfig:
     correct_prompt: str = "correct typo:"
     head_mark: str = "$"
     tail_mark: str = "@"
-    max_edit_distance: int | None = 3
+    #: the gate; for the vocabulary corrector it is also the join distance, so
+    #: every candidate that the gate would accept is looked for
+    max_edit_distance: int | None = 2
     min_num_characters: int = 4
-    candidate_distance: int = 2
     min_freq: int = 1
     clean: bool = True
     locate_mode: str = "position"
 
 
+def join_distance(cfg: CorrectConfig) -> int:
+    if cfg.max_edit_distance is None:
+        raise ValueError("the vocabulary corrector needs a max_edit_distance; without a limit every word is a candidate")
+    return cfg.max_edit_distance
+
+
 def _known(vocab: DataFrame, cfg: CorrectConfig) -> DataFrame:
     return vocab.where(F.col("freq") >= cfg.min_freq).select("word", "freq")
 
@@ -119,7 +129,7 @@ def vocabulary_index(vocab: DataFrame, cfg: CorrectConfig) -> DataFrame:
     """Delete-variant index of the correction targets (known valid words),
     carrying each word's frequency for the candidate choice."""
     targets = _known(vocab, cfg).where(TY.valid_word(F.col("word"), cfg.min_num_characters))
-    return variant_index(targets, "word", cfg.candidate_distance, carry=("freq",))
+    return variant_index(targets, "word", join_distance(cfg), carry=("freq",))
 
 
 def nearest_known(left: DataFrame, left_col: str, index: DataFrame, max_distance: int) -> DataFrame:
@@ -150,7 +160,7 @@ def word_corrections(words: DataFrame, word_col: str, vocab: DataFrame, cfg: Cor
         TY.valid_word(F.col("word"), cfg.min_num_characters))
     unknown = distinct.join(known.select("word"), "word", "left_anti")
     index = index if index is not None else vocabulary_index(vocab, cfg)
-    best = nearest_known(unknown, "word", index, cfg.candidate_distance)
+    best = nearest_known(unknown, "word", index, join_distance(cfg))
     return unknown.join(best.select("word", "best"), "word", "left")
 
 
@@ -160,22 +170,23 @@ def _small(df: DataFrame) -> DataFrame:
 
 def word_flags(df: DataFrame, id_col: str, words_col: str, vocab: DataFrame, cfg: CorrectConfig,
                index: DataFrame | None = None) -> DataFrame:
-    """Per row id: ``_flags`` = sorted array of (pos, best) for unknown words.
+    """Per row: ``_flags`` = sorted array of (pos, best) for unknown words; ids
+    may repeat or be null.
 
     Distinct words go through the fuzzy join once; occurrences are matched to
     the (small) unknown-word table and regrouped per row id. Rows are
     hash-partitioned by id once, so the broadcast lookup, the regroup and the
     join back run without further exchanges.
     """
-    df = df.repartition(id_col)
-    ex = df.select(id_col, F.posexplode(F.col(words_col)).alias("pos", "word"))
+    df = with_row_key(df, id_col, F.col(words_col)).repartition(ROW_KEY)
+    ex = df.select(ROW_KEY, F.posexplode(F.col(words_col)).alias("pos", "word"))
     ex = ex.where(TY.valid_word(F.col("word"), cfg.min_num_characters))
     # written once: the size check and the lookup then read files instead of
     # running the fuzzy join twice
     fixes = write_table(word_corrections(ex, "word", vocab, cfg, index), "word-fixes")
     hits = ex.join(_small(fixes), "word")
-    flags = hits.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("pos", "best"))).alias("_flags"))
-    out = df.join(flags, id_col, "left")
+    flags = hits.groupBy(ROW_KEY).agg(F.array_sort(F.collect_set(F.struct("pos", "best"))).alias("_flags"))
+    out = df.join(flags, ROW_KEY, "left").drop(ROW_KEY)
     return out.withColumn("_flags", F.coalesce("_flags", F.array().cast("array<struct<pos:int,best:string>>")))
 
 
@@ -237,6 +248,35 @@ def correct_table(df: DataFrame, id_col: str, text_col: str, vocab: DataFrame,
     return step2.select(*df.columns, result.alias(out_col))
 
 
+def correct_with_models(df: DataFrame, text_col: str, detector: Callable[[], Predictor],
+                        corrector: Callable[[], Predictor], cfg: CorrectConfig = CorrectConfig(),
+                        out_col: str = "corrected") -> DataFrame:
+    """M2 over a table with the user's own detect and correct models.
+
+    The detector gets the prompted text and returns it with wrong words marked
+    (``head word tail``, without the prompt); the corrector gets the prompted
+    marked text and returns it with the marked words put right. Positions come from
+    the detector's marks, corrections from the corrector's, in order; each
+    passes the edit gate. Models never see a null. Narrow: no shuffle, and no id is needed. A word of the
+    text that equals a mark counts as one, as the models themselves see it. Null
+    texts and null predictions leave the text as it is.
+    """
+    text = T.typeset_clean(F.col(text_col)) if cfg.clean else F.col(text_col)
+    n_prompt = len(cfg.detect_prompt.split(" "))
+    base = df.select(F.struct("*").alias("_in"), text.alias("_clean"))
+    base = base.withColumn("_prompted", T.add_prompt(cfg.detect_prompt, F.coalesce("_clean", F.lit(""))))
+    found = batch_predict(base, "_prompted", detector, "_detected")
+    found = found.withColumn("_detected", F.coalesce("_detected", "_clean", F.lit("")))
+    found = found.withColumn("_ask", T.add_prompt(cfg.correct_prompt, F.col("_detected")))
+    fixed = batch_predict(found, "_ask", corrector, "_fixed")
+    words = T.split_words(F.col("_prompted"))
+    idx = C.locate_marked(words, T.split_words(F.col("_detected")), cfg.head_mark, cfg.tail_mark, n_prompt, cfg.locate_mode)
+    fixes = T.extract_marked(F.coalesce("_fixed", F.lit("")), cfg.head_mark, cfg.tail_mark)
+    applied = C.apply_corrections(words, idx, fixes, cfg.max_edit_distance)
+    result = let(applied, lambda a: T.join_words(F.slice(a, n_prompt + 1, F.greatest(F.size(a) - n_prompt, F.lit(0)))))
+    return fixed.select("_in.*", F.when(F.col("_clean").isNotNull(), result).alias(out_col))
+
+
 def _shift_flags(flags: Column) -> Column:
     """Positions of flagged words inside the marked word list (each earlier
     flagged word added two marks; the word itself sits after its head mark)."""

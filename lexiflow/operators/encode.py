@@ -35,6 +35,16 @@ def vocabulary(df: DataFrame, text_col: str, min_freq: int = 1) -> DataFrame:
     return ranked.select("word", "freq", (F.col("_rank") - 1 + N_RESERVED).alias("word_id"))
 
 
+ROW_KEY = "_row_key"
+
+
+def with_row_key(df: DataFrame, id_col: str, text: Column) -> DataFrame:
+    """Add a digest of (id, text): rows that share it are alike, so a regroup
+    by it is right for repeated and null ids."""
+    key = F.md5(F.to_json(F.struct(F.col(id_col).alias("i"), text.alias("t"))))
+    return df.withColumn(ROW_KEY, key)
+
+
 def _vocab_side(vocab: DataFrame) -> DataFrame:
     """The vocabulary as the lookup side: broadcast after a size check
     (rows and bytes); a larger one is shuffle-joined (AQE splits hot words)."""
@@ -45,20 +55,20 @@ def encode_words(df: DataFrame, id_col: str, text_col: str, vocab: DataFrame,
                  out_col: str = "ids") -> DataFrame:
     """J3: add ``out_col`` = token ids of ``text_col`` in order (unknown -> 2).
 
-    Explode with positions, left-join the vocabulary, regroup per row id and
-    order by position. A row's group is one text, so it is bounded.
+    Explode with positions, left-join the vocabulary, regroup per (id, text)
+    and order by position; ids may repeat or be null. A group is one text (equal
+    rows collapse in the regroup), so it is bounded.
 
-    The rows are hash-partitioned by id once; the broadcast lookup keeps that
-    partitioning, so the regroup and the join back need no further exchange
-    (a second call on the result reuses it too).
+    The rows are hash-partitioned by that key once; the broadcast lookup keeps
+    the partitioning, so the regroup and the join back need no further exchange.
     """
-    part = df.repartition(id_col)
-    ex = part.select(id_col, F.posexplode(tokens(F.col(text_col))).alias("_pos", "word"))
+    part = with_row_key(df, id_col, F.col(text_col)).repartition(ROW_KEY)
+    ex = part.select(ROW_KEY, F.posexplode(tokens(F.col(text_col))).alias("_pos", "word"))
     looked = ex.join(_vocab_side(vocab), "word", "left")
     pairs = F.struct("_pos", F.coalesce(F.col("word_id"), F.lit(UNK_ID)).alias("_id"))
-    grouped = looked.groupBy(id_col).agg(F.array_sort(F.collect_list(pairs)).alias("_pairs"))
-    ids = grouped.select(id_col, F.transform("_pairs", lambda s: s["_id"]).alias(out_col))
-    out = part.join(ids, id_col, "left")
+    grouped = looked.groupBy(ROW_KEY).agg(F.array_sort(F.collect_set(pairs)).alias("_pairs"))
+    ids = grouped.select(ROW_KEY, F.transform("_pairs", lambda s: s["_id"]).alias(out_col))
+    out = part.join(ids, ROW_KEY, "left").drop(ROW_KEY)
     return out.withColumn(out_col, F.coalesce(F.col(out_col), F.array().cast("array<bigint>")))
 
 

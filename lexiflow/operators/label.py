@@ -83,13 +83,15 @@ def sample_positions(valid_idx: Column, k: Column, seed: int, key: Column) -> Co
     return F.transform(F.slice(ranked, F.lit(1), k), lambda s: s["i"])
 
 
-def plan_typos(df: DataFrame, text_col: str, cfg: LabelConfig, key_col: str | None = None) -> DataFrame:
-    """Per sentence (>= 5 chars): ``_words``, ``_key``, ``_chosen`` (null if no typo)."""
+def plan_typos(df: DataFrame, text_col: str, cfg: LabelConfig, key_col: str | None = None,
+               keep: Sequence[str] = ()) -> DataFrame:
+    """Per sentence (>= 5 chars): ``_words``, ``_key``, ``_chosen`` (null if no
+    typo) and the ``keep`` columns."""
     TY.check_min_chars(cfg.min_num_characters)
     key = F.col(key_col) if key_col else sentence_key(F.col(text_col))
     base = (df.where(F.length(text_col) >= MIN_SENTENCE_CHARS)
             .select(F.col(text_col).alias("sentence"), key.alias("_key"),
-                    T.split_words(F.col(text_col)).alias("_words")))
+                    T.split_words(F.col(text_col)).alias("_words"), *keep))
     stop = list(cfg.stop_words)
     valid_idx = F.filter(F.sequence(F.lit(0), F.size("_words") - 1),
                          lambda i: TY.valid_word(F.get(F.col("_words"), i), cfg.min_num_characters, stop))
@@ -98,34 +100,37 @@ def plan_typos(df: DataFrame, text_col: str, cfg: LabelConfig, key_col: str | No
     n_valid = F.size("_valid")
     k = typo_count(n_valid, cfg, draw_hash(cfg.seed, F.col("_key"), "cnt"))
     chosen = F.when(selected & (n_valid > 0), sample_positions(F.col("_valid"), k, cfg.seed, F.col("_key")))
-    return with_valid.select("sentence", "_key", "_words", chosen.alias("_chosen"))
+    return with_valid.select("sentence", "_key", "_words", chosen.alias("_chosen"), *keep)
 
 
 def label_rows(df: DataFrame, text_col: str = "sentence", cfg: LabelConfig = LabelConfig(),
-               key_col: str | None = None, with_id: bool = False) -> DataFrame:
-    """Unprompted label rows ``sentence, task, input, output`` (G2/G3).
+               key_col: str | None = None, with_id: bool = False, keep: Sequence[str] = ()) -> DataFrame:
+    """Unprompted label rows ``sentence, task, input, output`` (G2/G3) and the
+    ``keep`` columns of their sentence.
 
     ``with_id`` adds ``example_id`` = ``key:copy:task`` (copy -1 for a row
-    without typos), unique per row even when two copies come out equal.
+    without typos), unique per row even when two copies come out equal. Keys
+    default to the sentence's digest, so lines that repeat share their draws and
+    ids; give ``key_col`` (a row key) where they must differ.
 
     Not selected, or no valid word: one detect row (s, s, s). Otherwise
     ``data_multiple`` copies, each one detect row (s, typo, marked typo) and
     one correct row (s, marked typo, marked s); copies share positions and
     draw their typos anew. Equal copies are kept.
     """
-    planned = plan_typos(df, text_col, cfg, key_col)
+    planned = plan_typos(df, text_col, cfg, key_col, keep)
     copies = F.when(F.col("_chosen").isNotNull(), F.sequence(F.lit(0), F.lit(cfg.data_multiple - 1)))
     fanned = planned.select("*", F.explode_outer(copies).alias("_copy"))
     typo_words = F.transform(F.col("_words"), lambda w, i: F.when(
         F.array_contains(F.col("_chosen"), i),
         TY.generate_typo(w, cfg.seed, F.col("_key"), F.col("_copy"), i, cfg.on_exhausted)).otherwise(w))
-    typed = fanned.select("sentence", "_key", "_words", "_chosen", "_copy", typo_words.alias("_typo"))
+    typed = fanned.select("sentence", "_key", "_words", "_chosen", "_copy", typo_words.alias("_typo"), *keep)
     head, tail = cfg.head_mark, cfg.tail_mark
     marked = typed.select(
         "sentence", "_key", "_copy",
         T.join_words(F.col("_typo")).alias("_typo_s"),
         T.join_words(TY.mark_words(F.col("_typo"), F.col("_chosen"), head, tail)).alias("_mtypo"),
-        T.join_words(TY.mark_words(F.col("_words"), F.col("_chosen"), head, tail)).alias("_mclean"),
+        T.join_words(TY.mark_words(F.col("_words"), F.col("_chosen"), head, tail)).alias("_mclean"), *keep,
     )
 
     def row(task, inp, out):
@@ -135,10 +140,10 @@ def label_rows(df: DataFrame, text_col: str = "sentence", cfg: LabelConfig = Lab
     rows = F.when(F.col("_copy").isNull(), F.array(row(DETECT, s, s))).otherwise(F.array(
         row(DETECT, F.col("_typo_s"), F.col("_mtypo")),
         row(CORRECT, F.col("_mtypo"), F.col("_mclean"))))
-    out = marked.select("sentence", "_key", "_copy", F.inline(rows))
+    out = marked.select("sentence", "_key", "_copy", *keep, F.inline(rows))
     example_id = F.concat_ws(":", F.col("_key"), F.coalesce(F.col("_copy"), F.lit(-1)).cast("string"),
                              F.col("task").cast("string"))
-    cols = ["sentence", F.col("task").cast("int").alias("task"), "input", "output"]
+    cols = ["sentence", F.col("task").cast("int").alias("task"), "input", "output", *keep]
     if with_id:
         cols.append(example_id.alias(EXAMPLE_ID))
     return out.select(*cols)
@@ -177,8 +182,9 @@ def budget_tokens(rows: DataFrame, max_length: int, counter=T.count_tokens) -> D
 
 def label_sentences(df: DataFrame, text_col: str = "sentence", cfg: LabelConfig = LabelConfig(),
                     key_col: str | None = None, with_id: bool = False,
-                    counter=T.count_tokens) -> DataFrame:
-    """JOB3 rows ``sentence, input, output, task, num_tokens`` (prompted, budgeted)."""
-    rows = tag_tasks(label_rows(df, text_col, cfg, key_col, with_id), cfg)
-    cols = list(LABEL_COLUMNS) + ([EXAMPLE_ID] if with_id else [])
+                    counter=T.count_tokens, keep: Sequence[str] = ()) -> DataFrame:
+    """JOB3 rows ``sentence, input, output, task, num_tokens`` (prompted,
+    budgeted) and the ``keep`` columns."""
+    rows = tag_tasks(label_rows(df, text_col, cfg, key_col, with_id, keep), cfg)
+    cols = list(LABEL_COLUMNS) + list(keep) + ([EXAMPLE_ID] if with_id else [])
     return budget_tokens(rows, cfg.max_length, counter).select(*cols)

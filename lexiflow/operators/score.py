@@ -3,59 +3,17 @@ for both tasks), exact match (A1), accuracy (A2), weighted means (A3, W2)."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..session import checkpoint_dir
 from . import correct as CO
+from .predict import Predictor, StripPromptPredictor, batch_predict  # noqa: F401
 from .encode import EOS_ID, PAD_ID
 
-# ------------------------------------------------------------------ M1
-
-
-class Predictor:
-    """What ``batch_predict`` needs: ``load()`` once per task, then
-    ``predict(texts) -> texts`` per Arrow batch."""
-
-    def load(self) -> None:  # pragma: no cover - default is nothing to load
-        pass
-
-    def predict(self, texts: list[str]) -> list[str]:
-        raise NotImplementedError
-
-
-class StripPromptPredictor(Predictor):
-    """Echoes the text without its leading prompt words (a stand-in model)."""
-
-    def __init__(self, n_prompt_words: int):
-        self.n = n_prompt_words
-
-    def predict(self, texts):
-        return [None if t is None else " ".join(t.split(" ")[self.n:]) for t in texts]
-
-
-def batch_predict(df: DataFrame, text_col: str, make_predictor: Callable[[], Predictor],
-                  out_col: str = "results") -> DataFrame:
-    """Apply a user predictor to ``text_col`` in Arrow batches.
-
-    An iterator pandas UDF: the predictor is built and loaded once per task,
-    only the text column crosses into Python, other columns stay in the JVM.
-    Batch size follows ``spark.sql.execution.arrow.maxRecordsPerBatch``.
-    """
-
-    @F.pandas_udf("string")
-    def _predict(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model = make_predictor()
-        model.load()
-        for s in batches:
-            yield pd.Series(model.predict(s.tolist()), index=s.index, dtype=object)
-
-    return df.withColumn(out_col, _predict(F.col(text_col)))
-
-
 # ------------------------------------------------------------------ M3 as predictor
 
 
@@ -105,34 +63,61 @@ def accuracy(df: DataFrame, correct_col: str = "correct", by: Sequence[str] = ()
     return counts.withColumn("accuracy", F.col("n_correct").cast("double") / F.col("n_rows").cast("double"))
 
 
+def _products(df: DataFrame, value_col: str, weight_col: str) -> DataFrame:
+    """Add ``_v`` (value * weight as an exact decimal, null if the value does
+    not fit or the weight is not whole), ``_d`` (the same as a double), ``_n`` and ``_w`` (weight)."""
+    v, n = F.col(value_col), F.col(weight_col)
+    whole = F.when(v.isNotNull() & (n.try_cast("decimal(12,0)") == n), n.try_cast("decimal(12,0)"))
+    return df.select("*", (v.try_cast("decimal(24,12)") * whole).alias("_v"),
+                     (v.cast("double") * n.cast("double")).alias("_d"), whole.alias("_n"),
+                     F.when(v.isNotNull(), n).cast("double").alias("_w"))
+
+
+def _fits() -> list[Column]:
+    """Whether decimals of 12 places hold a group: every value fits, and the
+    largest is not so small that they would cut its digits."""
+    return [((F.count("_d") == F.count("_v")) & (F.count("_w") == F.count("_n"))
+             & (F.coalesce(F.max(F.abs("_d")), F.lit(0.0)) >= 1e-3)).alias("_exact")]
+
+
 def weighted_mean(df: DataFrame, value_col: str, weight_col: str, by: Sequence[str] = ()) -> DataFrame:
-    """sum(v*n)/sum(n) per group: exact decimal sums, one final division."""
-    v = F.col(value_col).cast("decimal(18,6)") * F.col(weight_col).cast("decimal(18,0)")
-    agg = df.groupBy(*by).agg(F.sum(v).alias("_sv"), F.sum(F.col(weight_col).cast("decimal(18,0)")).alias("_sn"))
-    return agg.select(*by, (F.col("_sv").cast("double") / F.col("_sn").cast("double")).alias("weighted_mean"))
+    """sum(v*n)/sum(n) per group and one final division: exact decimal sums
+    where the group's values fit, else sums of doubles. Null values do not count."""
+    agg = _products(df, value_col, weight_col).groupBy(*by).agg(
+        F.try_sum("_v").alias("_sv"), F.try_sum("_n").alias("_sn"), F.sum("_d").alias("_sd"), F.sum("_w").alias("_sw"), *_fits())
+    exact = F.col("_sv").cast("double") / F.nullif(F.col("_sn").cast("double"), F.lit(0.0))
+    rough = F.col("_sd") / F.nullif(F.col("_sw"), F.lit(0.0))
+    return agg.select(*by, F.when(F.col("_exact") & F.col("_sv").isNotNull(), exact).otherwise(rough).alias("weighted_mean"))
 
 
 def running_weighted_mean(df: DataFrame, value_col: str, weight_col: str, part_col: str,
-                          order_col: str, block_size: int = 4096,
-                          out_col: str = "running_mean") -> DataFrame:
+                          order_col: str, out_col: str = "running_mean") -> DataFrame:
     """The meter after each update: cumulative sum(v*n)/sum(n) per ``part_col``
-    in ``order_col`` order (numeric, unique within a part).
+    in ``order_col`` order (unique within a part).
 
-    No window spans a whole part: rows are blocked by ``order_col``, block
-    totals (one row per part and block) are prefix-summed, and the window
-    inside a (part, block) group adds the rest.
+    No window spans a whole part, whatever the values of the order column: rows
+    are range-partitioned by (part, order) and sorted; the totals of each
+    (partition, part) are prefix-summed, and the window inside one adds the
+    rest. Sums are exact decimals where the part's values fit, else doubles.
     """
-    v = (F.col(value_col).cast("decimal(18,6)") * F.col(weight_col).cast("decimal(18,0)")).alias("_v")
-    n = F.col(weight_col).cast("decimal(18,0)").alias("_n")
-    rows = df.select("*", v, n, F.floor(F.col(order_col) / F.lit(block_size)).alias("_blk"))
-    totals = rows.groupBy(part_col, "_blk").agg(F.sum("_v").alias("_tv"), F.sum("_n").alias("_tn"))
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sorted_ = df.repartitionByRange(n, part_col, order_col)
+    rows = _products(sorted_, value_col, weight_col).withColumn("_blk", F.spark_partition_id()).checkpoint(eager=True)
+    totals = rows.groupBy(part_col, "_blk").agg(
+        F.try_sum("_v").alias("_tv"), F.try_sum("_n").alias("_tn"), F.sum("_d").alias("_td"), F.sum("_w").alias("_tw"))
+    fits = rows.groupBy(part_col).agg(*_fits())
     prior = Window.partitionBy(part_col).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    zero = F.lit(0).cast("decimal(38,6)")
-    offsets = totals.select(part_col, "_blk",
-                            F.coalesce(F.sum("_tv").over(prior), zero).alias("_ov"),
-                            F.coalesce(F.sum("_tn").over(prior), zero).alias("_on"))
-    upto = Window.partitionBy(part_col, "_blk").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
-    local = rows.select("*", F.sum("_v").over(upto).alias("_cv"), F.sum("_n").over(upto).alias("_cn"))
-    j = local.join(offsets, [part_col, "_blk"])
-    mean = (F.col("_ov") + F.col("_cv")).cast("double") / (F.col("_on") + F.col("_cn")).cast("double")
-    return j.select(*df.columns, mean.alias(out_col))
+    names = {"_tv": "_ov", "_tn": "_on", "_td": "_od", "_tw": "_ow"}
+    offsets = totals.select(part_col, "_blk", *[
+        F.coalesce(F.sum(t).over(prior), F.lit(0)).alias(o) for t, o in names.items()])
+    offsets = offsets.join(fits, part_col)
+    key = F.col(part_col)
+    upto = Window.partitionBy("_blk", part_col).orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
+    local = rows.select("*", *[F.coalesce(F.try_sum(c).over(upto), F.lit(0)).alias(f"_c{c[1:]}") for c in ("_v", "_n", "_d", "_w")])
+    side = offsets.withColumnsRenamed({part_col: "_part", "_blk": "_b"})
+    j = local.join(side, key.eqNullSafe(F.col("_part")) & (F.col("_blk") == F.col("_b")))
+    exact = (F.col("_ov") + F.col("_cv")).cast("double") / F.nullif((F.col("_on") + F.col("_cn")).cast("double"), F.lit(0.0))
+    rough = (F.col("_od") + F.col("_cd")) / F.nullif(F.col("_ow") + F.col("_cw"), F.lit(0.0))
+    return j.select(*df.columns, F.when(F.col("_exact"), exact).otherwise(rough).alias(out_col))

@@ -6,28 +6,29 @@ numbered by first appearance, rows laid out class after class get fold quota
 0, the next ``quota_1`` fold 1, and so on.
 
 Scale: a class may hold a third of all rows, so no window runs over a whole
-class. Rows are cut into blocks of the leading order column; per
-(class, block) we count rows (partial aggregation, tiny output) and prefix-sum
-those counts per class. A row's rank in its class is then its block offset
-plus its rank inside the (class, block) group, whose size is bounded by the
-block, not by the data.
+class. Rows are range-partitioned by class and order (sampled bounds, whatever
+the keys look like); per (class, partition) we count rows (partial aggregation,
+tiny output) and prefix-sum those counts per class. A row's rank in its class is
+its partition's offset plus its rank inside the (class, partition) group, whose
+size is that of a range partition.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.draw import py_word32
+from ..session import checkpoint_dir, write_table
 from .rank import prefix_sum
 
 FOLD = "fold"
 SPLIT = "split"
 TRAIN, VALIDATION, TEST = "train", "validation", "test"
 N_FOLDS, N_TRAIN_FOLDS, N_VAL_FOLDS = 10, 7, 1
-DEFAULT_BLOCK = 4096
 
 
 def _quota(a, b, i: int, k: int):
@@ -50,36 +51,40 @@ def class_table(counts: DataFrame, class_col: str, n_splits: int) -> DataFrame:
     cum = [quotas[0]]
     for q in quotas[1:]:
         cum.append(cum[-1] + q)
-    return classes.select(class_col, F.array(*cum).alias("_cum"), "_maxn")
+    return classes.select(class_col, F.array(*cum).alias("_cum"), "_maxn", "_cn")
 
 
 def stratified_kfold(df: DataFrame, class_col: str, order_cols: Sequence[str],
-                     n_splits: int = 5, block_size: int = DEFAULT_BLOCK,
-                     fold_col: str = FOLD) -> DataFrame:
+                     n_splits: int = 5, fold_col: str = FOLD, n_partitions: int | None = None) -> DataFrame:
     """Add ``fold_col`` (int) by unshuffled stratified k-fold.
 
-    ``order_cols`` define row order; the first must be numeric (blocks are
-    ``floor(first / block_size)``). Raises at run time, like the original, if
-    every class has fewer than ``n_splits`` rows.
+    ``order_cols`` define row order (of any type; make it total for a stable
+    result). Warns when some class has fewer than ``n_splits`` rows; raises at
+    run time when every class has.
     """
     order = list(order_cols)
-    blk = F.floor(F.col(order[0]) / F.lit(block_size)).alias("_blk")
-    rows = df.select("*", blk)
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    n = n_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.repartitionByRange(n, class_col, *order).withColumn("_blk", F.spark_partition_id()).checkpoint(eager=True)
     first = F.struct(*[F.col(c) for c in order])
-    counts = rows.groupBy(class_col, "_blk").agg(F.count(F.lit(1)).alias("_n"),
-                                                 F.min(first).alias("_first"))
-    classes = class_table(counts, class_col, n_splits)
+    counts = write_table(rows.groupBy(class_col, "_blk").agg(F.count(F.lit(1)).alias("_n"), F.min(first).alias("_first")),
+                         "class-counts")
+    classes = write_table(class_table(counts, class_col, n_splits), "classes")
+    small, largest = classes.agg(F.count(F.when(F.col("_cn") < n_splits, 1)), F.max("_maxn")).first()
+    if small and largest >= n_splits:
+        warnings.warn(f"{small} classes have fewer rows than the {n_splits} folds", stacklevel=2)
     prior = Window.partitionBy(class_col).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(class_col, "_blk",
                             F.coalesce(F.sum("_n").over(prior), F.lit(0)).alias("_off"))
-    offsets = offsets.join(classes, class_col)
+    offsets = offsets.join(classes.drop("_cn"), class_col)
     in_block = Window.partitionBy(class_col, "_blk").orderBy(*order)
     ranked = rows.withColumn("_rn", F.row_number().over(in_block))
     joined = ranked.join(offsets, [class_col, "_blk"])
     r = F.col("_off") + F.col("_rn") - 1
     fold = F.size(F.filter("_cum", lambda c: c <= r)).cast("int")
     fold = F.when(F.col("_maxn") < n_splits, F.raise_error(F.lit(
-        f"n_splits={n_splits} cannot be greater than the number of members in each class."))
+        f"every class has fewer than {n_splits} rows, one for each fold"))
     ).otherwise(fold)
     return joined.select(*df.columns, fold.alias(fold_col))
 
@@ -130,7 +135,7 @@ def remaining_folds(spark, df: DataFrame, roles: dict[int, str], fold_col: str =
 
 def split_dataset(df: DataFrame, class_col: str, order_cols: Sequence[str], seed: int = 2330,
                   n_folds: int = N_FOLDS, n_train: int = N_TRAIN_FOLDS, n_val: int = N_VAL_FOLDS,
-                  block_size: int = DEFAULT_BLOCK) -> DataFrame:
+                  n_partitions: int | None = None) -> DataFrame:
     """JOB2: fold per row, then its split role. Write with ``partitionBy('split')``."""
-    folded = stratified_kfold(df, class_col, order_cols, n_folds, block_size)
+    folded = stratified_kfold(df, class_col, order_cols, n_folds, n_partitions=n_partitions)
     return assign_split(folded, fold_roles(seed, n_folds, n_train, n_val))

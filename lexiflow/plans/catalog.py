@@ -255,8 +255,9 @@ LABEL = L.LabelConfig()
 BUDGET = 40  # a tighter token budget than the default, so P6 drops rows
 
 
-def test_sentences(spark, sf_dir) -> DataFrame:
-    return SP.split_filter(split_table(spark, sf_dir), roles(), SP.TEST, "sentence")
+def split_sentences_all(spark, sf_dir) -> DataFrame:
+    """Every sentence with its split."""
+    return split_table(spark, sf_dir).select("sentence", SP.SPLIT)
 
 
 def all_sentences(spark, sf_dir) -> DataFrame:
@@ -416,13 +417,13 @@ def q_count_tokens(spark, sf_dir):
 
 @query("token_budget")
 def q_token_budget(spark, sf_dir):
-    rows = L.tag_tasks(L.label_rows(test_sentences(spark, sf_dir), "sentence", LABEL), LABEL)
-    return L.budget_tokens(rows, BUDGET).select(*L.LABEL_COLUMNS)
+    rows = L.label_rows(split_sentences_all(spark, sf_dir), "sentence", LABEL, keep=[SP.SPLIT])
+    return L.budget_tokens(L.tag_tasks(rows, LABEL), BUDGET).select(*L.LABEL_COLUMNS, SP.SPLIT)
 
 
 @query("label_dataset")
 def q_label_dataset(spark, sf_dir):
-    return L.label_sentences(test_sentences(spark, sf_dir), "sentence", LABEL)
+    return L.label_sentences(split_sentences_all(spark, sf_dir), "sentence", LABEL, keep=[SP.SPLIT])
 
 
 # ---------------------------------------------------------------- JOB4 parts
@@ -451,19 +452,22 @@ def train_vocabulary(spark, sf_dir) -> DataFrame:
 
 
 @step
-def labeled(spark, sf_dir, role=SP.TEST) -> DataFrame:
-    """JOB3 output for one split, written once (encoding and scoring read it
-    in several branches)."""
-    lab = L.label_sentences(split_sentences(spark, sf_dir, role), "sentence", LABEL, with_id=True)
-    return write_table(lab, f"labeled-{role}")
+def labeled(spark, sf_dir, role=None) -> DataFrame:
+    """JOB3 output with its split, for all splits or one, written once
+    (encoding and scoring read it in several branches)."""
+    src = stored_split(spark, sf_dir).select("sentence", SP.SPLIT)
+    if role:
+        src = src.where(F.col(SP.SPLIT) == role)
+    lab = L.label_sentences(src, "sentence", LABEL, with_id=True, keep=[SP.SPLIT])
+    return write_table(lab, f"labeled-{role or 'all'}")
 
 
 def ids_text(c) -> F.Column:
     return F.array_join(F.transform(c, lambda v: v.cast("string")), " ")
 
 
-def encoded_pairs(spark, sf_dir, role=SP.TEST) -> DataFrame:
-    lab = labeled(spark, sf_dir, role).select(L.EXAMPLE_ID, "input", "output")
+def encoded_pairs(spark, sf_dir, role=None) -> DataFrame:
+    lab = labeled(spark, sf_dir, role).select(L.EXAMPLE_ID, SP.SPLIT, "input", "output")
     voc = train_vocabulary(spark, sf_dir)
     x = EN.encode_words(lab, L.EXAMPLE_ID, "input", voc, "in_ids")
     return EN.encode_words(x, L.EXAMPLE_ID, "output", voc, "out_ids")
@@ -481,26 +485,27 @@ def q_vocab_encode_join(spark, sf_dir):
     return enc.select(L.EXAMPLE_ID, ids_text(F.col("ids")).alias("input_ids"))
 
 
-def _fixed(spark, sf_dir, role):
-    e = EN.encode_fixed(encoded_pairs(spark, sf_dir, role), "in_ids", "out_ids", MAX_LENGTH)
-    return e.select(L.EXAMPLE_ID, ids_text(F.col("input_ids")).alias("input_ids"),
+def _fixed(spark, sf_dir):
+    e = EN.encode_fixed(encoded_pairs(spark, sf_dir), "in_ids", "out_ids", MAX_LENGTH)
+    return e.select(L.EXAMPLE_ID, SP.SPLIT, ids_text(F.col("input_ids")).alias("input_ids"),
                     ids_text(F.col("attention_mask")).alias("attention_mask"),
                     ids_text(F.col("labels")).alias("labels"))
 
 
 @query("encode_fixed")
 def q_encode_fixed(spark, sf_dir):
-    return _fixed(spark, sf_dir, SP.TEST)
+    return _fixed(spark, sf_dir).drop(SP.SPLIT)
 
 
 @query("encode_dataset")
 def q_encode_dataset(spark, sf_dir):
-    return _fixed(spark, sf_dir, SP.VALIDATION)
+    """JOB4: train, validation and test rows, with the training vocabulary."""
+    return _fixed(spark, sf_dir)
 
 
 @query("encode_longest")
 def q_encode_longest(spark, sf_dir):
-    pairs = write_table(encoded_pairs(spark, sf_dir), "encoded-pairs")  # numbered by a range shuffle next
+    pairs = write_table(encoded_pairs(spark, sf_dir, SP.TEST), "encoded-pairs")  # numbered by a range shuffle next
     e = EN.encode_longest(pairs, "in_ids", "out_ids", [F.col(L.EXAMPLE_ID)],
                           EVAL_BATCH)
     return e.select(L.EXAMPLE_ID, "batch", ids_text(F.col("input_ids")).alias("input_ids"),
@@ -513,8 +518,10 @@ def q_encode_longest(spark, sf_dir):
 from ..functions import correct as FC  # noqa: E402
 from ..functions import edit as ED  # noqa: E402
 from ..operators import correct as CO  # noqa: E402
+from ..operators import score as SC  # noqa: E402
 
 CORRECT = CO.CorrectConfig()
+LONG_WORD = 8
 N_PROMPT = len(LABEL.detect_prompt.split(" "))
 
 
@@ -541,7 +548,7 @@ def q_edit_gate(spark, sf_dir):
 
 @step
 def labeled_rows(spark, sf_dir) -> DataFrame:
-    return L.label_rows(split_sentences(spark, sf_dir, SP.TEST), "sentence", LABEL, with_id=True)
+    return L.label_rows(stored_split(spark, sf_dir), "sentence", LABEL, with_id=True)
 
 
 @query("strip_prompt_words")
@@ -620,13 +627,13 @@ def _unknown_and_targets(spark, sf_dir):
 @query("fuzzy_vocab_join")
 def q_fuzzy_vocab_join(spark, sf_dir):
     unknown, targets, _ = _unknown_and_targets(spark, sf_dir)
-    return CO.fuzzy_vocab_join(unknown, "word", targets, "word", CORRECT.candidate_distance, "cand")
+    return CO.fuzzy_vocab_join(unknown, "word", targets, "word", CO.join_distance(CORRECT), "cand")
 
 
 @query("best_candidate")
 def q_best_candidate(spark, sf_dir):
     unknown, targets, voc = _unknown_and_targets(spark, sf_dir)
-    pairs = CO.fuzzy_vocab_join(unknown, "word", targets, "word", CORRECT.candidate_distance, "cand")
+    pairs = CO.fuzzy_vocab_join(unknown, "word", targets, "word", CO.join_distance(CORRECT), "cand")
     return CO.best_candidate(pairs, "word", "cand", voc)
 
 
@@ -642,9 +649,40 @@ def q_correct_text(spark, sf_dir):
     return out.select("conv_id", "turn", "corrected")
 
 
+class MarkLongWords(SC.Predictor):
+    """A stand-in detector: marks words of at least ``LONG_WORD`` ASCII letters."""
+
+    def predict(self, texts):
+        def mark(w):
+            long = len(w) >= LONG_WORD and w.isascii() and w.isalpha()
+            return f"{CORRECT.head_mark} {w} {CORRECT.tail_mark}" if long else w
+
+        return [None if t is None else " ".join(map(mark, t.split(" ")[N_PROMPT:])) for t in texts]
+
+
+class DropLastLetter(SC.Predictor):
+    """A stand-in corrector: drops the last letter of every marked word."""
+
+    def predict(self, texts):
+        out = []
+        for t in texts:
+            ws = (t or "").split(" ")[N_PROMPT:]
+            out.append(" ".join(w[:-1] if 0 < i < len(ws) - 1 and ws[i - 1] == CORRECT.head_mark
+                                and ws[i + 1] == CORRECT.tail_mark else w for i, w in enumerate(ws)))
+        return out
+
+
+@query("correct_text_predictor")
+def q_correct_text_predictor(spark, sf_dir):
+    """M2/JOB6 with a user's models (deterministic stand-ins here)."""
+    c = conversation_texts(spark, sf_dir)
+    out = CO.correct_with_models(c, "text", MarkLongWords, DropLastLetter, CORRECT)
+    return out.select("conv_id", "turn", "corrected")
+
+
 @query("correct_table")
 def q_correct_table(spark, sf_dir):
-    """JOB6 on the typo sentences of the test set, serving variant (no cleaning)."""
+    """JOB6 on the typo sentences of every split, serving variant (no cleaning)."""
     rows = labeled_rows(spark, sf_dir).where((F.col("task") == L.DETECT))
     cfg = CO.CorrectConfig(clean=False)
     out = CO.correct_table(rows.select(L.EXAMPLE_ID, "input"), L.EXAMPLE_ID, "input",
@@ -654,9 +692,7 @@ def q_correct_table(spark, sf_dir):
 
 # ------------------------------------------------------ scoring parts
 
-from ..operators import score as SC  # noqa: E402
-
-STOP_TOP_K = 25  # stop list = the most frequent tokens (a top-k report by design)
+STOP_SHARE = 20  # stop list = tokens that occur at least once in 20 sentences, on average
 
 
 @step
@@ -664,7 +700,7 @@ def predictions(spark, sf_dir) -> DataFrame:
     """Test rows with M3 predictions and encoded prediction / output ids,
     written once: the batch numbering after it range-partitions, and its key
     sampling would otherwise run the whole prediction chain a second time."""
-    lab = labeled(spark, sf_dir).select(L.EXAMPLE_ID, "task", "input", "output")
+    lab = labeled(spark, sf_dir, SP.TEST).select(L.EXAMPLE_ID, "task", "input", "output")
     voc = train_vocabulary(spark, sf_dir)
     pred = SC.vocab_predict(lab, L.EXAMPLE_ID, "input", "task", voc, CORRECT)
     x = EN.encode_words(pred, L.EXAMPLE_ID, "prediction", voc, "pred_ids")
@@ -725,18 +761,20 @@ def q_weighted_mean(spark, sf_dir):
 @query("running_weighted_mean")
 def q_running_weighted_mean(spark, sf_dir):
     ev = weighted_events(spark, sf_dir)
-    out = SC.running_weighted_mean(ev, "value", "n", "event_type", "event_id", block_size=1024)
+    out = SC.running_weighted_mean(ev, "value", "n", "event_type", "event_id")
     return out.select("event_id", "event_type", "running_mean")
 
 
 @step
 def stop_words_frame(spark, sf_dir) -> DataFrame:
-    """Derived stop list: the most frequent tokens of the sentence table,
-    written as a stop-word file and scanned back (S5)."""
+    """Derived stop list: the tokens of the sentence table with at least one
+    occurrence per ``STOP_SHARE`` sentences, written as a stop-word file and
+    scanned back (S5)."""
     st = sentence_table(spark, sf_dir)
     tok = st.select(F.explode(EN.tokens(F.col("sentence"))).alias("word"))
-    top = (tok.groupBy("word").agg(F.count(F.lit(1)).alias("freq"))
-           .orderBy(F.col("freq").desc(), F.col("word").asc()).limit(STOP_TOP_K))
+    n = st.agg(F.count(F.lit(1)).alias("n"))  # one row
+    top = tok.groupBy("word").agg(F.count(F.lit(1)).alias("freq")).join(F.broadcast(n)).where(
+        F.col("freq") * STOP_SHARE >= F.col("n"))
     path = scratch_path(spark, "stop-words")
     IO.write_lines(top, "word", path)
     return IO.read_stop_words(spark, path)
@@ -758,8 +796,8 @@ def q_prompt_config(spark, sf_dir):
     path = scratch_path(spark, "prompt-config")
     IO.write_prompt_config(spark, path, LABEL.prompt_config())
     cfg = IO.read_prompt_config(spark, path)
-    st = test_sentences(spark, sf_dir)
-    return st.select("sentence", T.add_prompt(cfg["detect_prompt"], F.col("sentence")).alias("input"))
+    st = split_sentences_all(spark, sf_dir)
+    return st.select("sentence", SP.SPLIT, T.add_prompt(cfg["detect_prompt"], F.col("sentence")).alias("input"))
 
 
 # ------------------------------------------------------ streaming

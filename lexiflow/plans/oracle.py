@@ -228,13 +228,12 @@ ORACLE["count_tokens"] = (
     _ROWS + f"SELECT input, {S.count_tokens('input')} AS num_tokens FROM "
     f"(SELECT {_TAG} AS input FROM lab_rows)")
 
-_TEST_SRC = "test_st AS (SELECT sentence FROM sp WHERE split = 'test')"
 ORACLE["token_budget"] = (
-    f"WITH {split_ctes()}, {_TEST_SRC}, {SL.dataset_ctes('test_st', LABEL)} "
-    f"SELECT sentence, input, output, task, num_tokens FROM lab_all WHERE num_tokens <= {BUDGET}")
+    f"WITH {split_ctes()}, {SL.dataset_ctes('sp', LABEL, keep=('split',))} "
+    f"SELECT sentence, input, output, task, num_tokens, split FROM lab_all WHERE num_tokens <= {BUDGET}")
 ORACLE["label_dataset"] = (
-    f"WITH {split_ctes()}, {_TEST_SRC}, {SL.dataset_ctes('test_st', LABEL)} "
-    "SELECT sentence, input, output, task, num_tokens FROM lab")
+    f"WITH {split_ctes()}, {SL.dataset_ctes('sp', LABEL, keep=('split',))} "
+    "SELECT sentence, input, output, task, num_tokens, split FROM lab")
 
 
 # ---------------------------------------------------------------- JOB4 parts
@@ -250,9 +249,10 @@ def vocab_ctes() -> str:
             "AS word_id FROM vtok GROUP BY word)")
 
 
-def labeled_ctes(role: str = "test") -> str:
-    return (f"{split_ctes()}, role_st AS (SELECT sentence FROM sp WHERE split = '{role}'), "
-            f"{SL.dataset_ctes('role_st', LABEL)}, {vocab_ctes()}")
+def labeled_ctes(role: str | None = None) -> str:
+    where = f" WHERE split = '{role}'" if role else ""
+    return (f"{split_ctes()}, role_st AS (SELECT sentence, split FROM sp{where}), "
+            f"{SL.dataset_ctes('role_st', LABEL, keep=('split',))}, {vocab_ctes()}")
 
 
 def encode_cte(name: str, col: str) -> str:
@@ -264,7 +264,7 @@ def encode_cte(name: str, col: str) -> str:
 
 def pairs_cte() -> str:
     return (encode_cte("enc_in", "input") + ", " + encode_cte("enc_out", "output") + ", "
-            "pairs AS (SELECT l.example_id, coalesce(i.ids, []) AS in_ids, coalesce(o.ids, []) AS out_ids "
+            "pairs AS (SELECT l.example_id, l.split, coalesce(i.ids, []) AS in_ids, coalesce(o.ids, []) AS out_ids "
             "FROM lab l LEFT JOIN enc_in i USING (example_id) LEFT JOIN enc_out o USING (example_id))")
 
 
@@ -280,24 +280,24 @@ ORACLE["vocab_encode_join"] = (
     "LEFT JOIN enc_in i USING (example_id)")
 
 
-def fixed_sql(role: str) -> str:
+def fixed_sql(keep: str = "") -> str:
     m = MAX_LENGTH
     return (
-        f"WITH {labeled_ctes(role)}, {pairs_cte()}, "
-        f"f AS (SELECT example_id, list_concat(in_ids[1:{m - 1}], [1]) AS fin, "
+        f"WITH {labeled_ctes()}, {pairs_cte()}, "
+        f"f AS (SELECT example_id{keep}, list_concat(in_ids[1:{m - 1}], [1]) AS fin, "
         f"list_concat(out_ids[1:{m - 1}], [1]) AS fout FROM pairs) "
-        f"SELECT example_id, {ids_text(f'list_resize(fin, {m}, 0)')} AS input_ids, "
+        f"SELECT example_id{keep}, {ids_text(f'list_resize(fin, {m}, 0)')} AS input_ids, "
         f"{ids_text(f'list_transform(range({m}), lambda li: CASE WHEN li < len(fin) THEN 1 ELSE 0 END)')} "
         f"AS attention_mask, "
         f"{ids_text(f'list_transform(range({m}), lambda li: CASE WHEN li < len(fout) THEN fout[li + 1] ELSE -100 END)')} "
         f"AS labels FROM f")
 
 
-ORACLE["encode_fixed"] = fixed_sql("test")
-ORACLE["encode_dataset"] = fixed_sql("validation")
+ORACLE["encode_fixed"] = fixed_sql()
+ORACLE["encode_dataset"] = fixed_sql(", split")
 
 ORACLE["encode_longest"] = (
-    f"WITH {labeled_ctes()}, {pairs_cte()}, "
+    f"WITH {labeled_ctes('test')}, {pairs_cte()}, "
     f"f AS (SELECT example_id, (row_number() OVER (ORDER BY example_id) - 1) // {EVAL_BATCH} AS batch, "
     "list_concat(in_ids[1:511], [1]) AS fin, list_concat(out_ids[1:511], [1]) AS fout FROM pairs), "
     "g AS (SELECT *, max(len(fin)) OVER (PARTITION BY batch) AS lin, "
@@ -310,7 +310,7 @@ ORACLE["encode_longest"] = (
 # ------------------------------------------------------ correction parts
 
 from . import sql_correct as SC  # noqa: E402
-from .catalog import CORRECT, N_PROMPT  # noqa: E402
+from .catalog import CORRECT, LONG_WORD, N_PROMPT  # noqa: E402
 
 ORACLE["edit_distance"] = (
     f"WITH {valid_words_ctes()}, t AS (SELECT doc_id, sentence_pos, word_pos, word, "
@@ -324,7 +324,7 @@ ORACLE["edit_gate"] = (
     f"SELECT doc_id, sentence_pos, word_pos, {SC.within('a', 'b', CORRECT.max_edit_distance)} AS accepted FROM q "
     f"WHERE {SL.valid_word('a', LABEL.min_num_characters)} AND {SL.valid_word('b', LABEL.min_num_characters)}")
 
-_LROWS = f"WITH {split_ctes()}, {_TEST_SRC}, {SL.rows_ctes('test_st', LABEL)} "
+_LROWS = f"WITH {split_ctes()}, {SL.rows_ctes('sp', LABEL)} "
 
 ORACLE["strip_prompt_words"] = (
     f"WITH {labeled_ctes()} SELECT example_id, "
@@ -376,6 +376,11 @@ ORACLE["correct_text"] = (
     f"FROM ctext LEFT JOIN flags USING (id)), {SC.chain_ctes('src', CORRECT)} "
     "SELECT conv_id, turn, corrected FROM ctext JOIN chained USING (id)")
 
+ORACLE["correct_text_predictor"] = (
+    f"SELECT conv_id, turn, array_to_string(list_transform(string_split({S.typeset_clean('text')}, ' '), "
+    f"lambda lw: CASE WHEN regexp_matches(lw, '^[A-Za-z]{{{LONG_WORD},}}\\z') "
+    "THEN substr(lw, 1, length(lw) - 1) ELSE lw END), ' ') AS corrected FROM conversations")
+
 _NOCLEAN = type(CORRECT)(clean=False)
 ORACLE["correct_table"] = (
     _LROWS + f", {vocab_ctes()}, "
@@ -389,7 +394,7 @@ ORACLE["correct_table"] = (
 
 # ------------------------------------------------------ scoring parts
 
-from .catalog import STOP_TOP_K  # noqa: E402
+from .catalog import STOP_SHARE  # noqa: E402
 
 
 def encode_src_cte(name: str, src: str, id_col: str, col: str) -> str:
@@ -408,7 +413,7 @@ def predict_ctes() -> str:
                    f"ELSE lw END), ' ')")
     detect_out = f"array_to_string({SL.mark('w', 'list_transform(fl, lambda fs: fs.pos)', h, t)}, ' ')"
     return (
-        f"{labeled_ctes()}, "
+        f"{labeled_ctes('test')}, "
         f"pw AS (SELECT example_id AS id, task, output, string_split(input, ' ')[{N_PROMPT + 1}:] AS w FROM lab), "
         "cw AS (SELECT id, CAST(unnest(range(len(w))) AS INTEGER) AS pos, unnest(w) AS word FROM pw), "
         f"{SC.corrector_ctes('cw', CORRECT)}, "
@@ -461,14 +466,13 @@ ORACLE["running_weighted_mean"] = (
 
 _STOP_CTE = ("stop AS (SELECT word FROM (SELECT word, count(*) AS freq FROM "
              "(SELECT unnest(list_filter(string_split(sentence, ' '), lambda lw: lw <> '')) AS word FROM st) "
-             f"GROUP BY word ORDER BY freq DESC, word LIMIT {STOP_TOP_K}))")
+             f"GROUP BY word) WHERE freq * {STOP_SHARE} >= (SELECT count(*) FROM st))")
 ORACLE["stop_word_scan"] = (
     f"WITH {sentence_table_ctes()}, {_STOP_CTE} SELECT {S.strip_space('word')} AS word FROM stop")
 ORACLE["stop_word_anti_join"] = (
     f"WITH {valid_words_ctes()}, {_STOP_CTE} "
     "SELECT doc_id, sentence_pos, word_pos, word FROM vw WHERE word NOT IN (SELECT word FROM stop)")
 ORACLE["prompt_config"] = (
-    f"WITH {split_ctes()} SELECT sentence, {S.add_prompt(LABEL.detect_prompt, 'sentence')} AS input "
-    "FROM sp WHERE split = 'test'")
+    f"WITH {split_ctes()} SELECT sentence, split, {S.add_prompt(LABEL.detect_prompt, 'sentence')} AS input FROM sp")
 
 ORACLE["stream_correct"] = ORACLE["correct_text"]

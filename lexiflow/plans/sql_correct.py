@@ -61,7 +61,7 @@ def corrector_ctes(words_src: str, cfg: CorrectConfig) -> str:
 
     ``flags`` = list of {pos, best} for unknown valid words, sorted by pos.
     """
-    d = cfg.candidate_distance
+    d = cfg.max_edit_distance
     valid = SL.valid_word("word", cfg.min_num_characters)
     return (
         f"known AS (SELECT word, freq FROM voc WHERE freq >= {cfg.min_freq}), "

@@ -31,9 +31,12 @@ def candidate(w: str, hh: str) -> str:
 
 
 def generate_typo(w: str, seed: int, key: str, copy: str, index: str) -> str:
-    cands = (f"list_transform(range(1, {MAX_TYPO_ATTEMPTS + 1}), lambda la: "
-             f"{candidate(w, S.draw_hash(seed, key, 'typo', copy, index, 'la'))})")
-    return f"list_filter({cands}, lambda lx: lx <> {w})[1]"
+    def first(a: int, z: int) -> str:
+        cands = (f"list_transform(range({a}, {z}), lambda la: "
+                 f"{candidate(w, S.draw_hash(seed, key, 'typo', copy, index, 'la'))})")
+        return f"list_filter({cands}, lambda lx: lx <> {w})[1]"
+
+    return f"coalesce({first(1, 11)}, {first(11, MAX_TYPO_ATTEMPTS + 1)})"
 
 
 def mark(words: str, chosen: str, head: str, tail: str) -> str:
@@ -41,8 +44,9 @@ def mark(words: str, chosen: str, head: str, tail: str) -> str:
             f"THEN {S.lit(head + ' ')} || lm || {S.lit(' ' + tail)} ELSE lm END)")
 
 
-def plan_ctes(src: str, cfg: LabelConfig, text: str = "sentence") -> str:
-    """CTEs ending in ``lab_plan(sentence, key, words, chosen)``."""
+def plan_ctes(src: str, cfg: LabelConfig, text: str = "sentence", keep: tuple = ()) -> str:
+    """CTEs ending in ``lab_plan(sentence, key, words, chosen, *keep)``."""
+    kc = "".join(f", {c}" for c in keep)
     cw = cfg.cumulative_weights()
     cw_sql = "[" + ", ".join(str(c) for c in cw) + "]"
     sel = f"{S.md5_word(S.draw_hash(cfg.seed, 'key', 'sel'))} < {threshold(cfg.typo_probability)}"
@@ -54,44 +58,46 @@ def plan_ctes(src: str, cfg: LabelConfig, text: str = "sentence") -> str:
     chosen = (f"list_transform(list_sort(list_transform(vidx, lambda lv: {{'d': {pos_d}, 'i': lv}}))"
               f"[1:{k}], lambda ls: ls.i)")
     return (
-        f"lab_base AS (SELECT {text} AS sentence, md5({text}) AS key, string_split({text}, ' ') AS words "
+        f"lab_base AS (SELECT {text} AS sentence, md5({text}) AS key, string_split({text}, ' ') AS words{kc} "
         f"FROM {src} WHERE length({text}) >= {MIN_SENTENCE_CHARS}), "
         f"lab_valid AS (SELECT *, list_filter(range(len(words)), lambda lq: "
         f"{valid_word('words[lq + 1]', cfg.min_num_characters, tuple(cfg.stop_words))}) AS vidx "
         f"FROM lab_base), "
         f"lab_plan AS (SELECT sentence, key, words, CASE WHEN {sel} AND len(vidx) > 0 THEN {chosen} END "
-        f"AS chosen FROM lab_valid)"
+        f"AS chosen{kc} FROM lab_valid)"
     )
 
 
-def rows_ctes(src: str, cfg: LabelConfig, text: str = "sentence") -> str:
-    """CTEs ending in ``lab_rows(sentence, task, input, output)``."""
+def rows_ctes(src: str, cfg: LabelConfig, text: str = "sentence", keep: tuple = ()) -> str:
+    """CTEs ending in ``lab_rows(sentence, task, input, output, *keep)``."""
+    kc = "".join(f", {c}" for c in keep)
     typo = (f"list_transform(words, lambda lw, li: CASE WHEN list_contains(chosen, li - 1) THEN "
             f"{generate_typo('lw', cfg.seed, 'key', 'copy', 'li - 1')} ELSE lw END)")
     h, t = cfg.head_mark, cfg.tail_mark
     return (
-        plan_ctes(src, cfg, text) + ", "
-        f"lab_copy AS (SELECT sentence, key, words, chosen, unnest(range({cfg.data_multiple})) AS copy "
+        plan_ctes(src, cfg, text, keep) + ", "
+        f"lab_copy AS (SELECT sentence, key, words, chosen, unnest(range({cfg.data_multiple})) AS copy{kc} "
         f"FROM lab_plan WHERE chosen IS NOT NULL), "
-        f"lab_typo AS (SELECT sentence, key, copy, words, chosen, {typo} AS typo FROM lab_copy), "
+        f"lab_typo AS (SELECT sentence, key, copy, words, chosen, {typo} AS typo{kc} FROM lab_copy), "
         f"lab_mark AS (SELECT sentence, key, copy, array_to_string(typo, ' ') AS typo_s, "
         f"array_to_string({mark('typo', 'chosen', h, t)}, ' ') AS mtypo, "
-        f"array_to_string({mark('words', 'chosen', h, t)}, ' ') AS mclean FROM lab_typo), "
+        f"array_to_string({mark('words', 'chosen', h, t)}, ' ') AS mclean{kc} FROM lab_typo), "
         f"lab_rows AS (SELECT sentence, CAST(0 AS INTEGER) AS task, sentence AS input, sentence AS output, "
-        f"key || ':-1:0' AS example_id FROM lab_plan WHERE chosen IS NULL "
-        f"UNION ALL SELECT sentence, CAST(0 AS INTEGER), typo_s, mtypo, key || ':' || copy || ':0' FROM lab_mark "
-        f"UNION ALL SELECT sentence, CAST(1 AS INTEGER), mtypo, mclean, key || ':' || copy || ':1' FROM lab_mark)"
+        f"key || ':-1:0' AS example_id{kc} FROM lab_plan WHERE chosen IS NULL "
+        f"UNION ALL SELECT sentence, CAST(0 AS INTEGER), typo_s, mtypo, key || ':' || copy || ':0'{kc} FROM lab_mark "
+        f"UNION ALL SELECT sentence, CAST(1 AS INTEGER), mtypo, mclean, key || ':' || copy || ':1'{kc} FROM lab_mark)"
     )
 
 
-def dataset_ctes(src: str, cfg: LabelConfig, text: str = "sentence") -> str:
-    """CTEs ending in ``lab(sentence, input, output, task, num_tokens)``."""
+def dataset_ctes(src: str, cfg: LabelConfig, text: str = "sentence", keep: tuple = ()) -> str:
+    """CTEs ending in ``lab(sentence, input, output, task, num_tokens, *keep)``."""
+    kc = "".join(f", {c}" for c in keep)
     prompted = (f"CASE WHEN task = 0 THEN {S.add_prompt(cfg.detect_prompt, 'input')} "
                 f"ELSE {S.add_prompt(cfg.correct_prompt, 'input')} END")
     return (
-        rows_ctes(src, cfg, text) + ", "
-        f"lab_tag AS (SELECT sentence, {prompted} AS input, output, task, example_id FROM lab_rows), "
+        rows_ctes(src, cfg, text, keep) + ", "
+        f"lab_tag AS (SELECT sentence, {prompted} AS input, output, task, example_id{kc} FROM lab_rows), "
         f"lab_all AS (SELECT sentence, input, output, task, {S.count_tokens('input')} AS num_tokens, "
-        f"example_id FROM lab_tag), "
+        f"example_id{kc} FROM lab_tag), "
         f"lab AS (SELECT * FROM lab_all WHERE num_tokens <= {cfg.max_length})"
     )

@@ -21,13 +21,15 @@ _CSV_OPTS = dict(header=True, quote='"', escape='"')
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
-             null_tokens=PANDAS_NULL_TOKENS) -> DataFrame:
+             null_tokens=PANDAS_NULL_TOKENS, multi_line: bool = True) -> DataFrame:
     """Header CSV with quoted multi-line fields; pandas' null tokens become null.
 
+    A file with line breaks inside fields cannot be split, so each file is one
+    task; ``multi_line=False`` lets Spark split large files that have none.
     All fields are read as text first (Spark's reader knows one null token
     only), tokens are nulled, then fields are cast to ``schema``.
     """
-    reader = spark.read.options(multiLine=True, mode="FAILFAST", **_CSV_OPTS)
+    reader = spark.read.options(multiLine=multi_line, mode="FAILFAST", **_CSV_OPTS)
     if schema is not None:
         reader = reader.schema(
             T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields]))
@@ -50,7 +52,7 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_lines(df: DataFrame, text_col: str, path: str, partition_col: str | None = None) -> None:
-    """One value per line; one directory per ``partition_col`` value when given."""
+    """One value per line, in no particular order of files; one directory per ``partition_col`` value when given."""
     cols = [text_col] + ([partition_col] if partition_col else [])
     w = df.select(*cols).write.mode("overwrite")
     if partition_col:
@@ -66,14 +68,11 @@ def read_lines(spark: SparkSession, path: str, out_col: str = "sentence") -> Dat
 
 
 def read_stop_words(spark: SparkSession, path: str | None) -> DataFrame:
-    """Stripped stop words; no file means no stop words."""
-    schema = "word string"
+    """Stripped stop words. No path means no stop words; a path that cannot be
+    read is an error."""
     if path is None:
-        return spark.createDataFrame([], schema)
-    try:
-        raw = spark.read.text(path)
-    except AnalysisException:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], "word string")
+    raw = spark.read.text(path)
     return raw.select(strip_space(F.col("value")).alias("word"))
 
 
@@ -89,12 +88,17 @@ def write_prompt_config(spark: SparkSession, path: str, config: dict[str, str])
 
 
 def read_prompt_config(spark: SparkSession, path: str) -> dict[str, str]:
-    """The four prompt strings; a missing or empty config is an error."""
+    """The four prompt strings, from JSON of any layout (one line or indented).
+    A path that cannot be read, an empty file and a missing field are errors."""
     schema = T.StructType([T.StructField(k, T.StringType()) for k in PROMPT_KEYS])
     try:
-        rows = spark.read.schema(schema).json(path).take(1)
+        rows = spark.read.schema(schema).json(path, multiLine=True, mode="FAILFAST").take(1)
     except AnalysisException as e:
-        raise ValueError(f"Can't find a prompt config file at path '{path}'") from e
+        raise ValueError(f"no prompt config can be read from {path}") from e
     if not rows:
-        raise ValueError(f"Can't find a prompt config file at path '{path}'")
-    return rows[0].asDict()
+        raise ValueError(f"the prompt config {path} is empty")
+    config = rows[0].asDict()
+    missing = [k for k, v in config.items() if v is None]
+    if missing:
+        raise ValueError(f"the prompt config {path} lacks {missing}")
+    return config

@@ -16,7 +16,7 @@ def _unmark(s, head="$", tail="@"):
 
 def _sentences(spark, sf_dir):
     path = scratch_path(spark, "test-sentences")
-    C.test_sentences(spark, sf_dir).write.parquet(path)
+    C.split_sentences_all(spark, sf_dir).write.parquet(path)
     return spark.read.parquet(path)
 
 
@@ -80,7 +80,7 @@ def test_subword_counter_plugs_into_budget(spark, sf_dir):
     def load():
         return lambda texts: [len([w for w in t.split(" ") if w]) + 1 for t in texts]
 
-    sents = C.test_sentences(spark, sf_dir)
+    sents = C.split_sentences_all(spark, sf_dir)
     cfg = L.LabelConfig(max_length=20)
     built_in = L.label_sentences(sents, "sentence", cfg)
     plugged = L.label_sentences(sents, "sentence", cfg, counter=L.subword_counter(load))

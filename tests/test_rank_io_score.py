@@ -26,12 +26,10 @@ def test_csv_round_trip_with_nulls_and_newlines(spark):
     assert got == [(1, 'line one\nline "two"', None), (2, "  padded  ", None), (3, "a,b", "x")]
 
 
-def test_missing_stop_words_and_prompt_config(spark):
-    assert IO.read_stop_words(spark, None).count() == 0
-    missing = scratch_path(spark, "nothing-here")
-    assert IO.read_stop_words(spark, missing).count() == 0
+def test_missing_prompt_config(spark):
+    import pytest
     with pytest.raises(ValueError):
-        IO.read_prompt_config(spark, missing)
+        IO.read_prompt_config(spark, scratch_path(spark, "nothing-here"))
 
 
 def test_running_mean_blocks(spark, sf_dir):
@@ -44,10 +42,10 @@ def test_running_mean_blocks(spark, sf_dir):
         sv, sn = sv + r.value * r.n, sn + r.n
         acc[r.event_type] = (sv, sn)
         want[r.event_id] = sv / sn
-    for block in (4096, 13):
-        got = SC.running_weighted_mean(ev, "value", "n", "event_type", "event_id", block_size=block).collect()
-        for r in got:
-            assert abs(r.running_mean - want[r.event_id]) < 1e-9
+    got = SC.running_weighted_mean(ev, "value", "n", "event_type", "event_id").collect()
+    assert len(got) == len(want)
+    for r in got:
+        assert abs(r.running_mean - want[r.event_id]) < 1e-9
 
 
 def test_batch_predict_loads_once_per_task(spark):

@@ -36,8 +36,8 @@ def _table(spark, sf_dir):
 
 def test_folds_match_rule(spark, sf_dir):
     st = _table(spark, sf_dir)
-    for block in (4096, 7):  # one block, and many small blocks per class
-        got = SP.stratified_kfold(st, "source", ["doc_id", "sentence_pos"], 10, block_size=block)
+    for parts in (1, 13):  # one partition, and several that cut a class
+        got = SP.stratified_kfold(st, "source", ["doc_id", "sentence_pos"], 10, n_partitions=parts)
         rows = got.orderBy("doc_id", "sentence_pos").collect()
         want = py_stratified_folds([r.source for r in rows], 10)
         assert [r.fold for r in rows] == want
