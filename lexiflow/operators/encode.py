@@ -118,3 +118,13 @@ def encode_longest(df: DataFrame, input_ids: str, output_ids: str, order: list,
         pad_to(F.col("_fin"), F.col("_lin"), PAD_ID).alias("input_ids"),
         attention_mask(F.size("_fin"), F.col("_lin")).alias("attention_mask"),
         pad_to(F.col("_fout"), F.col("_lout"), PAD_ID).alias("labels"))
+
+
+def encode_dataset(labels: DataFrame, id_col: str, vocab: DataFrame, max_length: int = 128) -> DataFrame:
+    """JOB4: ``labels`` (``input``, ``output`` and any other column, such as the
+    split) with ``input_ids``, ``attention_mask`` and ``labels`` of fixed
+    length in place of the two texts. Train, validation and test rows go in one
+    pass; ``vocab`` comes from the training rows."""
+    coded = encode_words(labels, id_col, "input", vocab, "_in_ids")
+    coded = encode_words(coded, id_col, "output", vocab, "_out_ids")
+    return encode_fixed(coded.drop("input", "output"), "_in_ids", "_out_ids", max_length)

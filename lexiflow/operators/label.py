@@ -8,7 +8,7 @@ sentence's own row, so the plan has no Exchange and scales with the scan.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..functions import typo as TY
 from ..functions.draw import draw_hash, scaled, threshold, word32
+from ..sources import io as IO
 
 DETECT, CORRECT = 0, 1
 LABEL_COLUMNS = ("sentence", "input", "output", "task", "num_tokens")
@@ -188,3 +189,30 @@ def label_sentences(df: DataFrame, text_col: str = "sentence", cfg: LabelConfig
     rows = tag_tasks(label_rows(df, text_col, cfg, key_col, with_id, keep), cfg)
     cols = list(LABEL_COLUMNS) + list(keep) + ([EXAMPLE_ID] if with_id else [])
     return budget_tokens(rows, cfg.max_length, counter).select(*cols)
+
+
+def union_rows(first: DataFrame, *more: DataFrame) -> DataFrame:
+    """U1: rows of all frames by column name, duplicates kept."""
+    for df in more:
+        first = first.unionByName(df)
+    return first
+
+
+#: A stop-word file is a short list given by the user; it becomes part of the plan.
+MAX_STOP_WORDS = 100_000
+
+
+def label_files(spark, lines_path: str, csv_path: str, config_path: str, cfg: LabelConfig = LabelConfig(),
+                stop_words_path: str | None = None, counter=T.count_tokens) -> DataFrame:
+    """JOB3 from file to file: read a line file (and a stop-word file), label its
+    sentences, write them as CSV and the prompt config beside; returns what was
+    written. More than ``MAX_STOP_WORDS`` stop words are an error."""
+    if stop_words_path is not None:
+        words = [r.word for r in IO.read_stop_words(spark, stop_words_path).where("word <> ''").distinct().take(MAX_STOP_WORDS + 1)]
+        if len(words) > MAX_STOP_WORDS:
+            raise ValueError(f"{stop_words_path} holds more than {MAX_STOP_WORDS} stop words")
+        cfg = replace(cfg, stop_words=tuple(sorted({*cfg.stop_words, *words})))
+    rows = label_sentences(IO.read_lines(spark, lines_path, "sentence"), "sentence", cfg, counter=counter)
+    IO.write_csv(rows, csv_path)
+    IO.write_prompt_config(spark, config_path, cfg.prompt_config())
+    return IO.read_csv(spark, csv_path, rows.schema)

@@ -3,7 +3,7 @@ for both tasks), exact match (A1), accuracy (A2), weighted means (A3, W2)."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,7 +12,7 @@ from ..functions import text as T
 from ..session import checkpoint_dir
 from . import correct as CO
 from .predict import Predictor, StripPromptPredictor, batch_predict  # noqa: F401
-from .encode import EOS_ID, PAD_ID
+from .encode import EOS_ID, PAD_ID, encode_words, with_eos
 
 # ------------------------------------------------------------------ M3 as predictor
 
@@ -55,6 +55,37 @@ def exact_match(generated: Column, labels: Column, pad: int) -> Column:
     return F.when(n == 0, F.lit(True)).otherwise(ok)
 
 
+def score_rows(df: DataFrame, pred_ids: str, out_ids: str, max_length: int, model_max_length: int = 512,
+               out_col: str = "correct") -> DataFrame:
+    """Add ``out_col`` to rows with encoded predictions and outputs; every other
+    column stays. Padded label positions never count, so rows are scored
+    unpadded and no batches have to be formed."""
+    gen = generated_ids(F.col(pred_ids), max_length)
+    labels = with_eos(F.col(out_ids), model_max_length)
+    return df.withColumn(out_col, exact_match(gen, labels, PAD_ID))
+
+
+def score_test_set(labels: DataFrame, id_col: str, vocab: DataFrame, cfg: CO.CorrectConfig = CO.CorrectConfig(),
+                   max_length: int = 128, predictor: Callable[[], Predictor] | None = None) -> DataFrame:
+    """M4: ``labels`` (``input``, ``output``, ``task`` and any other column) with
+    ``prediction`` and ``correct``. Predictions come from the user's model or,
+    without one, from the vocabulary corrector. Write it with ``write_csv``."""
+    if predictor is None:
+        pred = vocab_predict(labels, id_col, "input", "task", vocab, cfg)
+    else:
+        pred = batch_predict(labels, "input", predictor, "prediction")
+    coded = encode_words(pred, id_col, "prediction", vocab, "_pred_ids")
+    coded = encode_words(coded, id_col, "output", vocab, "_out_ids")
+    return score_rows(coded, "_pred_ids", "_out_ids", max_length).drop("_pred_ids", "_out_ids")
+
+
+def evaluate_dataset(labels: DataFrame, id_col: str, vocab: DataFrame, cfg: CO.CorrectConfig = CO.CorrectConfig(),
+                     max_length: int = 128, predictor: Callable[[], Predictor] | None = None,
+                     by: Sequence[str] = ()) -> DataFrame:
+    """JOB5: the accuracy over a labelled set (per group with ``by``)."""
+    return accuracy(score_test_set(labels, id_col, vocab, cfg, max_length, predictor), "correct", by)
+
+
 def accuracy(df: DataFrame, correct_col: str = "correct", by: Sequence[str] = ()) -> DataFrame:
     """Share of correct rows (optionally per group); partial + final aggregate."""
     aggs = [F.count(F.lit(1)).alias("n_rows"),

@@ -400,7 +400,8 @@ def q_fan_out(spark, sf_dir):
 @query("union_tasks")
 def q_union_tasks(spark, sf_dir):
     rows = L.label_rows(all_sentences(spark, sf_dir), "sentence", LABEL)
-    return rows.groupBy("task").agg(F.count(F.lit(1)).alias("n_rows"))
+    both = L.union_rows(rows.where(F.col("task") == L.DETECT), rows.where(F.col("task") == L.CORRECT))
+    return both.groupBy("task").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 @query("task_tag")
@@ -486,7 +487,8 @@ def q_vocab_encode_join(spark, sf_dir):
 
 
 def _fixed(spark, sf_dir):
-    e = EN.encode_fixed(encoded_pairs(spark, sf_dir), "in_ids", "out_ids", MAX_LENGTH)
+    lab = labeled(spark, sf_dir).select(L.EXAMPLE_ID, SP.SPLIT, "input", "output")
+    e = EN.encode_dataset(lab, L.EXAMPLE_ID, train_vocabulary(spark, sf_dir), MAX_LENGTH)
     return e.select(L.EXAMPLE_ID, SP.SPLIT, ids_text(F.col("input_ids")).alias("input_ids"),
                     ids_text(F.col("attention_mask")).alias("attention_mask"),
                     ids_text(F.col("labels")).alias("labels"))
@@ -707,13 +709,14 @@ def predictions(spark, sf_dir) -> DataFrame:
     return write_table(EN.encode_words(x, L.EXAMPLE_ID, "output", voc, "out_ids"), "predictions")
 
 
+def test_labels(spark, sf_dir) -> DataFrame:
+    return labeled(spark, sf_dir, SP.TEST).select(L.EXAMPLE_ID, "task", "input", "output")
+
+
 def scored(spark, sf_dir) -> DataFrame:
-    """M4: 5_test semantics (longest padding per batch, pad marker 0)."""
-    p = predictions(spark, sf_dir).withColumn("_p", F.col("pred_ids"))
-    enc = EN.encode_longest(p, "_p", "out_ids", [F.col(L.EXAMPLE_ID)], EVAL_BATCH)
-    # the generator's view is the bare prediction: start + ids + end
-    gen = SC.generated_ids(F.col("pred_ids"), MAX_LENGTH)
-    return enc.select(L.EXAMPLE_ID, "task", SC.exact_match(gen, F.col("labels"), EN.PAD_ID).alias("correct"))
+    """M4: predictions of the vocabulary corrector, pad marker 0."""
+    return SC.score_test_set(test_labels(spark, sf_dir), L.EXAMPLE_ID, train_vocabulary(spark, sf_dir), CORRECT,
+                             MAX_LENGTH).select(L.EXAMPLE_ID, "task", "correct")
 
 
 @query("batch_predict")
@@ -745,7 +748,7 @@ def q_accuracy(spark, sf_dir):
 
 @query("evaluate_dataset")
 def q_evaluate_dataset(spark, sf_dir):
-    return SC.accuracy(scored(spark, sf_dir), "correct")
+    return SC.evaluate_dataset(test_labels(spark, sf_dir), L.EXAMPLE_ID, train_vocabulary(spark, sf_dir), CORRECT, MAX_LENGTH)
 
 
 def weighted_events(spark, sf_dir) -> DataFrame:

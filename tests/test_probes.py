@@ -155,3 +155,35 @@ def test_scratch_names_are_unique(spark):
     S.remove_path(spark, a)
     with pytest.raises(Exception):
         spark.read.parquet(a)
+
+
+def test_label_files(spark, tmp_path):
+    from lexiflow.operators import label as L
+
+    lines = tmp_path / "lines.txt"
+    lines.write_text("plain words everywhere\nstopped words everywhere\n")
+    stop = tmp_path / "stop.txt"
+    stop.write_text("plain\nwords\neverywhere\nstopped\n")
+    cfg = L.LabelConfig(typo_probability=1.0)
+    some = L.label_files(spark, str(lines), str(tmp_path / "a"), str(tmp_path / "ca"), cfg)
+    none = L.label_files(spark, str(lines), str(tmp_path / "b"), str(tmp_path / "cb"), cfg, str(stop))
+    assert some.where("input like 'correct%'").count() == 8 and none.count() == 2  # no word left to change
+    assert IO.read_prompt_config(spark, str(tmp_path / "cb")) == cfg.prompt_config()
+
+
+def test_scores_with_a_user_model(spark):
+    rows = [(1, 0, "detect typo: a b", "a b", "x"), (2, 1, "correct typo: a c", "a b", "y")]
+    df = spark.createDataFrame(rows, "id long, task int, input string, output string, extra string")
+    voc = spark.createDataFrame([("a", 3, 3), ("b", 2, 4), ("c", 1, 5)], "word string, freq long, word_id long")
+    from lexiflow.operators.predict import StripPromptPredictor
+
+    out = SC.score_test_set(df, "id", voc, predictor=lambda: StripPromptPredictor(2))
+    assert {(r.id, r.extra, r.prediction, r.correct) for r in out.collect()} == {(1, "x", "a b", True), (2, "y", "a c", False)}
+    assert SC.evaluate_dataset(df, "id", voc, predictor=lambda: StripPromptPredictor(2)).first().accuracy == 0.5
+
+
+def test_union_keeps_duplicates(spark):
+    from lexiflow.operators import label as L
+
+    a = spark.createDataFrame([(1, "x"), (1, "x")], "k long, t string")
+    assert L.union_rows(a, a.select("t", "k")).count() == 4
