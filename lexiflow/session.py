@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -71,7 +73,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     folder (and may share a process id, as in containers) apart.
     """
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tables/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    path = f"{base}/tables/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    made = _scope.get()
+    if made is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete at the end every scratch location handed out inside: for work that
+    has stored its result elsewhere by then, such as one micro-batch."""
+    made: list[str] = []
+    token = _scope.set(made)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        for path in made:
+            remove_path(spark, path)
+
+
+_scope: ContextVar[list[str] | None] = ContextVar("lexiflow_scratch", default=None)
 
 
 def remove_path(spark: SparkSession, path: str) -> None:

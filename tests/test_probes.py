@@ -157,6 +157,15 @@ def test_scratch_names_are_unique(spark):
         spark.read.parquet(a)
 
 
+def test_scope_leaves_nothing(spark):
+    with S.scratch_scope(spark):
+        df = S.write_table(spark.range(3), "gone")
+        path = df.inputFiles()[0]
+        assert df.count() == 3
+    with pytest.raises(Exception):
+        spark.read.parquet(path)
+
+
 def test_label_files(spark, tmp_path):
     from lexiflow.operators import label as L
 
