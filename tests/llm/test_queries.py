@@ -11,7 +11,7 @@ from check_oracle import digest
 from lexiflow.llm.catalog import LLM_ORACLE, LLM_QUERIES
 from lexiflow.sources.tables import TABLES
 
-SF = "/root/testdata/sf0.01"
+SF = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="module")
@@ -59,7 +59,7 @@ def test_pipeline_stages(spark, tmp_path):
     whole = C.run(spark, SF).collect()
     assert len(whole) == seen["pack"]
     assert {r.doc_id for r in whole} == {r.doc_id for r in docs.collect()}
-    assert 700 < len(texts) < 1000  # clean documents stay
+    assert len(texts) > 0.6 * spark.read.parquet(f"{SF}/documents.parquet").count()  # clean documents stay
 
 
 def test_pipeline_takes_odd_rows(spark, stored, tmp_path):

@@ -2,6 +2,7 @@ import collections
 import math
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -53,16 +54,17 @@ def test_exact_sizes_and_gapless_slots(spark, stored, cfg):
     assert collections.Counter((r.doc_id, r["size"], r.text_crc32) for r in got) == want
 
 
-def test_uniform_over_seeds(spark, stored):
-    """Every row comes to every place equally often (chi-square over seeds)."""
-    df = stored([(i, "x") for i in range(6)], "doc_id long, text string", 2)
-    n, seen = 30, collections.Counter()
-    for seed in range(n):
-        for r in S.shard_documents(df, S.ShardConfig(n_shards=2, seed=seed * 7919, block_rows=2)).collect():
-            seen[(r.doc_id, r.shard, r.slot)] += 1
-    expected = n / 6
-    chi = sum((seen.get((d, s, k), 0) - expected) ** 2 / expected for d in range(6) for s in range(2) for k in range(3))
-    assert chi < 60  # 25 degrees of freedom: beyond 60 about once in 10,000
+def test_no_trace_of_the_order(spark, stored):
+    """Neither shard nor slot depends on where a row was."""
+    df = stored([(i, "x") for i in range(4000)], "doc_id long, text string", 2)
+    rows = S.shard_documents(df, S.ShardConfig(block_rows=500)).collect()
+    seen = collections.Counter((r.doc_id // 500, r.shard) for r in rows)
+    chi = sum((seen[(b, s)] - 62.5) ** 2 / 62.5 for b in range(8) for s in range(8))
+    assert 15 < chi < 95  # 49 degrees of freedom
+    for s in range(8):
+        pairs = [(r.doc_id, r.slot) for r in rows if r.shard == s]
+        ids, slots = (np.array(x, float) for x in zip(*pairs))
+        assert abs(np.corrcoef(ids, slots)[0, 1]) < 0.2  # 4.5 deviations
 
 
 def test_few_rows_and_none(spark, stored):
