@@ -137,8 +137,7 @@ def sets_of(src: DataFrame, k: int) -> DataFrame:
 def shared_counts(src: DataFrame, k: int, total: int, cfg: JoinConfig) -> DataFrame:
     """``rid, shared``: shingles of each row that some other row has, or a few
     more (32 bits of a hash are compared within a range). ``src``: rid, text."""
-    parts = int(src.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bits = max(0, (max(parts, -(-total // cfg.range_shingles)) - 1).bit_length())
+    bits = max(6, (max(1, -(-total // cfg.range_shingles)) - 1).bit_length())
     names = ["r", "rids", "lens", "own", "common", "counted", "counts"]
 
     def pack(sets: list[np.ndarray], rids: list[int]) -> Iterator[pa.RecordBatch]:
@@ -277,7 +276,7 @@ def pivot_round(posts: DataFrame, sets: DataFrame, cfg: JoinConfig) -> tuple[Dat
                               F.max(F.when(F.col("cls").isNull(), F.col("d"))).alias("free_hi"),
                               F.min("cls").alias("lo"), F.max("cls").alias("hi"))
     span = span.where(F.col("free_lo").isNotNull() | (F.col("lo") != F.col("hi")))
-    left = d.join(span, "g").where(
+    left = d.join(broadcast_if_small(write_table(span, "region-spans")), "g").where(
         F.col("cls").isNull() | (F.col("lo") != F.col("hi"))
         | ((F.col("d") >= F.col("free_lo") - eps) & (F.col("d") <= F.col("free_hi") + eps)))
     return links, left.select("g", "h", "x", "n", "own", "cls", "d")
@@ -344,9 +343,9 @@ def components(edges: DataFrame) -> DataFrame:
     both = write_table(edges.unionByName(edges.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct(), "edges")
     labels = write_table(both.groupBy("x").agg(F.least(F.col("x"), F.min("y")).alias("c")), "labels")
     while True:
-        low = both.join(labels.select(F.col("x").alias("y"), "c"), "y").groupBy("x").agg(F.min("c").alias("m"))
+        low = both.join(broadcast_if_small(labels.select(F.col("x").alias("y"), "c")), "y").groupBy("x").agg(F.min("c").alias("m"))
         hooked = write_table(labels.join(low, "x").select("x", "c", F.least("c", "m").alias("m")), "hooked")
-        jump = hooked.select(F.col("x").alias("m"), F.col("m").alias("mm"))
+        jump = broadcast_if_small(hooked.select(F.col("x").alias("m"), F.col("m").alias("mm")))
         moved = write_table(hooked.join(jump, "m").select("x", F.least("m", "mm").alias("c"), F.col("c").alias("was")), "labels")
         labels = moved.select("x", "c")
         if moved.where("c <> was").isEmpty():
