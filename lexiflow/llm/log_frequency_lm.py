@@ -11,10 +11,10 @@ words.
 Scores are interpolated: p(w | u) = weight * c(uw) / c(u) + (1 - weight) * p(w),
 p(w) = (c(w) + 1) / (N + V + 1), with the counts that the filter gives.
 
-Scale: a learning task sends each n-gram it has seen with its count (64-bit
-hashes for pairs), summed by a partial and a final aggregate. The filter is
-built by segment: each n-gram lies in one segment of ``SEGMENT_BITS`` bits, so a
-task builds whole segments and only finished ones reach the driver. The filter
+Scale: a learning task sends each n-gram it has seen (a 64-bit hash) with its
+count; one shuffle sums them. The filter is built by segment: each n-gram lies
+in one segment of ``SEGMENT_BITS`` bits, and n-grams are stored by hash range, so
+a task builds few segments and only finished ones reach the driver. The filter
 grows with the number of distinct n-grams up to ``max_filter_bytes``; beyond it
 the rate of false positives rises, and no n-gram is dropped. Exact word counts (for
 the base score) of the ``head_words`` most frequent words, or fewer, go to the
@@ -26,7 +26,6 @@ from; repeated rows count again; if nothing is learned from, N = V = 0.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_path, write_table
+from ..session import write_table
 from .common import bounded_batches, row_ids
 
 SEGMENT_BITS = 1 << 16
@@ -52,7 +51,7 @@ class LmConfig:
     base: float = 1.5
     weight: float = 0.7
     max_filter_bytes: int = 128 << 20
-    head_words: int = 2 << 20
+    head_words: int = 1 << 20
 
     def thresholds(self) -> np.ndarray:
         """Smallest count of each level (1, 2, 3, 4, 6, ... for base 1.5)."""
@@ -79,8 +78,8 @@ def pair_hash(first: np.ndarray, second: np.ndarray) -> np.ndarray:
 def word_hashes(words: list[bytes], cache: dict[bytes, int]) -> np.ndarray:
     if len(cache) > CACHE_WORDS:
         cache.clear()
-    for w in set(words).difference(cache):
-        cache[w] = xxhash.xxh64_intdigest(w)
+    new = set(words).difference(cache)
+    cache.update(zip(new, map(xxhash.xxh64_intdigest, new)))
     return np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
 
 
@@ -95,14 +94,16 @@ def bit_positions(h: np.ndarray, level: int) -> list[np.ndarray]:
 
 
 def build_segments(h: np.ndarray, level: np.ndarray, seg: np.ndarray, bits: dict[int, np.ndarray]) -> None:
-    """Enter n-grams at levels 1 to ``level`` into ``bits`` (a byte array by segment)."""
-    for s in np.unique(seg):
-        own = seg == s
-        hs, ls = h[own], level[own]
-        b = bits.setdefault(int(s), np.zeros(SEGMENT_BITS // 8, np.uint8))
+    """Enter n-grams at levels 1 to ``level`` into ``bits`` (an array of booleans by segment)."""
+    order = np.argsort(seg, kind="stable")
+    h, level, seg = h[order], level[order], seg[order]
+    cut = np.flatnonzero(np.r_[True, seg[1:] != seg[:-1]]) if len(seg) else []
+    for a, z in zip(cut, np.r_[cut[1:], len(seg)] if len(seg) else []):
+        b = bits.setdefault(int(seg[a]), np.zeros(SEGMENT_BITS, bool))
+        hs, ls = h[a:z], level[a:z]
         for q in range(1, int(ls.max()) + 1):
             for at in bit_positions(hs[ls >= q], q):
-                np.bitwise_or.at(b, at >> 3, np.left_shift(1, at & 7).astype(np.uint8))
+                b[at] = True
 
 
 def probe(h: np.ndarray, bits: np.ndarray, n_segments: int) -> np.ndarray:
@@ -151,62 +152,57 @@ def pairs_of(h: np.ndarray, lens: np.ndarray) -> np.ndarray:
     return pair_hash(before, h)
 
 
-def count_ngrams(train: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(``word, h, n``) of words and (``h, n``) of pairs over all rows of ``train`` (text)."""
+def count_ngrams(train: DataFrame) -> DataFrame:
+    """``pair, h, n``: count of every word (``pair`` false) and pair over all rows of
+    ``train`` (text), by 64-bit hash; stored, the n-grams of one of 4096 ranges of hashes in one file."""
     spark = train.sparkSession
     bounded_batches(spark)
 
-    def emit(words, hashes, counts):
-        return pa.RecordBatch.from_arrays(
-            [pa.array(words, pa.binary()), pa.array(hashes.view(np.int64)), pa.array(counts, pa.int64())], ["word", "h", "n"])
+    def emit(pair: bool, h: np.ndarray, n: np.ndarray):
+        for i in range(0, len(h), 200_000):
+            part = h[i:i + 200_000]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(part), pair)), pa.array(part.view(np.int64)), pa.array(n[i:i + 200_000])], ["pair", "h", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache: dict[bytes, int] = {}
-        uni: Counter = Counter()
+        names: dict[bytes, int] = {}  # number of each word since the last flush
+        hashes: list[np.ndarray] = []
+        counts = np.zeros(0, np.int64)
         held: list[np.ndarray] = []
         size = 0
 
         def flush():
-            if held:
-                h, n = np.unique(np.concatenate(held), return_counts=True)
-                for i in range(0, len(h), 100_000):
-                    yield emit([None] * len(h[i:i + 100_000]), h[i:i + 100_000], n[i:i + 100_000])
-                held.clear()
+            if names:
+                yield from emit(False, np.concatenate(hashes), counts)
+                yield from emit(True, *np.unique(np.concatenate(held), return_counts=True))
 
         for b in batches:
             flat, lens = tokens(b.column(0).cast(pa.binary()).to_pylist())
-            uni.update(flat)
-            held.append(pairs_of(word_hashes(flat, cache), lens))
+            new = list(set(flat).difference(names))
+            names.update(zip(new, range(len(names), len(names) + len(new))))
+            hashes.append(np.fromiter(map(xxhash.xxh64_intdigest, new), np.uint64, len(new)))
+            ids = np.fromiter(map(names.__getitem__, flat), np.int64, len(flat))
+            counts = np.bincount(ids, minlength=len(names)) + np.pad(counts, (0, len(names) - len(counts)))
+            known = np.concatenate(hashes)
+            hashes = [known]
+            held.append(pairs_of(known[ids], lens))
             size += len(flat)
-            if size > FLUSH_PAIRS or len(uni) > 2 * CACHE_WORDS:
+            if size > FLUSH_PAIRS:
                 yield from flush()
-                size = 0
-                yield from _words(uni)
-                uni.clear()
+                names.clear()
+                hashes, held, size, counts = [], [], 0, np.zeros(0, np.int64)
         yield from flush()
-        yield from _words(uni)
-
-    def _words(uni: Counter):
-        words = list(uni)
-        for i in range(0, len(words), 50_000):
-            part = words[i:i + 50_000]
-            yield emit(part, np.array([xxhash.xxh64_intdigest(w) for w in part], np.uint64), [uni[w] for w in part])
 
-    rows = train.mapInArrow(run, "word binary, h bigint, n bigint")
-    total = rows.groupBy("word", "h").agg(F.sum("n").alias("n")).withColumn("kind", F.col("word").isNotNull().cast("int"))
-    path = scratch_path(spark, "ngrams")
-    total.write.partitionBy("kind").parquet(path)
-    both = spark.read.schema("word binary, h bigint, n bigint, kind int").parquet(path)
-    return both.where("kind = 1").select("word", "h", "n"), both.where("kind = 0").select("h", "n")
+    # the range of the hash decides the partition, so a task of the filter meets few segments
+    rows = train.mapInArrow(run, "pair boolean, h bigint, n bigint").withColumn("r", F.shiftrightunsigned("h", 52))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    total = rows.repartition(parts, "r").groupBy("r", "pair", "h").agg(F.sum("n").alias("n"))
+    return write_table(total.select("pair", "h", "n"), "ngrams")
 
 
-def build_filter(ngrams: DataFrame, cfg: LmConfig) -> tuple[np.ndarray, int]:
+def build_filter(ngrams: DataFrame, entries: int, cfg: LmConfig) -> tuple[np.ndarray, int]:
     """Bits and segments of the filter for ``ngrams`` (h, n; stored)."""
     th = cfg.thresholds()
-    # entries by power of two of the count, a table of at most 64 rows
-    by_size = ngrams.groupBy(F.floor(F.log2("n")).alias("p")).agg(
-        F.count(F.lit(1)).alias("c"), F.min("n").alias("lo"), F.max("n").alias("hi")).collect()
-    entries = sum(r["c"] * int(np.searchsorted(th, (r["lo"] + r["hi"]) // 2, "right")) for r in by_size)
     if not entries:
         return np.zeros(0, np.uint8), 0
     wanted = int(np.ceil(entries * HASHES / np.log(2) / SEGMENT_BITS))
@@ -214,34 +210,36 @@ def build_filter(ngrams: DataFrame, cfg: LmConfig) -> tuple[np.ndarray, int]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits: dict[int, np.ndarray] = {}
+        held, size = [], 0
+
+        def enter():
+            t = pa.Table.from_batches(held)
+            h = t.column(0).to_numpy().view(np.uint64)
+            build_segments(h, np.searchsorted(th, t.column(1).to_numpy(), "right"), segments(h, n), bits)
+
         for b in batches:
-            h = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            level = np.searchsorted(th, b.column(1).to_numpy(zero_copy_only=False), "right")
-            build_segments_sorted(h, level, segments(h, n), bits)
+            held.append(b)
+            size += b.num_rows
+            if size > 1 << 20:
+                enter()
+                held, size = [], 0
+        if held:
+            enter()
         keys = sorted(bits)
         for i in range(0, len(keys), 200):
             part = keys[i:i + 200]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(part, pa.int64()), pa.array([bits[k].tobytes() for k in part], pa.binary())], ["seg", "bits"])
+                [pa.array(part, pa.int64()), pa.array([np.packbits(bits[k], bitorder="little").tobytes() for k in part],
+                                                      pa.binary())], ["seg", "bits"])
 
-    seg = F.shiftrightunsigned(F.shiftrightunsigned("h", 32) * F.lit(n), 32)
-    parts = max(1, min(n, int(ngrams.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    # a segment's n-grams come to one task; a task holds its share of the filter
-    dealt = ngrams.select("h", "n", seg.alias("seg")).repartition(parts, "seg").sortWithinPartitions("seg").select("h", "n")
     out = np.zeros(n * (SEGMENT_BITS // 8), np.uint8)
-    for r in dealt.mapInArrow(run, "seg bigint, bits binary").toLocalIterator():
-        at = r["seg"] * (SEGMENT_BITS // 8)
-        out[at:at + SEGMENT_BITS // 8] = np.frombuffer(r["bits"], np.uint8)
+    got = ngrams.select("h", "n").mapInArrow(run, "seg bigint, bits binary").toArrow()
+    for seg, bits in zip(got.column("seg").to_pylist(), got.column("bits")):
+        at = seg * (SEGMENT_BITS // 8)
+        out[at:at + SEGMENT_BITS // 8] |= np.frombuffer(bits.as_buffer(), np.uint8)
     return out, n
 
 
-def build_segments_sorted(h: np.ndarray, level: np.ndarray, seg: np.ndarray, bits: dict[int, np.ndarray]) -> None:
-    """As ``build_segments``, for n-grams in order of their segment."""
-    cut = np.flatnonzero(np.r_[True, seg[1:] != seg[:-1]]) if len(seg) else []
-    for a, z in zip(cut, np.r_[cut[1:], len(seg)] if len(seg) else []):
-        build_segments(h[a:z], level[a:z], seg[a:z], bits)
-
-
 # ------------------------------------------------------------------ scoring
 
 
@@ -254,21 +252,26 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
     bounded_batches(spark)
     src = row_ids(docs.select(F.col(id_col).alias("id"), F.coalesce(held_out, F.lit(False)).alias("held_out"),
                               F.col(text_col).alias("text")))
-    words, pairs = count_ngrams(src.where("not held_out").select("text"))
-    n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    bits, n_segments = build_filter(words.select("h", "n").unionByName(pairs), cfg)
+    ngrams = count_ngrams(src.where("not held_out").select("text"))
+    # by power of two of the count: a table of at most 128 rows
+    sizes = ngrams.groupBy("pair", F.floor(F.log2("n")).cast("int").alias("p")).agg(
+        F.count(F.lit(1)).alias("c"), F.sum("n").alias("s")).collect()
+    words = {r["p"]: r["c"] for r in sizes if not r["pair"]}
+    n, v = sum(r["s"] for r in sizes if not r["pair"]), sum(words.values())
+    th = cfg.thresholds()
+    bits, n_segments = build_filter(ngrams, sum(r["c"] * int(np.searchsorted(th, r["s"] // r["c"], "right")) for r in sizes), cfg)
     # the least count of a word of the head, a power of two
-    sizes = {r["p"]: r["c"] for r in words.groupBy(F.floor(F.log2("n")).cast("int").alias("p")).agg(
-        F.count(F.lit(1)).alias("c")).collect()}
-    least, head_size = 0, sum(sizes.values())
+    least, head_size = 0, v
     while head_size > cfg.head_words:
-        head_size -= sizes.get(least, 0)
+        head_size -= words.get(least, 0)
         least += 1
-    head = words.where(F.col("n") >= 1 << least).select("h", "n").toPandas()
-    order = np.argsort(head["h"].to_numpy().view(np.uint64) if len(head) else np.zeros(0, np.uint64))
-    model = spark.sparkContext.broadcast({
-        "bits": bits, "head_h": head["h"].to_numpy(np.int64).view(np.uint64)[order], "head_n": head["n"].to_numpy(np.int64)[order]})
-    th, has_tail = cfg.thresholds(), least > 0
+    words = ngrams.where("not pair").select("h", "n")
+    head = words.where(F.col("n") >= 1 << least).toArrow()
+    head_h = head.column("h").to_numpy().view(np.uint64)
+    order = np.argsort(head_h)
+    model = spark.sparkContext.broadcast({"bits": bits, "head_h": head_h[order], "head_n": head.column("n").to_numpy()[order]})
+    del bits, head, head_h
+    has_tail = least > 0
     log_all = float(np.log10(n + v + 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,9 +279,10 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
         cache: dict[bytes, int] = {}
         for b in batches:
             flat, lens = tokens(b.column(2).cast(pa.binary()).to_pylist())
-            names: dict[bytes, int] = {}
-            ids = np.fromiter((names.setdefault(w, len(names)) for w in flat), np.int64, len(flat))
-            uh = word_hashes(list(names), cache)
+            distinct = list(set(flat))
+            names = dict(zip(distinct, range(len(distinct))))
+            ids = np.fromiter(map(names.__getitem__, flat), np.int64, len(flat))
+            uh = word_hashes(distinct, cache)
             first = np.cumsum(lens) - lens
             # exact counts of the head
             at = np.minimum(np.searchsorted(m["head_h"], uh), max(0, len(m["head_h"]) - 1))
