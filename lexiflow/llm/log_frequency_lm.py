@@ -14,11 +14,15 @@ p(w) = (c(w) + 1) / (N + V + 1), with the counts that the filter gives.
 Scale: a learning task sends each n-gram it has seen (a 64-bit hash) with its
 count; one shuffle sums them. The filter is built by segment: each n-gram lies
 in one segment of ``SEGMENT_BITS`` bits, and n-grams are stored by hash range, so
-a task builds few segments and only finished ones reach the driver. The filter
-grows with the number of distinct n-grams up to ``max_filter_bytes``; beyond it
-the rate of false positives rises, and no n-gram is dropped. Exact word counts (for
-the base score) of the ``head_words`` most frequent words, or fewer, go to the
-workers as arrays; tokens of rarer words are joined by a shuffle.
+a task builds few segments and only finished ones leave it. The filter grows with
+the number of distinct n-grams, so the rate of false positives is the same at any
+size. Up to ``max_filter_bytes`` it is broadcast. A larger one is never in one
+place: the distinct words and pairs of the texts are dealt, with the segments, by
+slices of ``SLICE_SEGMENTS`` segments, a task probes one slice at a time, and the
+texts' pairs are joined with what their probes gave. Both ways give the same
+levels. Exact word counts (for the base score) of the ``head_words`` most frequent
+words, or fewer, go to the workers as arrays; tokens of rarer words are joined by a
+shuffle.
 
 Edge cases: a null or empty text is the end token alone; a null id is learned
 from; repeated rows count again; if nothing is learned from, N = V = 0.
@@ -35,14 +39,17 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import write_table
+from ..session import broadcast_if_small, shuffle_partitions, write_table
 from .common import bounded_batches, row_ids
 
 SEGMENT_BITS = 1 << 16
+SEGMENT_BYTES = SEGMENT_BITS // 8
+SLICE_SEGMENTS = 64
 HASHES = 4
 END = b"\n"  # not a word, since words hold no white space
 CACHE_WORDS = 400_000
 FLUSH_PAIRS = 4 << 20
+PROBES = 1 << 17  # probes of a slice at a time
 
 
 @dataclass(frozen=True)
@@ -50,6 +57,7 @@ class LmConfig:
     #: ratio of neighbouring levels
     base: float = 1.5
     weight: float = 0.7
+    #: the largest filter that is broadcast; a larger one is probed in slices
     max_filter_bytes: int = 128 << 20
     head_words: int = 1 << 20
 
@@ -106,14 +114,14 @@ def build_segments(h: np.ndarray, level: np.ndarray, seg: np.ndarray, bits: dict
                 b[at] = True
 
 
-def probe(h: np.ndarray, bits: np.ndarray, n_segments: int) -> np.ndarray:
-    """Level of each n-gram (0: not there)."""
+def probe(h: np.ndarray, bits: np.ndarray, n_segments: int, first: int = 0, most: int = len(LmConfig().thresholds())) -> np.ndarray:
+    """Level of each n-gram (0: not there), ``most`` at most. ``bits`` begins with segment ``first``."""
     out = np.zeros(len(h), np.int64)
     if not n_segments:
         return out
-    alive, base = np.arange(len(h)), segments(h, n_segments) * (SEGMENT_BITS // 8)
+    alive, base = np.arange(len(h)), (segments(h, n_segments) - first) * SEGMENT_BYTES
     level = 0
-    while len(alive):
+    while len(alive) and level < most:
         level += 1
         hit = np.ones(len(alive), bool)
         for at in bit_positions(h[alive], level):
@@ -125,7 +133,7 @@ def probe(h: np.ndarray, bits: np.ndarray, n_segments: int) -> np.ndarray:
 
 def decode(level: np.ndarray, thresholds: np.ndarray) -> np.ndarray:
     """The middle of the level's counts."""
-    low = thresholds[np.maximum(level, 1) - 1]
+    low = thresholds[np.minimum(np.maximum(level, 1), len(thresholds)) - 1]
     high = thresholds[np.minimum(np.maximum(level, 1), len(thresholds) - 1)] - 1
     return np.where(level > 0, (low + np.maximum(high, low)) / 2, 0.0)
 
@@ -200,13 +208,15 @@ def count_ngrams(train: DataFrame) -> DataFrame:
     return write_table(total.select("pair", "h", "n"), "ngrams")
 
 
-def build_filter(ngrams: DataFrame, entries: int, cfg: LmConfig) -> tuple[np.ndarray, int]:
-    """Bits and segments of the filter for ``ngrams`` (h, n; stored)."""
+def filter_segments(entries: int) -> int:
+    """Segments of a filter that ``entries`` entries fill to one half."""
+    return int(np.ceil(entries * HASHES / np.log(2) / SEGMENT_BITS))
+
+
+def filter_parts(ngrams: DataFrame, n: int, cfg: LmConfig) -> DataFrame:
+    """``seg, bits``: the filter of ``n`` segments for ``ngrams`` (h, n; stored). A segment
+    may come in several rows, which are to be united."""
     th = cfg.thresholds()
-    if not entries:
-        return np.zeros(0, np.uint8), 0
-    wanted = int(np.ceil(entries * HASHES / np.log(2) / SEGMENT_BITS))
-    n = max(1, min(wanted, cfg.max_filter_bytes // (SEGMENT_BITS // 8)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits: dict[int, np.ndarray] = {}
@@ -215,7 +225,16 @@ def build_filter(ngrams: DataFrame, entries: int, cfg: LmConfig) -> tuple[np.nda
         def enter():
             t = pa.Table.from_batches(held)
             h = t.column(0).to_numpy().view(np.uint64)
-            build_segments(h, np.searchsorted(th, t.column(1).to_numpy(), "right"), segments(h, n), bits)
+            level, seg = np.searchsorted(th, t.column(1).to_numpy(), "right"), segments(h, n)
+            order = np.argsort(seg, kind="stable")
+            h, level, seg = h[order], level[order], seg[order]
+            cut = np.r_[0, np.flatnonzero(np.diff(seg // SLICE_SEGMENTS)) + 1, len(seg)]
+            for a, z in zip(cut[:-1], cut[1:]):  # a slice at a time is unpacked
+                part: dict[int, np.ndarray] = {}
+                build_segments(h[a:z], level[a:z], seg[a:z], part)
+                for k, x in part.items():
+                    x = np.packbits(x, bitorder="little")
+                    bits[k] = bits[k] | x if k in bits else x
 
         for b in batches:
             held.append(b)
@@ -223,26 +242,109 @@ def build_filter(ngrams: DataFrame, entries: int, cfg: LmConfig) -> tuple[np.nda
             if size > 1 << 20:
                 enter()
                 held, size = [], 0
-        if held:
+        if size:
             enter()
         keys = sorted(bits)
         for i in range(0, len(keys), 200):
             part = keys[i:i + 200]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(part, pa.int64()), pa.array([np.packbits(bits[k], bitorder="little").tobytes() for k in part],
-                                                      pa.binary())], ["seg", "bits"])
+                [pa.array(part, pa.int64()), pa.array([bits[k].tobytes() for k in part], pa.binary())], ["seg", "bits"])
 
-    out = np.zeros(n * (SEGMENT_BITS // 8), np.uint8)
-    got = ngrams.select("h", "n").mapInArrow(run, "seg bigint, bits binary").toArrow()
-    for seg, bits in zip(got.column("seg").to_pylist(), got.column("bits")):
-        at = seg * (SEGMENT_BITS // 8)
-        out[at:at + SEGMENT_BITS // 8] |= np.frombuffer(bits.as_buffer(), np.uint8)
-    return out, n
+    return ngrams.select("h", "n").mapInArrow(run, "seg bigint, bits binary")
+
+
+def build_filter(ngrams: DataFrame, n: int, cfg: LmConfig) -> np.ndarray:
+    """Bits of the filter of ``n`` segments for ``ngrams`` (h, n; stored)."""
+    out = np.zeros(n * SEGMENT_BYTES, np.uint8)
+    if n:
+        got = filter_parts(ngrams, n, cfg).toArrow()
+        for seg, bits in zip(got.column("seg").to_pylist(), got.column("bits")):
+            at = seg * SEGMENT_BYTES
+            out[at:at + SEGMENT_BYTES] |= np.frombuffer(bits.as_buffer(), np.uint8)
+    return out
+
+
+def probe_slices(parts: DataFrame, probes: DataFrame, n: int, cfg: LmConfig) -> DataFrame:
+    """``pair, h, level`` for ``probes`` (pair, h; distinct) in the filter of ``n`` segments
+    that ``parts`` make up. Hashes are even, so are the slices."""
+    most = len(cfg.thresholds())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, now = np.zeros(SLICE_SEGMENTS * SEGMENT_BYTES, np.uint8), None
+        held, size = [], 0
+
+        def answer():
+            t = pa.Table.from_batches(held).combine_chunks()
+            h = t.column("h").to_numpy()
+            level = probe(h.view(np.uint64), bits, n, now * SLICE_SEGMENTS, most)
+            for i in range(0, len(h), 100_000):
+                yield pa.RecordBatch.from_arrays(
+                    [t.column("pair").slice(i, 100_000).combine_chunks(), pa.array(h[i:i + 100_000]),
+                     pa.array(level[i:i + 100_000].astype(np.int32))], ["pair", "h", "level"])
+
+        for b in batches:  # by slice, in each slice the segments before the probes
+            of, ask = b.column(0).to_numpy(), b.column(1).to_numpy(zero_copy_only=False)
+            cut = np.r_[0, np.flatnonzero((of[1:] != of[:-1]) | (ask[1:] != ask[:-1])) + 1, len(of)]
+            for a, z in zip(cut[:-1].tolist(), cut[1:].tolist()):
+                if a == z:
+                    continue
+                if of[a] != now:
+                    if held:
+                        yield from answer()
+                        held, size = [], 0
+                    now = int(of[a])
+                    bits[:] = 0
+                part = b.slice(a, z - a)
+                if ask[a]:
+                    held.append(part.select(["pair", "h"]))
+                    size += z - a
+                    if size >= PROBES:
+                        yield from answer()
+                        held, size = [], 0
+                else:
+                    for seg, x in zip(part.column("seg").to_pylist(), part.column("bits")):
+                        at = (seg - now * SLICE_SEGMENTS) * SEGMENT_BYTES
+                        bits[at:at + SEGMENT_BYTES] |= np.frombuffer(x.as_buffer(), np.uint8)
+        if held:
+            yield from answer()
+
+    seg = F.shiftrightunsigned(F.shiftrightunsigned("h", 32) * F.lit(n).cast("long"), 32)
+    rows = parts.select(F.floor(F.col("seg") / SLICE_SEGMENTS).alias("slice"), F.lit(False).alias("ask"), "seg", "bits",
+                        F.lit(None).cast("boolean").alias("pair"), F.lit(None).cast("long").alias("h")).unionByName(
+        probes.select(F.floor(seg / SLICE_SEGMENTS).alias("slice"), F.lit(True).alias("ask"), F.lit(None).cast("long").alias("seg"),
+                      F.lit(None).cast("binary").alias("bits"), "pair", "h"))
+    rows = rows.repartition(shuffle_partitions(parts.sparkSession), "slice").sortWithinPartitions("slice", "ask")
+    return rows.mapInArrow(run, "pair boolean, h bigint, level int")
 
 
 # ------------------------------------------------------------------ scoring
 
 
+def sliced_scores(texts: DataFrame, parts: DataFrame, n: int, mass: int, cfg: LmConfig) -> DataFrame:
+    """``rid, score`` by a filter too large to broadcast (``parts``, of ``n`` segments).
+    ``texts`` (stored): the pairs of each text (``pair_h, pair_n``), and each pair of a
+    batch once with its words (``new_h, new_u, new_w``)."""
+    new = texts.select(F.explode(F.arrays_zip("new_h", "new_u", "new_w")).alias("t")).select("t.*")
+    pairs = write_table(new.groupBy(F.col("new_h").alias("p")).agg(
+        F.min("new_u").alias("u"), F.min("new_w").alias("w")), "lm-pairs")
+    # every first word of a pair is the second of another: texts begin after an end token, and end with one
+    probes = pairs.select(F.lit(True).alias("pair"), F.col("p").alias("h")).unionByName(
+        pairs.select(F.lit(False).alias("pair"), F.col("w").alias("h")).distinct())
+    counts = F.array(*[F.lit(float(x)) for x in decode(np.arange(len(cfg.thresholds()) + 1), cfg.thresholds())])
+    levels = write_table(probe_slices(parts, probes, n, cfg), "lm-levels").withColumn("c", F.get(counts, F.col("level")))
+    words = broadcast_if_small(levels.where("not pair").select("h", "c"))
+    found = pairs.join(levels.where("pair").select(F.col("h").alias("p"), F.col("c").alias("pc")), "p")
+    for x in "uw":
+        found = found.join(words.select(F.col("h").alias(x), F.col("c").alias(f"{x}c")), x)
+    pc, uc, wc = F.col("pc"), F.col("uc"), F.col("wc")
+    p1 = (wc + 1) / F.lit(float(mass))
+    both = cfg.weight * F.least(pc, uc, wc) / uc + (1 - cfg.weight) * p1
+    logs = found.select("p", F.log10(F.when(uc > 0, both).otherwise(p1)).alias("log_p"))
+    of = texts.select("rid", F.explode(F.arrays_zip("pair_h", "pair_n")).alias("t")).select(
+        "rid", F.col("t.pair_h").alias("p"), F.col("t.pair_n").alias("times"))
+    return of.join(logs, "p").groupBy("rid").agg(F.sum(F.col("times") * F.col("log_p")).alias("score"))
+
+
 def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text",
                     cfg: LmConfig = LmConfig()) -> DataFrame:
     """Learn from the rows where ``held_out`` is not true and score all:
@@ -259,7 +361,9 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
     words = {r["p"]: r["c"] for r in sizes if not r["pair"]}
     n, v = sum(r["s"] for r in sizes if not r["pair"]), sum(words.values())
     th = cfg.thresholds()
-    bits, n_segments = build_filter(ngrams, sum(r["c"] * int(np.searchsorted(th, r["s"] // r["c"], "right")) for r in sizes), cfg)
+    n_segments = filter_segments(sum(r["c"] * int(np.searchsorted(th, r["s"] // r["c"], "right")) for r in sizes))
+    sliced = n_segments * SEGMENT_BYTES > cfg.max_filter_bytes
+    bits = build_filter(ngrams, 0 if sliced else n_segments, cfg)
     # the least count of a word of the head, a power of two
     least, head_size = 0, v
     while head_size > cfg.head_words:
@@ -289,41 +393,57 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
             c = np.where(m["head_h"][at] == uh, m["head_n"][at], 0) if len(m["head_h"]) else np.zeros(len(uh), np.int64)
             known = np.add.reduceat((c > 0)[ids].astype(np.int64), first)
             logs = np.add.reduceat(np.log10(c + 1.0)[ids], first)
-            # counts of the filter
-            uc = decode(probe(uh, m["bits"], n_segments), th)
-            end = np.uint64(xxhash.xxh64_intdigest(END))
             end_id = names[END]
             before = np.empty_like(ids)
             before[1:] = ids[:-1]
             before[first] = end_id
-            code, back = np.unique(before * len(names) + ids, return_inverse=True)
+            code, at, back = np.unique(before * len(names) + ids, return_index=True, return_inverse=True)
             left, right = code // len(names), code % len(names)
-            seen = (uc[left] > 0) & (uc[right] > 0)
-            pc = np.zeros(len(code))
-            pc[seen] = decode(probe(pair_hash(uh[left[seen]], uh[right[seen]]), m["bits"], n_segments), th)
-            pc = np.minimum(pc, np.minimum(uc[left], uc[right]))
-            p1 = (uc[right] + 1) / (n + v + 1)
-            p = np.where(uc[left] > 0, cfg.weight * pc / np.maximum(uc[left], 1) + (1 - cfg.weight) * p1, p1)
-            score = np.add.reduceat(np.log10(p)[back], first)
-            arrays = [b.column(0), b.column(1), b.column(3), pa.array(lens), pa.array(known), pa.array(logs), pa.array(score)]
-            cols = ["id", "held_out", "rid", "n_tokens", "n_known", "logs", "score"]
+            which = np.repeat(np.arange(len(lens)), lens)
+            arrays = [b.column(0), b.column(1), b.column(3), pa.array(lens), pa.array(known), pa.array(logs)]
+            cols = ["id", "held_out", "rid", "n_tokens", "n_known", "logs"]
+
+            def lists(owner: np.ndarray, **columns: np.ndarray) -> None:  # ``owner`` in order
+                offsets = pa.array(np.r_[0, np.cumsum(np.bincount(owner, minlength=len(lens)))].astype(np.int32))
+                for k, x in columns.items():
+                    arrays.append(pa.ListArray.from_arrays(offsets, pa.array(x)))
+                    cols.append(k)
+
+            if sliced:
+                ph = pair_hash(uh[left], uh[right]).view(np.int64)
+                all_pairs, times = np.unique(which * len(code) + back, return_counts=True)
+                lists(all_pairs // len(code), pair_h=ph[all_pairs % len(code)], pair_n=times.astype(np.int64))
+                # the words of a pair go with the first text of the batch that has it
+                o = np.argsort(at)
+                lists(which[at[o]], new_h=ph[o], new_u=uh[left[o]].view(np.int64), new_w=uh[right[o]].view(np.int64))
+            else:
+                uc = decode(probe(uh, m["bits"], n_segments, most=len(th)), th)
+                seen = (uc[left] > 0) & (uc[right] > 0)
+                pc = np.zeros(len(code))
+                pc[seen] = decode(probe(pair_hash(uh[left[seen]], uh[right[seen]]), m["bits"], n_segments, most=len(th)), th)
+                pc = np.minimum(pc, np.minimum(uc[left], uc[right]))
+                p1 = (uc[right] + 1) / (n + v + 1)
+                p = np.where(uc[left] > 0, cfg.weight * pc / np.maximum(uc[left], 1) + (1 - cfg.weight) * p1, p1)
+                arrays.append(pa.array(np.add.reduceat(np.log10(p)[back], first)))
+                cols.append("score")
             if has_tail:
                 rare = c[ids] == 0
-                which = np.repeat(np.arange(len(lens)), lens)[rare]
-                code, times = np.unique(which * len(names) + ids[rare], return_counts=True)
-                offsets = np.r_[0, np.cumsum(np.bincount(code // len(names), minlength=len(lens)))].astype(np.int32)
-                for k, x in (("tail_h", uh[code % len(names)].view(np.int64)), ("tail_n", times.astype(np.int64))):
-                    arrays.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(x)))
-                    cols.append(k)
+                code, times = np.unique(which[rare] * len(names) + ids[rare], return_counts=True)
+                lists(code // len(names), tail_h=uh[code % len(names)].view(np.int64), tail_n=times.astype(np.int64))
             yield pa.RecordBatch.from_arrays(arrays, cols)
 
     kind = dict(src.dtypes)["id"]
-    schema = f"id {kind}, held_out boolean, rid bigint, n_tokens bigint, n_known bigint, logs double, score double"
+    schema = f"id {kind}, held_out boolean, rid bigint, n_tokens bigint, n_known bigint, logs double"
+    schema += ", " + ", ".join(f"{c} array<bigint>" for c in ("pair_h", "pair_n", "new_h", "new_u", "new_w")) if sliced else ", score double"
     if has_tail:
         schema += ", tail_h array<bigint>, tail_n array<bigint>"
     scored = src.mapInArrow(run, schema)
-    if has_tail:
+    if has_tail or sliced:
         scored = write_table(scored, "lm-scores")
+    if sliced:
+        sums = sliced_scores(scored, filter_parts(ngrams, n_segments, cfg), n_segments, n + v + 1, cfg)
+        scored = scored.drop("pair_h", "pair_n", "new_h", "new_u", "new_w").join(sums, "rid", "left")
+    if has_tail:
         tail = words.where(F.col("n") < 1 << least).select("h", "n")
         rare = scored.select("rid", F.explode(F.arrays_zip("tail_h", "tail_n")).alias("t")).select(
             "rid", F.col("t.tail_h").alias("h"), F.col("t.tail_n").alias("times"))

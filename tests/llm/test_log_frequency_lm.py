@@ -79,3 +79,29 @@ def test_empty(spark, stored):
     assert L.score_documents(stored([], "doc_id long, text string", 1), held()).count() == 0
     r = L.score_documents(stored([(1, "a b")], "doc_id long, text string", 1), F.lit(True)).first()
     assert (r.n_tokens, r.n_known, r.train_tokens, r.base_score) == (3, 0, 0, 0.0)
+
+
+@pytest.mark.parametrize("cfg", [L.LmConfig(max_filter_bytes=1 << 16), L.LmConfig(max_filter_bytes=1 << 16, head_words=500)])
+def test_filter_beyond_the_broadcast_bound_gives_the_same_scores(spark, cfg):
+    """Many times more n-grams than fit ``max_filter_bytes``: not one score changes."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    want = sorted(map(tuple, L.score_documents(docs, held()).select("doc_id", "n_tokens", "score").collect()), key=str)
+    got = sorted(map(tuple, L.score_documents(docs, held(), cfg=cfg).select("doc_id", "n_tokens", "score").collect()), key=str)
+    assert len(got) == len(want) and [x[:2] for x in got] == [x[:2] for x in want]
+    assert np.allclose([x[2] for x in got], [x[2] for x in want], rtol=1e-9)
+
+
+def test_sliced_edge_cases(spark, stored):
+    cfg = L.LmConfig(max_filter_bytes=0)
+    df = stored([(i, TEXTS[i % len(TEXTS)]) for i in range(40)] + [(5, "twice"), (5, "twice")], "doc_id long, text string")
+    rows = [[(r.doc_id, r.n_tokens, round(r.score, 9)) for r in L.score_documents(df, held(), cfg=c).collect()] for c in (cfg, L.LmConfig())]
+    assert sorted(rows[0]) == sorted(rows[1])
+    assert L.score_documents(stored([], "doc_id long, text string", 1), held(), cfg=cfg).count() == 0
+
+
+def test_levels_end_at_the_last_threshold():
+    th = L.LmConfig().thresholds()
+    h = np.arange(1, 100, dtype=np.uint64)
+    level = L.probe(h, np.full(L.SEGMENT_BITS // 8, 255, np.uint8), 1)  # every bit set
+    assert (level == len(th)).all()
+    assert np.isfinite(L.decode(level + 5, th)).all()
