@@ -196,3 +196,10 @@ def test_union_keeps_duplicates(spark):
 
     a = spark.createDataFrame([(1, "x"), (1, "x")], "k long, t string")
     assert L.union_rows(a, a.select("t", "k")).count() == 4
+
+
+def test_default_looks_for_candidates_at_distance_3(spark):
+    rows = [("a", "recxyzeive"), ("b", "plse"), ("c", "reecaive"), ("d", "recxyzweive")]  # distances 3, 2, 3, 4
+    df = spark.createDataFrame(rows, "id string, t string")
+    got = {r.id: r.corrected for r in CO.correct_table(df, "id", "t", vocab(spark)).collect()}
+    assert got == {"a": "receive", "b": "please", "c": "receive", "d": "recxyzweive"}
