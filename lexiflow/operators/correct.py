@@ -6,6 +6,12 @@ number of deletions on both sides needed to reach a common string. So pairs
 within distance D are exactly the pairs that share a delete-variant with
 ``del_left + del_right <= D``: an equi-join on variants, no theta join and no
 pairwise comparison.
+
+A word of L letters has about L^D / D! variants, so pairs with a word of more than
+``LONG_WORD`` letters are found by pieces instead: the right word is cut into D + 1
+pieces, of which D edits leave at least one whole, at most D places away in the left
+word. Pieces are joined on (length of the right word, piece number, hash), and the
+pairs found are measured. This is exact too, with rows by D alone.
 """
 
 from __future__ import annotations
@@ -17,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import correct as C
+from ..functions import edit as ED
 from ..functions import text as T
 from ..functions import typo as TY
 from ..functions.util import let
@@ -25,6 +32,10 @@ from .encode import ROW_KEY, with_row_key
 from .predict import Predictor, batch_predict
 
 
+#: Longest word that is joined by its delete-variants.
+LONG_WORD = 32
+
+
 def stop_word_anti_join(words: DataFrame, word_col: str, stop_words: DataFrame) -> DataFrame:
     """Rows whose word is not a stop word. A stop list within the broadcast
     bounds (checked) is broadcast; a larger one is shuffle-joined."""
@@ -46,31 +57,85 @@ def delete_variants(w: Column, max_deletes: int) -> Column:
     return F.array_distinct(out)
 
 
+def _piece_key(n: Column, k: Column, piece: Column) -> Column:
+    """Key of piece ``k`` of a right word of ``n`` letters; its ``_dr`` is below 0, so no variant has it."""
+    return F.struct(F.concat_ws(":", n, F.xxhash64(piece)).alias("_v"), (-1 - k).cast("int").alias("_dr"))
+
+
+def _piece_start(n: Column, k: Column, max_distance: int) -> Column:
+    return F.floor(n * k / (max_distance + 1)).cast("int")
+
+
+def _piece_numbers(max_distance: int) -> Column:
+    return F.sequence(F.lit(0), F.lit(max_distance))
+
+
+def _short(w: Column, keys: Column) -> Column:
+    return F.when(F.length(w) <= LONG_WORD, keys).otherwise(F.array())
+
+
+def _right_keys(w: Column, max_distance: int) -> Column:
+    """Variants of a short word, and pieces of one that may be near a long word."""
+    n = F.length(w)
+    variants = F.transform(delete_variants(w, max_distance), lambda v: F.struct(v.alias("_v"), (n - F.length(v)).alias("_dr")))
+
+    def piece(k):
+        a, z = _piece_start(n, k, max_distance), _piece_start(n, k + 1, max_distance)
+        return _piece_key(n, k, w.substr(a + 1, z - a))
+
+    pieces = F.transform(_piece_numbers(max_distance), piece)
+    return F.concat(_short(w, variants), F.when(n > LONG_WORD - max_distance, pieces).otherwise(F.array()))
+
+
+def _left_pieces(w: Column, max_distance: int) -> Column:
+    """Where pieces of right words of the lengths in reach would stand in ``w``,
+    for pairs with a long word."""
+    n = F.length(w)
+    lens = F.filter(F.sequence(n - max_distance, n + max_distance),
+                    lambda m: (m > LONG_WORD - max_distance) & ((m > LONG_WORD) | (n > LONG_WORD)) & (m >= 0))
+
+    def of_piece(m, k):
+        a, z = _piece_start(m, k, max_distance), _piece_start(m, k + 1, max_distance)
+        starts = F.filter(F.sequence(a - max_distance, a + max_distance), lambda s: (s >= 0) & (s + z - a <= n))
+        return F.transform(starts, lambda s: _piece_key(m, k, w.substr(s + 1, z - a)))
+
+    keys = F.flatten(F.transform(lens, lambda m: F.flatten(F.transform(
+        _piece_numbers(max_distance), lambda k: of_piece(m, k)))))
+    return F.when(n > LONG_WORD - max_distance, F.array_distinct(keys)).otherwise(F.array())
+
+
 def variant_index(right: DataFrame, right_col: str, max_distance: int,
                   carry: tuple[str, ...] = ()) -> DataFrame:
     """The right side of the fuzzy join: ``_r, _v, _dr`` = word, one of its
-    delete-variants, deletions (plus the ``carry`` columns of the word). It
+    delete-variants, deletions (or the key of a piece, ``_dr`` below 0; plus the
+    ``carry`` columns of the word). It
     depends only on the vocabulary, so a job that corrects many batches
     builds it once (see ``stream_correct``)."""
     rw = spread_keys(right.select(F.col(right_col).alias("_r"), *carry).distinct(), "_r")
-    rv = rw.select("_r", *carry, F.explode(delete_variants(F.col("_r"), max_distance)).alias("_v"))
-    return rv.select("_r", *carry, "_v", (F.length("_r") - F.length("_v")).alias("_dr"))
+    rv = rw.select("_r", *carry, F.explode(_right_keys(F.col("_r"), max_distance)).alias("_k"))
+    return rv.select("_r", *carry, "_k._v", "_k._dr")
 
 
 def _variant_matches(left: DataFrame, left_col: str, index: DataFrame, max_distance: int) -> DataFrame:
-    """Join rows ``_l, _dl, index columns`` of left words and index words that
-    share a variant within the budget (a pair may appear once per shared
-    variant; ``_dl + _dr`` is minimal, and equals the distance, on one of them)."""
+    """Join rows ``_l, _d, index columns`` of left words and index words that
+    share a variant within the budget, or a piece (a pair may appear once per shared
+    variant or piece; ``_d`` is minimal, and equals the distance, on one of them)."""
     lw = spread_keys(left.select(F.col(left_col).alias("_l")).distinct(), "_l")
-    lv = lw.select("_l", F.explode(delete_variants(F.col("_l"), max_distance)).alias("_v"))
-    lv = lv.select("_l", "_v", (F.length("_l") - F.length("_v")).alias("_dl"))
-    lv = lv.select("_l", "_v", "_dl", F.explode(F.sequence(F.lit(0), F.lit(max_distance) - F.col("_dl")))
-                   .alias("_dr"))
+    l, n = F.col("_l"), F.length("_l")
+    variants = F.transform(delete_variants(l, max_distance), lambda v: F.struct(
+        v.alias("_v"), (n - F.length(v)).alias("_dl"), F.lit(None).cast("int").alias("_piece")))
+    pieces = F.transform(_left_pieces(l, max_distance), lambda k: F.struct(
+        k["_v"].alias("_v"), F.lit(0).alias("_dl"), k["_dr"].alias("_piece")))
+    lv = lw.select("_l", F.explode(F.concat(_short(l, variants), pieces)).alias("_k")).select("_l", "_k.*")
+    budgets = F.sequence(F.lit(0), F.lit(max_distance) - F.col("_dl"))
+    lv = lv.select("_l", "_v", "_dl", F.explode(F.when(F.col("_piece").isNull(), budgets).otherwise(F.array("_piece"))).alias("_dr"))
     # Catalyst sizes an explode by its input, so both variant tables look tiny
     # and would be broadcast although they hold dozens of rows per word. The
     # merge hint keeps this a shuffled join whose size is bounded per key
     # (AQE still splits hot variant keys).
-    return lv.hint("merge").join(index, ["_v", "_dr"])
+    rows = lv.hint("merge").join(index, ["_v", "_dr"])
+    measured = ED.bounded_distance(l, F.col("_r"), max_distance)
+    return rows.withColumn("_d", F.when(F.col("_dr") < 0, measured).otherwise(F.col("_dl") + F.col("_dr"))).where("_d is not null")
 
 
 def fuzzy_vocab_join(left: DataFrame, left_col: str, right: DataFrame | None, right_col: str,
@@ -85,7 +150,7 @@ def fuzzy_vocab_join(left: DataFrame, left_col: str, right: DataFrame | None, ri
     """
     rv = right_index if right_index is not None else variant_index(right, right_col, max_distance)
     pairs = _variant_matches(left, left_col, rv.select("_r", "_v", "_dr"), max_distance)
-    best = pairs.groupBy("_l", "_r").agg(F.min(F.col("_dl") + F.col("_dr")).alias("distance"))
+    best = pairs.groupBy("_l", "_r").agg(F.min("_d").alias("distance"))
     return best.select(F.col("_l").alias(left_col), F.col("_r").alias(right_out),
                        F.col("distance").cast("int").alias("distance"))
 
@@ -138,12 +203,12 @@ def nearest_known(left: DataFrame, left_col: str, index: DataFrame, max_distance
     smallest word; ``distance`` its distance.
 
     Same result as ``best_candidate(fuzzy_vocab_join(...))``: the minimum over
-    all join rows takes each pair at its smallest ``_dl + _dr``, which is the
+    all join rows takes each pair at its smallest ``_d``, which is the
     pair's distance. The per-word minimum is partially aggregated after the
     join, so no (word, candidate) pair list is shuffled or materialised.
     """
     rows = _variant_matches(left, left_col, index, max_distance)
-    key = F.struct((F.col("_dl") + F.col("_dr")).alias("distance"), (-F.col("freq")).alias("nf"),
+    key = F.struct(F.col("_d").alias("distance"), (-F.col("freq")).alias("nf"),
                    F.col("_r").alias("c"))
     best = rows.groupBy("_l").agg(F.min(key).alias("_b"))
     return best.select(F.col("_l").alias(left_col), F.col("_b.c").alias("best"),

@@ -82,3 +82,41 @@ def test_nearest_known_equals_brute_force(spark, sf_dir):
             d, _, b = min(cands)
             want[a] = (b, d)
     assert got == want
+
+
+def test_bounded_distance_matches_dp(spark):
+    pairs = _pairs(seed=13)
+    df = spark.createDataFrame(pairs, "a string, b string")
+    for most in (0, 1, 2, 3):
+        got = [r[0] for r in df.select(ED.bounded_distance(F.col("a"), F.col("b"), most)).collect()]
+        assert got == [d if (d := py_distance(a, b)) <= most else None for a, b in pairs]
+
+
+def _edited(rnd, w, edits):
+    for _ in range(edits):
+        i = rnd.randrange(len(w))
+        w = w[:i] + w[i + 1:] if rnd.random() < 0.5 else w[:i] + rnd.choice("abc\u00e9") + w[i:]
+    return w
+
+
+def test_fuzzy_join_of_long_words_equals_brute_force(spark):
+    """Lengths around the bound, and 300 letters: every pair within 3, nothing else."""
+    rnd = random.Random(3)
+    right = ["".join(rnd.choice("abc\u00e9") for _ in range(n)) for n in (26, 28, 29, 30, 31, 32, 33, 34, 35, 36, 60, 300)]
+    right += ["a" * 31, "a" * 34, "ab" * 17, "ab" * 18]
+    left = sorted({_edited(rnd, w, e) for w in right for e in (0, 1, 2, 3, 4) for _ in range(2)})
+    ldf, rdf = (spark.createDataFrame([(w,) for w in x], "word string") for x in (left, right))
+    got = {tuple(r) for r in CO.fuzzy_vocab_join(ldf, "word", rdf, "word", 3).collect()}
+    want = {(a, b, d) for a in left for b in right if abs(len(a) - len(b)) <= 3 and (d := py_distance(a, b)) <= 3}
+    assert got == want and len(want) > 60
+
+
+def test_fuzzy_join_of_5000_letters(spark):
+    rnd = random.Random(4)
+    w = "".join(rnd.choice("abcde") for _ in range(5000))
+    far = "".join(rnd.choice("abcde") for _ in range(5000))
+    left = {w[:9] + w[10:]: 1, w[:2500] + "x" + w[2501:]: 2, w[1:-1] + "xx": 4, w + "xyz": 3}
+    rdf = spark.createDataFrame([(w,), (far,)], "word string")
+    ldf = spark.createDataFrame([(x,) for x in left], "word string")
+    got = {(r[0], r[2]) for r in CO.fuzzy_vocab_join(ldf, "word", rdf, "word", 3).collect()}
+    assert got == {(x, d) for x, d in left.items() if d <= 3}
