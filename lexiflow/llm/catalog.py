@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard_join, langid, log_frequency_lm, packing, quality_rules, sharding, token_count, url_reputation, warc
+from . import (alignment, decontaminate, jaccard_join, langid, log_frequency_lm, merkle, packing, prefix_bpe, quality_rules, sharding,
+               token_count, url_reputation, warc)
 from .common import read_table
 from .oracle import SQL
 
@@ -97,4 +98,20 @@ def op9(spark, sf_dir):
     return out.select("page_id", "host", "path", "rule", "verdict")
 
 
+@query("op11_prefix_bpe")
+def op11(spark, sf_dir):
+    return prefix_bpe.encode_documents(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+@query("op12_slot_pivot_manifest")
+def op12(spark, sf_dir):
+    return merkle.verify_documents(read_table(spark, sf_dir, "documents"))
+
+
+@query("op13_incidence_alignment")
+def op13(spark, sf_dir):
+    return alignment.align_documents(read_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"),
+                                     tokenizer_path("piece_bpe_32k.model"))
+
+
 LLM_ORACLE = {k: v for k, v in SQL.items() if k in LLM_QUERIES}

@@ -167,3 +167,57 @@ x AS (
 SELECT d1.doc_id, top.item_id, top.start::BIGINT AS start, least(top.size, len(d1.w) - top.start)::BIGINT AS n_words, similarity
 FROM top JOIN d1 USING (rid) WHERE r = 1
 """
+
+SQL["op12_slot_pivot_manifest"] = r"""
+WITH RECURSIVE f AS (
+  SELECT doc_id, source,
+    coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id::VARCHAR, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars::VARCHAR, '-') AS head,
+    text, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
+    coalesce((4294967295 - list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+      lambda c, b: list_reduce(list_concat([xor(c, b)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+        lambda r, z: xor(r >> 1, CASE WHEN (r & 1) = 1 THEN 3988292384 ELSE 0 END)))) % 5 = 0, false) AS hit
+  FROM documents
+), l AS (
+  SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    sha256(head || CASE WHEN hit THEN coalesce(strlen(low) || ':' || low, '-') ELSE coalesce(strlen(text) || ':' || text, '-') END) AS seen
+  FROM f
+), p AS (
+  SELECT *, row_number() OVER w - 1 AS pos, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, row_number() OVER (ORDER BY source NULLS FIRST, doc_id NULLS FIRST, leaf) AS id
+  FROM l WINDOW w AS (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf)
+), n AS (
+  SELECT tree, 0 AS level, pos, leaf AS digest, count(*) OVER (PARTITION BY tree) AS n FROM p
+  UNION ALL
+  SELECT tree, level + 1, pos // 16, sha256(string_agg(digest, '' ORDER BY pos)), ((any_value(n) + 15) // 16)::BIGINT
+  FROM n WHERE n > 1 GROUP BY tree, level, pos // 16
+), r AS (SELECT tree, digest AS subroot FROM n WHERE n = 1),
+t AS (
+  SELECT 0 AS level, tree AS pos, subroot AS digest, count(*) OVER () AS n FROM r
+  UNION ALL
+  SELECT level + 1, pos // 16, sha256(string_agg(digest, '' ORDER BY pos)), ((any_value(n) + 15) // 16)::BIGINT
+  FROM t WHERE n > 1 GROUP BY level, pos // 16
+), runs AS (
+  SELECT tree, level, pos // 16 AS up, list(digest ORDER BY pos) AS ds FROM n WHERE n > 1 GROUP BY tree, level, pos // 16
+), top_runs AS (
+  SELECT level, pos // 16 AS up, list(digest ORDER BY pos) AS ds FROM t WHERE n > 1 GROUP BY level, pos // 16
+), steps AS (
+  SELECT tree, max(level) + 1 AS height FROM n GROUP BY tree
+), way AS (
+  SELECT id, level AS step, ds, ((pos // (16 ** level)::BIGINT) % 16)::BIGINT AS slot
+  FROM p JOIN runs ON runs.tree = p.tree AND up = pos // (16 ** (level + 1))::BIGINT
+  UNION ALL
+  SELECT id, level + height AS step, ds, ((p.tree // (16 ** level)::BIGINT) % 16)::BIGINT AS slot
+  FROM p JOIN steps USING (tree) JOIN top_runs ON up = p.tree // (16 ** (level + 1))::BIGINT
+), sides AS (
+  SELECT id, step, array_to_string(ds[1:slot], '') AS l, array_to_string(ds[slot + 2:], '') AS r,
+    row_number() OVER (PARTITION BY id ORDER BY step) AS k
+  FROM way
+), fold AS (
+  SELECT id, 0 AS k, seen AS h FROM p
+  UNION ALL
+  SELECT fold.id, fold.k + 1, sha256(l || h || r) FROM fold JOIN sides ON sides.id = fold.id AND sides.k = fold.k + 1
+), folded AS (SELECT id, arg_max(h, k) AS folded_root FROM fold GROUP BY id),
+proof AS (SELECT id, sha256(coalesce(string_agg(l || r, '' ORDER BY step), '')) AS proof_sha256 FROM p LEFT JOIN sides USING (id) GROUP BY id)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified
+FROM p JOIN r USING (tree) JOIN proof USING (id) JOIN folded USING (id), (SELECT digest AS root FROM t WHERE n = 1)
+"""

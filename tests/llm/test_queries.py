@@ -35,7 +35,7 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_one_query_for_each_operator():
     names = [n for n in E.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in E.queries() and set(names) <= set(LLM_QUERIES)
 
 
