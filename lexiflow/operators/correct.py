@@ -1,23 +1,35 @@
 """Fuzzy vocabulary join, best candidate, vocabulary corrector and the
 correction chain (J1, J2, W3, M2, M3, T15-T18, P7).
 
-The distance is the insert-1/delete-1/substitute-2 distance, which equals the
-number of deletions on both sides needed to reach a common string. So pairs
-within distance D are exactly the pairs that share a delete-variant with
-``del_left + del_right <= D``: an equi-join on variants, no theta join and no
-pairwise comparison.
-
-A word of L letters has about L^D / D! variants, so pairs with a word of more than
-``LONG_WORD`` letters are found by pieces instead: the right word is cut into D + 1
+The distance is the insert-1/delete-1/substitute-2 distance: the letters that have to
+go from both words until they are equal. Words within distance D are found by an
+equi-join on keys from their first letters alone.
+
+Behind both words stand as many equal pad letters as needed. If x letters go from the
+left word and y from the right one (x + y <= D), the same string c, pads included, is left of
+both. Its first m letters are found, in order, among the first m + x letters of the left
+word and among the first m + y of the right one. So for X = x and Y = D - x >= y, choosing m of
+the first m + X letters of the left word in every way, and m of the first m + Y of the
+right one, gives both at least one string in common. These strings, hashed together with X, are
+the keys, for each X from 0 to D: C(m + X, X) of them on the left and C(m + Y, Y) on the
+right, whatever the word's length. A pair found is measured, so neither equal keys of far
+words nor equal hashes matter.
+
+Words of more than ``LONG_WORD`` letters (strings that begin alike are usual among them)
+are found by pieces instead: the right word is cut into D + 1
 pieces, of which D edits leave at least one whole, at most D places away in the left
 word. Pieces are joined on (length of the right word, piece number, hash), and the
 pairs found are measured. This is exact too, with rows by D alone.
+
+The best candidate is one number: candidates are numbered by frequency and name, and
+distance and number are packed into a long, whose minimum is a plain hash aggregate.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,9 +42,10 @@ from ..functions.util import let
 from ..session import broadcast_if_small, spread_keys, write_table
 from .encode import ROW_KEY, with_row_key
 from .predict import Predictor, batch_predict
+from .rank import global_row_number
 
 
-#: Longest word that is joined by its delete-variants.
+#: Longest word that is joined by the keys of its first letters.
 LONG_WORD = 32
 
 
@@ -43,23 +56,25 @@ def stop_word_anti_join(words: DataFrame, word_col: str, stop_words: DataFrame)
     return words.join(_small(stop), word_col, "left_anti")
 
 
-def delete_variants(w: Column, max_deletes: int) -> Column:
-    """All distinct strings obtained from ``w`` by deleting up to ``max_deletes``
-    characters (``w`` itself included). A variant's deletion count is
-    ``length(w) - length(variant)``."""
-    level = F.array(w)
-    out = level
-    for _ in range(max_deletes):
-        level = F.array_distinct(F.flatten(F.transform(level, lambda v: F.transform(
-            F.sequence(F.lit(1), F.greatest(F.length(v), F.lit(1))),
-            lambda i: F.concat(v.substr(F.lit(1), i - 1), v.substr(i + 1, F.length(v)))))))
-        out = F.concat(out, level)
-    return F.array_distinct(out)
+def key_letters(left_deletes: int, right_deletes: int) -> int:
+    """Letters of a key: enough to be selective, as many more as both words lose."""
+    return max(2 * (left_deletes + right_deletes), 5) + min(left_deletes, right_deletes)
+
+
+def prefix_keys(w: Column, max_distance: int, left: bool, letters: Callable[[int, int], int] = key_letters) -> Column:
+    """Keys of a word of the left or the right side (129 at distance 3, less repeated ones)."""
+    ways = [(x, letters(x, max_distance - x), x if left else max_distance - x) for x in range(max_distance + 1)]
+    p = max(m + own for _, m, own in ways)
+    head = F.rpad(F.substring(w, 1, p), p, "\0")
+    return let(F.transform(F.sequence(F.lit(1), F.lit(p)), lambda i: F.substring(head, i, F.lit(1))),
+               lambda c: F.array_distinct(F.array(*[
+                   F.xxhash64(F.lit(x), *[F.get(c, i) for i in kept])
+                   for x, m, own in ways for kept in combinations(range(m + own), m)])))
 
 
 def _piece_key(n: Column, k: Column, piece: Column) -> Column:
-    """Key of piece ``k`` of a right word of ``n`` letters; its ``_dr`` is below 0, so no variant has it."""
-    return F.struct(F.concat_ws(":", n, F.xxhash64(piece)).alias("_v"), (-1 - k).cast("int").alias("_dr"))
+    """Key of piece ``k`` of a right word of ``n`` letters."""
+    return F.xxhash64(n, k, piece)
 
 
 def _piece_start(n: Column, k: Column, max_distance: int) -> Column:
@@ -75,16 +90,16 @@ def _short(w: Column, keys: Column) -> Column:
 
 
 def _right_keys(w: Column, max_distance: int) -> Column:
-    """Variants of a short word, and pieces of one that may be near a long word."""
+    """Keys of a short word, and pieces of one that may be near a long word."""
     n = F.length(w)
-    variants = F.transform(delete_variants(w, max_distance), lambda v: F.struct(v.alias("_v"), (n - F.length(v)).alias("_dr")))
 
     def piece(k):
         a, z = _piece_start(n, k, max_distance), _piece_start(n, k + 1, max_distance)
         return _piece_key(n, k, w.substr(a + 1, z - a))
 
     pieces = F.transform(_piece_numbers(max_distance), piece)
-    return F.concat(_short(w, variants), F.when(n > LONG_WORD - max_distance, pieces).otherwise(F.array()))
+    return F.concat(_short(w, prefix_keys(w, max_distance, left=False)),
+                    F.when(n > LONG_WORD - max_distance, pieces).otherwise(F.array()))
 
 
 def _left_pieces(w: Column, max_distance: int) -> Column:
@@ -104,38 +119,26 @@ def _left_pieces(w: Column, max_distance: int) -> Column:
     return F.when(n > LONG_WORD - max_distance, F.array_distinct(keys)).otherwise(F.array())
 
 
-def variant_index(right: DataFrame, right_col: str, max_distance: int,
-                  carry: tuple[str, ...] = ()) -> DataFrame:
-    """The right side of the fuzzy join: ``_r, _v, _dr`` = word, one of its
-    delete-variants, deletions (or the key of a piece, ``_dr`` below 0; plus the
-    ``carry`` columns of the word). It
-    depends only on the vocabulary, so a job that corrects many batches
-    builds it once (see ``stream_correct``)."""
+def key_index(right: DataFrame, right_col: str, max_distance: int, carry: tuple[str, ...] = ()) -> DataFrame:
+    """The right side of the fuzzy join: ``_r, _key`` = word and one of its keys (plus the
+    ``carry`` columns of the word). It depends only on the vocabulary, so a job that
+    corrects many batches builds it once (see ``stream_correct``)."""
     rw = spread_keys(right.select(F.col(right_col).alias("_r"), *carry).distinct(), "_r")
-    rv = rw.select("_r", *carry, F.explode(_right_keys(F.col("_r"), max_distance)).alias("_k"))
-    return rv.select("_r", *carry, "_k._v", "_k._dr")
+    return rw.select("_r", *carry, F.explode(_right_keys(F.col("_r"), max_distance)).alias("_key"))
 
 
-def _variant_matches(left: DataFrame, left_col: str, index: DataFrame, max_distance: int) -> DataFrame:
-    """Join rows ``_l, _d, index columns`` of left words and index words that
-    share a variant within the budget, or a piece (a pair may appear once per shared
-    variant or piece; ``_d`` is minimal, and equals the distance, on one of them)."""
+def _key_matches(left: DataFrame, left_col: str, index: DataFrame, max_distance: int, hint: str = "merge") -> DataFrame:
+    """Join rows ``_l, _d, index columns`` of left words and index words within the
+    distance (a pair appears once per shared key; ``_d`` is its distance)."""
     lw = spread_keys(left.select(F.col(left_col).alias("_l")).distinct(), "_l")
-    l, n = F.col("_l"), F.length("_l")
-    variants = F.transform(delete_variants(l, max_distance), lambda v: F.struct(
-        v.alias("_v"), (n - F.length(v)).alias("_dl"), F.lit(None).cast("int").alias("_piece")))
-    pieces = F.transform(_left_pieces(l, max_distance), lambda k: F.struct(
-        k["_v"].alias("_v"), F.lit(0).alias("_dl"), k["_dr"].alias("_piece")))
-    lv = lw.select("_l", F.explode(F.concat(_short(l, variants), pieces)).alias("_k")).select("_l", "_k.*")
-    budgets = F.sequence(F.lit(0), F.lit(max_distance) - F.col("_dl"))
-    lv = lv.select("_l", "_v", "_dl", F.explode(F.when(F.col("_piece").isNull(), budgets).otherwise(F.array("_piece"))).alias("_dr"))
-    # Catalyst sizes an explode by its input, so both variant tables look tiny
-    # and would be broadcast although they hold dozens of rows per word. The
-    # merge hint keeps this a shuffled join whose size is bounded per key
-    # (AQE still splits hot variant keys).
-    rows = lv.hint("merge").join(index, ["_v", "_dr"])
-    measured = ED.bounded_distance(l, F.col("_r"), max_distance)
-    return rows.withColumn("_d", F.when(F.col("_dr") < 0, measured).otherwise(F.col("_dl") + F.col("_dr"))).where("_d is not null")
+    l = F.col("_l")
+    keys = F.concat(_short(l, prefix_keys(l, max_distance, left=True)), _left_pieces(l, max_distance))
+    lv = lw.select("_l", F.explode(keys).alias("_key"))
+    # Catalyst sizes an explode by its input, so both key tables look tiny and would be
+    # broadcast although they hold dozens of rows per word. The hint keeps this a
+    # shuffled join whose size is bounded per key (AQE still splits hot keys).
+    rows = lv.hint(hint).join(index, "_key").where(F.abs(F.length("_l") - F.length("_r")) <= max_distance)
+    return rows.withColumn("_d", ED.bounded_distance(l, F.col("_r"), max_distance)).where("_d is not null")
 
 
 def fuzzy_vocab_join(left: DataFrame, left_col: str, right: DataFrame | None, right_col: str,
@@ -143,13 +146,11 @@ def fuzzy_vocab_join(left: DataFrame, left_col: str, right: DataFrame | None, ri
                      right_index: DataFrame | None = None) -> DataFrame:
     """All (left word, right word as ``right_out``, distance) with distance <= ``max_distance``.
 
-    The left side enumerates, per variant, the deletion budgets still allowed
-    on the right, so every matched pair is a true result; duplicates of a pair
-    (several shared variants) collapse in a partial aggregate. ``right_index``
-    (from ``variant_index`` with the same ``max_distance``) replaces ``right``.
+    Duplicates of a pair (several shared keys) collapse in a partial aggregate.
+    ``right_index`` (from ``key_index`` with the same ``max_distance``) replaces ``right``.
     """
-    rv = right_index if right_index is not None else variant_index(right, right_col, max_distance)
-    pairs = _variant_matches(left, left_col, rv.select("_r", "_v", "_dr"), max_distance)
+    index = right_index if right_index is not None else key_index(right, right_col, max_distance)
+    pairs = _key_matches(left, left_col, index.select("_r", "_key"), max_distance)
     best = pairs.groupBy("_l", "_r").agg(F.min("_d").alias("distance"))
     return best.select(F.col("_l").alias(left_col), F.col("_r").alias(right_out),
                        F.col("distance").cast("int").alias("distance"))
@@ -157,12 +158,31 @@ def fuzzy_vocab_join(left: DataFrame, left_col: str, right: DataFrame | None, ri
 
 def best_candidate(pairs: DataFrame, word_col: str, cand_col: str, freq: DataFrame) -> DataFrame:
     """Per word, the candidate with the smallest distance, then the highest
-    frequency, then the smallest candidate (top-1 by aggregate, no sort)."""
-    f = freq.select(F.col("word").alias(cand_col), F.col("freq"))
-    scored = pairs.join(f, cand_col)
-    key = F.struct(F.col("distance"), (-F.col("freq")).alias("nf"), F.col(cand_col).alias("c"))
-    best = scored.groupBy(word_col).agg(F.min(key).alias("_b"))
-    return best.select(word_col, F.col("_b.c").alias("best"), F.col("_b.distance").alias("distance"))
+    frequency, then the smallest candidate (a packed minimum, see ``ranked``)."""
+    order = write_table(ranked(freq.select("word", "freq")), "candidate-ranks")
+    scored = pairs.join(order.select(F.col("word").alias(cand_col), "rank"), cand_col)
+    best = scored.groupBy(word_col).agg(F.min(_packed(F.col("distance"), F.col("rank"))).alias("_b"))
+    return _unpacked(best, order).select(word_col, "best", "distance")
+
+
+#: Bits of a candidate's rank in a packed (distance, rank).
+RANK_BITS = 48
+
+
+def ranked(vocab: DataFrame) -> DataFrame:
+    """``word, freq`` with ``rank``: 1 for the most frequent word, equal ones by name."""
+    return global_row_number(write_table(vocab, "candidates"), [F.desc("freq"), F.col("word")], "rank")
+
+
+def _packed(distance: Column, rank: Column) -> Column:
+    return F.shiftleft(distance.cast("long"), RANK_BITS) + rank
+
+
+def _unpacked(best: DataFrame, order: DataFrame) -> DataFrame:
+    """``_b`` (a packed distance and rank) as ``best`` and ``distance``."""
+    out = best.select("*", F.shiftright("_b", RANK_BITS).cast("int").alias("distance"),
+                      F.col("_b").bitwiseAND(F.lit((1 << RANK_BITS) - 1)).alias("rank"))
+    return out.join(_small(order.select("rank", F.col("word").alias("best"))), "rank").drop("rank", "_b")
 
 
 @dataclass(frozen=True)
@@ -190,33 +210,44 @@ def _known(vocab: DataFrame, cfg: CorrectConfig) -> DataFrame:
     return vocab.where(F.col("freq") >= cfg.min_freq).select("word", "freq")
 
 
-def vocabulary_index(vocab: DataFrame, cfg: CorrectConfig) -> DataFrame:
-    """Delete-variant index of the correction targets (known valid words),
-    carrying each word's frequency for the candidate choice."""
+@dataclass(frozen=True)
+class CandidateIndex:
+    """What the best candidates are looked up in: the keys of the words (``_key, _r,
+    rank``) and the words by rank (``rank, word, freq``)."""
+
+    keys: DataFrame
+    order: DataFrame
+    hint: str = "merge"
+
+
+def candidate_index(vocab: DataFrame, max_distance: int) -> CandidateIndex:
+    """Index over ``vocab`` (word, freq)."""
+    order = write_table(ranked(vocab.select("word", "freq")), "candidate-ranks")
+    return CandidateIndex(key_index(order, "word", max_distance, carry=("rank",)), order)
+
+
+def vocabulary_index(vocab: DataFrame, cfg: CorrectConfig) -> CandidateIndex:
+    """Index of the correction targets (known valid words)."""
     targets = _known(vocab, cfg).where(TY.valid_word(F.col("word"), cfg.min_num_characters))
-    return variant_index(targets, "word", join_distance(cfg), carry=("freq",))
+    return candidate_index(targets, join_distance(cfg))
 
 
-def nearest_known(left: DataFrame, left_col: str, index: DataFrame, max_distance: int) -> DataFrame:
+def nearest_known(left: DataFrame, left_col: str, index: CandidateIndex, max_distance: int) -> DataFrame:
     """J2 + W3 in one aggregate: per left word, ``best`` = the index word
     with the smallest distance, then the highest frequency, then the
     smallest word; ``distance`` its distance.
 
-    Same result as ``best_candidate(fuzzy_vocab_join(...))``: the minimum over
-    all join rows takes each pair at its smallest ``_d``, which is the
-    pair's distance. The per-word minimum is partially aggregated after the
-    join, so no (word, candidate) pair list is shuffled or materialised.
+    Same result as ``best_candidate(fuzzy_vocab_join(...))``. The packed minimum is
+    partially aggregated after the join, so no (word, candidate) pair list is
+    shuffled or materialised.
     """
-    rows = _variant_matches(left, left_col, index, max_distance)
-    key = F.struct(F.col("_d").alias("distance"), (-F.col("freq")).alias("nf"),
-                   F.col("_r").alias("c"))
-    best = rows.groupBy("_l").agg(F.min(key).alias("_b"))
-    return best.select(F.col("_l").alias(left_col), F.col("_b.c").alias("best"),
-                       F.col("_b.distance").cast("int").alias("distance"))
+    rows = _key_matches(left, left_col, index.keys, max_distance, index.hint)
+    best = rows.groupBy("_l").agg(F.min(_packed(F.col("_d"), F.col("rank"))).alias("_b"))
+    return _unpacked(best, index.order).select(F.col("_l").alias(left_col), "best", "distance")
 
 
 def word_corrections(words: DataFrame, word_col: str, vocab: DataFrame, cfg: CorrectConfig,
-                     index: DataFrame | None = None) -> DataFrame:
+                     index: CandidateIndex | None = None) -> DataFrame:
     """M3's decision per distinct word: unknown valid words with their best
     vocabulary candidate (``best`` null when none is close enough).
     ``index``: a prebuilt ``vocabulary_index(vocab, cfg)``."""
@@ -234,7 +265,7 @@ def _small(df: DataFrame) -> DataFrame:
 
 
 def word_flags(df: DataFrame, id_col: str, words_col: str, vocab: DataFrame, cfg: CorrectConfig,
-               index: DataFrame | None = None) -> DataFrame:
+               index: CandidateIndex | None = None) -> DataFrame:
     """Per row: ``_flags`` = sorted array of (pos, best) for unknown words; ids
     may repeat or be null.
 
@@ -281,18 +312,28 @@ def correct_output(words: Column, flags: Column, cfg: CorrectConfig) -> Column:
 
 def correct_table(df: DataFrame, id_col: str, text_col: str, vocab: DataFrame,
                   cfg: CorrectConfig = CorrectConfig(), out_col: str = "corrected",
-                  index: DataFrame | None = None) -> DataFrame:
+                  index: CandidateIndex | None = None) -> DataFrame:
     """M2 over a table with M3 as detector and corrector.
 
-    clean -> detect prompt -> detector -> locate marked words -> correct prompt
-    -> corrector -> extract marked corrections -> gated replacement -> drop
-    the prompt words. ``cfg.clean=False`` is the serving variant without the
+    clean -> detect -> correct -> gated replacement. The detector's positions and the
+    corrector's words come from one lookup, and the corrector only looks for what the gate
+    accepts, so by default they are applied as they are: a text that holds marks of its
+    own is corrected like any other. With ``locate_mode="pair"`` the texts of the two
+    models are made and parsed (prompt, marks, locating by pairs, extraction, gate), with
+    all the consequences of that for repeated pairs and for marks in the text.
+    ``cfg.clean=False`` is the serving variant without the
     cleaning step. ``index``: a prebuilt ``vocabulary_index(vocab, cfg)``.
     """
     text = T.typeset_clean(F.col(text_col)) if cfg.clean else F.col(text_col)
     base = df.select("*", text.alias("_clean"))
     base = base.select("*", T.split_words(F.col("_clean")).alias("_words"))
     flagged = word_flags(base, id_col, "_words", vocab, cfg, index)
+    if cfg.locate_mode == "position":
+        # the corrector's positions are known; marks in the text are words like any other
+        known = F.filter("_flags", lambda s: s["best"].isNotNull())
+        fixes = F.transform(known, lambda s: F.struct(s["pos"].alias("pos"), s["best"].alias("word")))
+        result = T.join_words(C.replace_at(F.col("_words"), fixes))
+        return flagged.select(*df.columns, result.alias(out_col))
     n_prompt = len(cfg.detect_prompt.split(" "))
     step1 = flagged.select(
         "*",

@@ -58,6 +58,7 @@ def stratified_kfold(df: DataFrame, class_col: str, order_cols: Sequence[str],
                      n_splits: int = 5, fold_col: str = FOLD, n_partitions: int | None = None) -> DataFrame:
     """Add ``fold_col`` (int) by unshuffled stratified k-fold.
 
+    Rows without a class form a class of their own.
     ``order_cols`` define row order (of any type; make it total for a stable
     result). Warns when some class has fewer than ``n_splits`` rows; raises at
     run time when every class has.
@@ -77,10 +78,13 @@ def stratified_kfold(df: DataFrame, class_col: str, order_cols: Sequence[str],
     prior = Window.partitionBy(class_col).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(class_col, "_blk",
                             F.coalesce(F.sum("_n").over(prior), F.lit(0)).alias("_off"))
-    offsets = offsets.join(classes.drop("_cn"), class_col)
+    # null is a class like any other, so classes are compared null-safe
+    classes = classes.select(F.col(class_col).alias("_class"), "_cum", "_maxn")
+    offsets = offsets.join(classes, F.col(class_col).eqNullSafe(F.col("_class"))).select(
+        "_class", F.col("_blk").alias("_block"), "_off", "_cum", "_maxn")
     in_block = Window.partitionBy(class_col, "_blk").orderBy(*order)
     ranked = rows.withColumn("_rn", F.row_number().over(in_block))
-    joined = ranked.join(offsets, [class_col, "_blk"])
+    joined = ranked.join(offsets, F.col(class_col).eqNullSafe(F.col("_class")) & (F.col("_blk") == F.col("_block")))
     r = F.col("_off") + F.col("_rn") - 1
     fold = F.size(F.filter("_cum", lambda c: c <= r)).cast("int")
     fold = F.when(F.col("_maxn") < n_splits, F.raise_error(F.lit(

@@ -9,6 +9,7 @@ from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -150,20 +151,39 @@ def spread_keys(df, key: str):
 # A side is broadcast only when both bounds hold (checked on the data).
 BROADCAST_MAX_ROWS = 2_000_000
 BROADCAST_MAX_BYTES = 128 * 1024 * 1024
-_ROW_OVERHEAD = 48  # hashed-relation bytes per row beyond the string payload
+_ROW_OVERHEAD = 48  # hashed-relation bytes per row beyond the values
+
+
+def value_bytes(c, kind: T.DataType):
+    """Bytes that a value takes, nested values included."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        size = F.octet_length(c)
+    elif isinstance(kind, T.ArrayType):
+        if isinstance(kind.elementType, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)):
+            size = F.aggregate(c, F.lit(0).cast("long"), lambda n, x: n + 8 + F.coalesce(value_bytes(x, kind.elementType), F.lit(0)))
+        else:
+            size = F.size(c) * 16 if isinstance(kind.elementType, T.DecimalType) else F.size(c) * 8
+    elif isinstance(kind, T.MapType):
+        size = (value_bytes(F.map_keys(c), T.ArrayType(kind.keyType)) + value_bytes(F.map_values(c), T.ArrayType(kind.valueType)))
+    elif isinstance(kind, T.StructType):
+        size = sum((value_bytes(c[f.name], f.dataType) for f in kind.fields), F.lit(8))
+    else:
+        size = F.lit(16)
+    return F.when(c.isNotNull(), size.cast("long")).otherwise(0)
 
 
 def broadcast_if_small(df, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES):
-    """``broadcast(df)`` when its row count and string bytes are within the
-    bounds, else ``df`` as is (a shuffled join; AQE handles skew there).
+    """``broadcast(df)`` when its row count and bytes are within the bounds, else ``df``
+    as is (a shuffled join; AQE handles skew there).
 
-    One aggregate pass measures rows and the UTF-8 bytes of every string column;
+    One aggregate pass measures rows and the bytes of every column, nested ones included;
     pass a written (or otherwise cheap) ``df``, as the pass reads it once more.
     """
-    strings = [f.name for f in df.schema.fields if f.dataType.typeName() == "string"]
-    chars = [F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) for c in strings]
-    size = sum(chars, F.lit(0)) if chars else F.lit(0)
+    large = [f for f in df.schema.fields
+             if isinstance(f.dataType, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType))]
+    size = sum((F.coalesce(F.sum(value_bytes(F.col(f"`{f.name}`"), f.dataType)), F.lit(0)) for f in large), F.lit(0))
     n, payload = df.agg(F.count(F.lit(1)), size.cast("long")).first()
-    if n <= max_rows and payload + _ROW_OVERHEAD * n <= max_bytes:
+    width = _ROW_OVERHEAD + 16 * (len(df.columns) - len(large))
+    if n <= max_rows and payload + width * n <= max_bytes:
         return F.broadcast(df)
     return df

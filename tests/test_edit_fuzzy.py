@@ -73,7 +73,7 @@ def test_nearest_known_equals_brute_force(spark, sf_dir):
     freq = {w: 1 + (i * 7) % 5 for i, w in enumerate(ws)}
     left = spark.createDataFrame([(w + "x",) for w in ws[::4]] + [(w[1:],) for w in ws[1::4]], "word string")
     vocab = spark.createDataFrame(list(freq.items()), "word string, freq long")
-    index = CO.variant_index(vocab, "word", 2, carry=("freq",))
+    index = CO.candidate_index(vocab, 2)
     got = {r[0]: (r[1], r[2]) for r in CO.nearest_known(left, "word", index, 2).collect()}
     want = {}
     for (a,) in left.collect():
@@ -87,7 +87,7 @@ def test_nearest_known_equals_brute_force(spark, sf_dir):
 def test_bounded_distance_matches_dp(spark):
     pairs = _pairs(seed=13)
     df = spark.createDataFrame(pairs, "a string, b string")
-    for most in (0, 1, 2, 3):
+    for most in (0, 1, 2, 3, 4, 5, 7):
         got = [r[0] for r in df.select(ED.bounded_distance(F.col("a"), F.col("b"), most)).collect()]
         assert got == [d if (d := py_distance(a, b)) <= most else None for a, b in pairs]
 
@@ -120,3 +120,45 @@ def test_fuzzy_join_of_5000_letters(spark):
     ldf = spark.createDataFrame([(x,) for x in left], "word string")
     got = {(r[0], r[2]) for r in CO.fuzzy_vocab_join(ldf, "word", rdf, "word", 3).collect()}
     assert got == {(x, d) for x, d in left.items() if d <= 3}
+
+
+def test_words_within_the_distance_share_a_key(spark):
+    """Every pair within D, of 1 to 300 letters, shares a key (not only those that other keys find)."""
+    rnd = random.Random(5)
+    pairs = []
+    for _ in range(600):
+        a = "".join(rnd.choice("ab\u00e9") for _ in range(rnd.choice([1, 2, 3, 4, 5, 7, 8, 9, 10, 12, 40, 300])))
+        b = a
+        for _ in range(rnd.randint(0, 3)):
+            if b:
+                b = _edited(rnd, b, 1)
+        pairs.append((a, b))
+    df = spark.createDataFrame(pairs, "a string, b string")
+    for d in (1, 2, 3):
+        for letters in (CO.key_letters, lambda x, y: 1):
+            hit = F.arrays_overlap(CO.prefix_keys(F.col("a"), d, True, letters), CO.prefix_keys(F.col("b"), d, False, letters))
+            got = [r[0] for r in df.select(hit).collect()]
+            assert all(g for g, (a, b) in zip(got, pairs) if py_distance(a, b) <= d)
+    keys = [F.size(CO.prefix_keys(F.lit("abcdefghijklmnopqrstuvwxyz"), 3, left)) for left in (True, False)]
+    assert tuple(spark.range(1).select(*keys).first()) == (129, 129)
+
+
+def test_fuzzy_join_of_random_words_equals_brute_force(spark):
+    """Words of one to 300 letters around both kinds of keys."""
+    rnd = random.Random(9)
+    right = sorted({"".join(rnd.choice("abc") for _ in range(rnd.choice([1, 2, 3, 4, 5, 6, 8, 9, 10, 11, 31, 33, 300]))) for _ in range(120)})
+    left = sorted({_edited(rnd, w, rnd.randint(0, 3)) for w in right if len(w) > 3} | set(right[::3]) | {""})
+    ldf, rdf = (spark.createDataFrame([(w,) for w in x], "word string") for x in (left, right))
+    got = {tuple(r) for r in CO.fuzzy_vocab_join(ldf, "word", rdf, "word", 3).collect()}
+    assert got == {(a, b, d) for a in left for b in right if abs(len(a) - len(b)) <= 3 and (d := py_distance(a, b)) <= 3}
+
+
+def test_best_candidate_is_a_hash_aggregate(spark):
+    vocab = spark.createDataFrame([("abcd", 3), ("abce", 3), ("abcf", 1), ("zzzz", 9)], "word string, freq long")
+    left = spark.createDataFrame([("abcg",), ("abc",), ("qqqqqqq",)], "word string")
+    near = CO.nearest_known(left, "word", CO.candidate_index(vocab, 3), 3)
+    pairs = CO.fuzzy_vocab_join(left, "word", vocab, "word", 3, "cand")
+    best = CO.best_candidate(pairs, "word", "cand", vocab)
+    for df in (near, best):
+        assert "SortAggregate" not in df._jdf.queryExecution().executedPlan().toString()
+        assert {tuple(r) for r in df.collect()} == {("abcg", "abcd", 2), ("abc", "abcd", 1)}
