@@ -56,6 +56,7 @@ from pyspark.sql import Window
 
 from ..session import broadcast_if_small, write_table
 from .common import bounded_batches, row_ids
+from .words import runs
 from .log_frequency_lm import pair_hash, word_hashes
 
 
@@ -71,7 +72,7 @@ class JoinConfig:
     rounds: int = 3
 
 
-FLUSH = 4 << 20  # shingles that a task holds at a time
+FLUSH = 1 << 20  # shingles that a task holds at a time; sorting them takes some ten arrays of that length
 
 # ------------------------------------------------------------------ sets
 
@@ -101,6 +102,12 @@ def shingle_sets(texts: list[bytes | None], k: int, cache: dict[bytes, int]) ->
     return out
 
 
+def batch_sets(texts: pa.Array, k: int, cache: dict[bytes, int]) -> Iterator[np.ndarray]:
+    """``shingle_sets`` of a column, a bounded run of texts at a time."""
+    for part in runs(texts.cast(pa.binary())):
+        yield from shingle_sets(part.to_pylist(), k, cache)
+
+
 def document_sets(src: DataFrame, k: int) -> DataFrame:
     """``rid, id, n, sig``: size and 128-bit signature of each row's set. ``src``: rid, id, text."""
     kind = dict(src.dtypes)["id"]
@@ -108,10 +115,10 @@ def document_sets(src: DataFrame, k: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict[bytes, int] = {}
         for b in batches:
-            sets = shingle_sets(b.column(2).cast(pa.binary()).to_pylist(), k, cache)
+            known = [(len(s), xxhash.xxh3_128_digest(s.tobytes())) for s in batch_sets(b.column(2), k, cache)]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary())], ["rid", "id", "n", "sig"])
+                [b.column(0), b.column(1), pa.array([n for n, _ in known], pa.int64()),
+                 pa.array([sig for _, sig in known], pa.binary())], ["rid", "id", "n", "sig"])
 
     return src.mapInArrow(run, f"rid bigint, id {kind}, n bigint, sig binary")
 
@@ -121,7 +128,7 @@ def sets_of(src: DataFrame, k: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict[bytes, int] = {}
         for b in batches:
-            sets = shingle_sets(b.column(1).cast(pa.binary()).to_pylist(), k, cache)
+            sets = list(batch_sets(b.column(1), k, cache))
             lens = np.fromiter(map(len, sets), np.int64, len(sets))
             flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
             offsets = pa.array(np.r_[0, np.cumsum(lens)].astype(np.int32))
@@ -175,14 +182,14 @@ def shared_counts(src: DataFrame, k: int, total: int, cfg: JoinConfig) -> DataFr
         cache: dict[bytes, int] = {}
         sets, rids, size = [], [], 0
         for b in batches:
-            for rid, s in zip(b.column(0).to_pylist(), shingle_sets(b.column(1).cast(pa.binary()).to_pylist(), k, cache)):
+            for rid, s in zip(b.column(0).to_pylist(), batch_sets(b.column(1), k, cache)):
                 if len(s):
                     sets.append(s)
                     rids.append(rid)
                     size += len(s)
-            if size >= FLUSH:
-                yield from pack(sets, rids)
-                sets, rids, size = [], [], 0
+                if size >= FLUSH:
+                    yield from pack(sets, rids)
+                    sets, rids, size = [], [], 0
         if sets:
             yield from pack(sets, rids)
 
@@ -393,18 +400,20 @@ def link_classes(src: DataFrame, cfg: JoinConfig = JoinConfig()) -> DataFrame:
 
 def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    cfg: JoinConfig = JoinConfig()) -> DataFrame:
-    """Per row: ``id, n_shingles, component_id``. ``docs``: a stored table."""
-    src = row_ids(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "rid").select("rid", "id", "text")
+    """Per row: ``id, n_shingles, component_id``. Rows are numbered once, in a table of
+    their own, so the numbers hold whatever cuts the scans of the steps make."""
+    src = write_table(row_ids(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "rid")
+                      .select("rid", "id", "text"), "numbered")
     out = link_classes(src, cfg)
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
 
 
 def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   cfg: JoinConfig = JoinConfig()) -> DataFrame:
-    """The rows of ``docs`` (a stored table) without near duplicates: of each
+    """The rows of ``docs`` (numbered once, in a table) without near duplicates: of each
     group the row with the smallest id (null last), then the first in the
     table. Rows without words stay. All columns are as they were."""
-    src = row_ids(docs.select(F.struct("*").alias("row")), "rid")
+    src = write_table(row_ids(docs.select(F.struct("*").alias("row")), "rid"), "numbered")
     text = src.select("rid", F.col(f"row.{id_col}").alias("id"), F.col(f"row.{text_col}").alias("text"))
     grouped = write_table(link_classes(text, cfg).where("group is not null").select("rid", "id", "group"), "groups")
     first = grouped.groupBy("group").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "rid")).alias("m"))

@@ -35,8 +35,10 @@ from pyspark.sql import functions as F
 
 from ..session import write_table
 from .common import bounded_batches, row_ids
+from .words import WordTable, runs
 
-CACHE_WORDS = 600_000
+WORD_BYTES = 96 << 20
+ENDING = b".,;:!?)"  # marks that are a pre-token of their own behind a letter a-z
 
 
 @dataclass(frozen=True)
@@ -57,29 +59,47 @@ def _load(path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        _loaded[path] = (Tokenizer.from_file(path), {})
+        _loaded[path] = (Tokenizer.from_file(path), WordTable(WORD_BYTES))
     return _loaded[path]
 
 
+def _learn(words: list[bytes], tok, table: WordTable) -> None:
+    """Ids of words, little-endian, into the table."""
+    for i in range(0, len(words), 5000):
+        part = words[i:i + 5000]
+        for w, e in zip(part, tok.encode_batch_fast([w.decode("utf-8") for w in part], add_special_tokens=False)):
+            table[w] = ids = struct.pack(f"<{len(e.ids)}I", *e.ids)
+            table.bytes += 200 + len(w) + len(ids)
+
+
 def encode_texts(texts: list[bytes | None], path: str) -> list[bytes]:
     """Ids of each UTF-8 text as little-endian unsigned 32-bit, no special
     tokens added.
 
     Texts are cut at ASCII white space, which no pre-token of the word-end BPE
-    contains, so each word's ids are computed once per worker (a bounded table)
-    and a text's ids are its words' ids one after another.
+    contains, so each word's ids are computed once per worker (a table bounded in bytes)
+    and a text's ids are its words' ids one after another. The tokenizer makes letters
+    small, so words are compared without A-Z, unless a special token may be near; marks
+    behind a letter a-z are pre-tokens of their own, so such a word is its two parts.
     """
-    tok, cache = _load(path)
-    split = [(t or b"").split() for t in texts]
-    if len(cache) > CACHE_WORDS:
-        cache.clear()
-    new = list(set().union(*split).difference(cache)) if split else []
-    for i in range(0, len(new), 20_000):
-        part = new[i:i + 20_000]
-        for w, e in zip(part, tok.encode_batch_fast([w.decode("utf-8") for w in part], add_special_tokens=False)):
-            ids = e.ids
-            cache[w] = struct.pack(f"<{len(ids)}I", *ids)
-    return [b"".join(map(cache.__getitem__, words)) for words in split]
+    tok, table = _load(path)
+    table.make_room()
+    split = [(t if b"<|" in t else t.lower()).split() if t else [] for t in texts]
+    new = [w for w in set().union(*split) if w not in table]
+    ended: dict[bytes, tuple[bytes, bytes]] = {}
+    whole = set()
+    for w in new:
+        core = w.rstrip(ENDING)
+        if len(core) < len(w) and core and 97 <= core[-1] <= 122:
+            ended[w] = core, w[len(core):]
+            whole.update(ended[w])
+        else:
+            whole.add(w)
+    _learn([w for w in whole if w not in table], tok, table)
+    for w, (core, marks) in ended.items():
+        table[w] = ids = table[core] + table[marks]
+        table.bytes += 200 + len(w) + len(ids)
+    return [b"".join(map(table.__getitem__, words)) for words in split]
 
 
 def cut(n: int, cfg: PackConfig) -> list[tuple[int, int]]:
@@ -90,6 +110,19 @@ def cut(n: int, cfg: PackConfig) -> list[tuple[int, int]]:
     return out + [(s, min(cfg.max_piece, n - s)) for s in range(full, n, cfg.max_piece)]
 
 
+def piece_bounds(n: np.ndarray, cfg: PackConfig) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``cut`` for many documents of ``n`` ids: document, start and length of each piece."""
+    full = n // cfg.capacity
+    rest = -(-(n - full * cfg.capacity) // cfg.max_piece)
+    pieces = full + rest
+    at = np.repeat(np.arange(len(n)), pieces)
+    k = np.arange(len(at)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    over = np.maximum(k - full[at], 0)  # pieces behind the whole windows
+    start = np.minimum(k, full[at]) * cfg.capacity + over * cfg.max_piece
+    most = np.where(k < full[at], cfg.capacity, cfg.max_piece)
+    return at, start, np.minimum(most, n[at] - start)
+
+
 PIECES = "rid bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
 
@@ -103,23 +136,21 @@ def document_pieces(src: DataFrame, path: str, cfg: PackConfig = PackConfig(), w
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            at, rows = [], []
-            rids = b.column(2).to_pylist()
-            for i, ids in enumerate(encode_texts(b.column(1).cast(pa.binary()).to_pylist(), path)):
-                ids += end
-                n = len(ids) // 4
-                for s, m in cut(n, cfg):
-                    part = ids[4 * s:4 * (s + m)]
-                    at.append(i)
-                    rows.append((rids[i], s, m, zlib.crc32(part), n, part))
-            cols = list(zip(*rows)) if rows else [()] * 6
-            arrays = [b.column(0).take(pa.array(at, pa.int64()))] + [pa.array(c, pa.int64()) for c in cols[:5]]
-            names = ["id", "rid", "start", "length", "ids_crc32", "doc_tokens"]
-            if with_ids:
-                arrays.append(pa.array([np.frombuffer(x, "<u4").astype(np.int32) for x in cols[5]],
-                                       pa.list_(pa.int32())))
-                names.append("ids")
-            yield pa.RecordBatch.from_arrays(arrays, names)
+            start = 0
+            for texts in runs(b.column(1).cast(pa.binary())):
+                ids = [x + end for x in encode_texts(texts.to_pylist(), path)]
+                at, first, size = piece_bounds(np.fromiter(map(len, ids), np.int64, len(ids)) // 4, cfg)
+                crc = [zlib.crc32(memoryview(ids[i])[4 * s:4 * (s + m)]) for i, s, m in zip(at.tolist(), first.tolist(), size.tolist())]
+                tokens = (np.fromiter(map(len, ids), np.int64, len(ids)) // 4)[at]
+                rows = pa.array(at + start)
+                arrays = [b.column(0).take(rows), b.column(2).take(rows), pa.array(first), pa.array(size), pa.array(crc, pa.int64()), pa.array(tokens)]
+                names = ["id", "rid", "start", "length", "ids_crc32", "doc_tokens"]
+                if with_ids:  # pieces follow one another, so their ids are the texts' ids
+                    flat = np.frombuffer(b"".join(ids), "<i4")
+                    arrays.append(pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(size)].astype(np.int32)), pa.array(flat)))
+                    names.append("ids")
+                yield pa.RecordBatch.from_arrays(arrays, names)
+                start += len(texts)
 
     return src.mapInArrow(run, f"id {kind}, {PIECES}" + (", ids array<int>" if with_ids else ""))
 

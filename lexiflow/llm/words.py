@@ -33,15 +33,21 @@ class WordTable(dict):
         return True
 
 
-def short_runs(column: pa.Array, max_bytes: int = 1 << 20) -> Iterator[list[str]]:
-    """The texts of an Arrow column (null: empty) in runs of about ``max_bytes`` at most,
-    a longer text alone: what a worker holds in Python objects does not grow with a batch."""
+def runs(column: pa.Array, max_bytes: int = 1 << 20) -> Iterator[pa.Array]:
+    """An Arrow column of texts in runs of about ``max_bytes`` at most, a longer text alone:
+    what a worker holds in Python objects does not grow with a batch."""
     sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
     start = held = 0
     for i, n in enumerate(sizes):
         if i > start and held + n > max_bytes:
-            yield [t or "" for t in column.slice(start, i - start).to_pylist()]
+            yield column.slice(start, i - start)
             start, held = i, 0
         held += n
     if start < len(sizes):
-        yield [t or "" for t in column.slice(start).to_pylist()]
+        yield column.slice(start)
+
+
+def short_runs(column: pa.Array, max_bytes: int = 1 << 20) -> Iterator[list[str]]:
+    """The texts of ``runs`` (null: empty)."""
+    for part in runs(column, max_bytes):
+        yield [t or "" for t in part.to_pylist()]
