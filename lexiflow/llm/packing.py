@@ -37,7 +37,7 @@ from ..session import write_table
 from .common import bounded_batches, row_ids
 from .words import WordTable, runs
 
-WORD_BYTES = 96 << 20
+WORD_BYTES = 192 << 20
 ENDING = b".,;:!?)"  # marks that are a pre-token of their own behind a letter a-z
 
 
@@ -137,7 +137,7 @@ def document_pieces(src: DataFrame, path: str, cfg: PackConfig = PackConfig(), w
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             start = 0
-            for texts in runs(b.column(1).cast(pa.binary())):
+            for texts in runs(b.column(1).cast(pa.binary()), 4 << 20):
                 ids = [x + end for x in encode_texts(texts.to_pylist(), path)]
                 at, first, size = piece_bounds(np.fromiter(map(len, ids), np.int64, len(ids)) // 4, cfg)
                 crc = [zlib.crc32(memoryview(ids[i])[4 * s:4 * (s + m)]) for i, s, m in zip(at.tolist(), first.tolist(), size.tolist())]
