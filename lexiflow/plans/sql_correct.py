@@ -94,7 +94,12 @@ def chain_select(cfg: CorrectConfig, text: str = "clean", flags: str = "fl") ->
 
 
 def chain_ctes(src: str, cfg: CorrectConfig) -> str:
-    """``src(id, clean, fl)`` -> ``chained(id, corrected)``."""
+    """``src(id, clean, fl)`` -> ``chained(id, corrected)``: the best words at their known
+    positions, or with ``locate_mode="pair"`` the marked texts made and parsed."""
+    if cfg.locate_mode == "position":
+        best = "list_transform(list_filter(fl, lambda fb: fb.pos = li - 1), lambda fb: fb.best)[1]"
+        return (f"chained AS (SELECT id, array_to_string(list_transform(string_split(clean, ' '), "
+                f"lambda lw, li: coalesce({best}, lw)), ' ') AS corrected FROM {src})")
     h, t = cfg.head_mark, cfg.tail_mark
     detected, n = chain_select(cfg)
     dw = f"string_split({S.add_prompt(cfg.detect_prompt, 'clean')}, ' ')"
@@ -103,8 +108,7 @@ def chain_ctes(src: str, cfg: CorrectConfig) -> str:
     corr_marked = (f"array_to_string(list_transform(mw, lambda lw, li: CASE WHEN li - 1 > 0 AND li - 1 < len(mw) - 1 "
                    f"AND mw[li - 1] = {S.lit(h)} AND mw[li + 1] = {S.lit(t)} THEN coalesce({best_at}, lw) "
                    f"ELSE lw END), ' ')")
-    idx = (locate_position("mw", h, t, n) if cfg.locate_mode == "position"
-           else locate_pair("dw", "mw", h, t, n))
+    idx = locate_pair("dw", "mw", h, t, n)
     return (
         f"ch1 AS (SELECT id, {dw} AS dw, string_split({detected}, ' ') AS mw, {shifted} AS sh FROM {src}), "
         f"ch2 AS (SELECT id, dw, {idx} AS idx, {S.extract_marked(corr_marked, h, t)} AS corr FROM ch1), "
