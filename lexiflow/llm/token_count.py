@@ -11,6 +11,12 @@ Merging a pair everywhere before looking again gives the same tokens as merging
 one occurrence at a time: a new symbol can only take part in merges of a higher
 rank than the one that made it.
 
+A long pre-token (a script without blanks, generated letters) has thousands of ranks to
+apply, so going over all of its symbols in each round would be quadratic. Sequences of
+more than ``LONG_PIECE`` symbols keep their pairs in queues by rank instead: a round
+takes the lowest rank of the batch, applies it everywhere and looks again only at the
+neighbours of what it merged. The tokens are the same.
+
 Scale: a narrow job (no shuffle). A worker keeps a bounded table of counts by
 word, so a word of the language is merged once per worker, not once per use.
 Texts are cut at ASCII white space, over which no pre-token of this tokenizer
@@ -22,6 +28,7 @@ tokens inside a text count as one token each, as the library does by default.
 
 from __future__ import annotations
 
+import heapq
 import json
 from collections.abc import Iterator
 
@@ -33,6 +40,7 @@ from pyspark.sql import functions as F
 from .common import bounded_batches
 
 CACHE_WORDS = 500_000
+LONG_PIECE = 256  # symbols; a choice of speed, both ways give the same tokens
 NO_RANK = np.iinfo(np.int64).max
 
 
@@ -89,7 +97,10 @@ class RankMerger:
     def count_pieces(self, pieces: list[str]) -> np.ndarray:
         """Tokens of each pre-token."""
         out = np.zeros(len(pieces), np.int64)
-        flat = [self.symbols(p) for p in pieces]
+        long = [i for i, p in enumerate(pieces) if len(p) > LONG_PIECE]
+        if long:
+            out[long] = self.count_long([self.symbols(pieces[i]) for i in long])
+        flat = [[] if len(p) > LONG_PIECE else self.symbols(p) for p in pieces]
         lens = np.fromiter(map(len, flat), np.int64, len(flat))
         sym = np.fromiter((s for x in flat for s in x), np.int64, int(lens.sum()))
         seq = np.repeat(np.arange(len(pieces)), lens)
@@ -118,6 +129,59 @@ class RankMerger:
             sym, seq = sym[keep], seq[keep]
         return out
 
+    def count_long(self, flat: list[list[int]]) -> np.ndarray:
+        """Tokens of each sequence of symbols, lowest rank of all sequences first."""
+        lens = np.fromiter(map(len, flat), np.int64, len(flat))
+        n = int(lens.sum())
+        sym = np.fromiter((s for x in flat for s in x), np.int64, n)
+        # symbols as linked lists; n is before the first and after the last of a sequence
+        nxt, prv = np.arange(1, n + 2), np.arange(-1, n)
+        ends = np.cumsum(lens)
+        nxt[ends - 1] = n
+        prv[ends - lens] = n
+        rank = np.full(n + 1, NO_RANK)
+        made: dict[int, int] = {}
+        queue: dict[int, list[np.ndarray]] = {}
+        order: list[int] = []
+
+        def enter(at: np.ndarray) -> None:
+            """Rank the pairs that begin at ``at`` and queue those that can merge."""
+            rank[at] = NO_RANK
+            at = at[nxt[at] < n]
+            found, slot = self.lookup(sym[at] * self.size + sym[nxt[at]])
+            rank[at] = found
+            ok = np.flatnonzero(found != NO_RANK)
+            ok = ok[np.argsort(found[ok], kind="stable")]
+            cuts = np.flatnonzero(np.diff(found[ok])) + 1
+            for group in np.split(ok, cuts) if len(ok) else ():
+                r = int(found[group[0]])
+                if r not in queue:
+                    queue[r] = []
+                    made[r] = int(self.made[slot[group[0]]])
+                    heapq.heappush(order, r)
+                queue[r].append(at[group])
+
+        enter(np.arange(n))
+        while order:
+            r = heapq.heappop(order)
+            idx = np.unique(np.concatenate(queue.pop(r)))
+            idx = idx[rank[idx] == r]  # the others were merged or have a new neighbour
+            if not len(idx):
+                continue
+            # left to right without overlap, as above
+            run = np.r_[True, nxt[idx[:-1]] != idx[1:]]
+            count = np.arange(len(idx))
+            idx = idx[(count - np.maximum.accumulate(np.where(run, count, 0))) % 2 == 0]
+            gone = nxt[idx]
+            sym[idx] = made[r]
+            rank[gone] = NO_RANK
+            nxt[idx] = nxt[gone]
+            prv[nxt[idx]] = idx
+            before = prv[idx]
+            enter(np.unique(np.concatenate([idx, before[before < n]])))
+            lens -= np.bincount(np.searchsorted(ends, idx, side="right"), minlength=len(lens))
+        return lens
+
     def count_words(self, words: list[str]) -> list[int]:
         """Tokens of each word (a text without ASCII white space)."""
         pieces: dict[str, int] = {}

@@ -1,4 +1,5 @@
 import collections
+import random
 import zlib
 
 import numpy as np
@@ -40,6 +41,22 @@ def test_any_text(texts):
     assert [np.frombuffer(x, "<u4").tolist() for x in K.encode_texts(b, PATH)] == [ids(t) for t in texts]
 
 
+@pytest.mark.parametrize("letters", ["a", "ab", "etaoinshrdlu", "abcdefghijklmnopqrstuvwxyz", "的一是不了人"])
+def test_long_words_by_queues_equal_the_library(letters, monkeypatch):
+    rnd = random.Random(4)
+    words = ["".join(rnd.choices(letters, k=n)) for n in (1, 255, 256, 257, 300, 5000)] + ["the" * 300]
+    want = [len(ids(w)) for w in words]
+    assert MERGER.count_words(words) == want
+    monkeypatch.setattr(C, "LONG_PIECE", 0)  # short ones too
+    assert MERGER.count_words(words) == want
+
+
+def test_a_word_of_a_million_letters():
+    rnd = random.Random(5)
+    word = "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=1_000_000))
+    assert MERGER.count_words([word]) == [len(ids(word))]
+
+
 def test_fixture_documents(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     want = {r.doc_id: len(ids(r.text)) for r in docs.collect()}
