@@ -10,26 +10,36 @@ The posterior of a language is the product of
 * a prior of the host, smoothed hierarchically: host counts shrink to those of the
   registered domain, these to all rows.
 
+The posterior weighs the labelled languages against each other only, and some language
+is the best of them for any string. So a row is accepted only if, besides, its text is
+likelier under the identified language than if all trigrams were equally likely: an
+unknown script, random letters or a language far from the labelled ones fall short of
+that, whatever the host or the markup says.
+
 The counts behind the last three are grouped aggregations over all rows of the
 language that the text alone gives. A row's own vote is taken out of every
 count that judges it, so that no evidence counts itself.
 
-Scale: learning and scoring are narrow jobs; a learning task sends at most
-languages x buckets counts. The trigram table that goes to the workers has a
-fixed size (``MAX_LANGUAGES`` x ``BUCKETS`` numbers at most); more labelled
-languages are an error, not a cut. Count tables have a row per host, suffix or
+Scale: learning and scoring are narrow jobs; a learning task holds the counts of at most
+``BLOCK_LANGUAGES`` languages and sends them on when another comes. The trigram tables
+go to the workers in blocks of as many languages, each of a fixed size
+(``BLOCK_LANGUAGES`` x ``BUCKETS`` numbers at most), so there is no bound on the number
+of languages. Labels and declared languages are primary subtags in lower case (``en``, ``EN``
+and ``en-US`` are one); what is not one to eight letters labels nothing. Count tables have a row per host, suffix or
 declared language and are joined as a broadcast while their measured size
 allows it, else shuffled (AQE splits hot hosts).
 
 Edge cases: a text without letters (null and empty included) has no text
 evidence, casts no vote and is not accepted; null declared language, host or
 suffix is no evidence of that kind; without any labelled row every row has a
-null language and is not accepted.
+null language and is not accepted. Of equally likely languages the first by name is
+taken. Repeated rows are judged alike, and each counts as evidence.
 """
 
 from __future__ import annotations
 
 import html
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -45,7 +55,7 @@ from .common import ascii_lower, bounded_batches
 from .url_reputation import ReputationConfig, host_suffix, registered_domain, url_host
 
 BUCKETS = 1 << 15
-MAX_LANGUAGES = 128
+BLOCK_LANGUAGES = 128
 LETTERS = bytes(b if b >= 0x80 or 97 <= b <= 122 else 32 for b in range(256))
 
 
@@ -109,44 +119,72 @@ def visible_text(page: str | None) -> str:
     return html.unescape(_TAGS.sub(" ", page or ""))
 
 
+def primary_subtag(tag: Column) -> Column:
+    """``en`` of ``en``, ``EN`` or ``en-US``; null if there is none."""
+    got = ascii_lower(F.regexp_extract(tag.cast("string"), r"^\s*([A-Za-z]{1,8})(?![A-Za-z0-9])", 1))
+    return F.when(got != "", got)
+
+
 def learn(labelled: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     """``lang, bucket, n`` over all labelled rows."""
     bounded_batches(labelled.sparkSession)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[str, np.ndarray] = {}
-        for b in batches:
-            langs = b.column(1).to_pylist()
-            names = sorted(set(langs))
-            if len(counts.keys() | set(names)) > MAX_LANGUAGES:
-                raise ValueError(f"more than {MAX_LANGUAGES} labelled languages")
-            of = np.array([names.index(x) for x in langs], np.int64)
-            for bucket, which in trigram_chunks([t or b"" for t in b.column(0).cast(pa.binary()).to_pylist()]):
-                flat = np.bincount(of[which] * BUCKETS + bucket, minlength=len(names) * BUCKETS)
-                for i, x in enumerate(names):
-                    counts[x] = counts.get(x, 0) + flat[i * BUCKETS:(i + 1) * BUCKETS]
+    def partial(counts: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
         for x, c in counts.items():
             at = np.flatnonzero(c)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(c[at], pa.int64())],
                 ["lang", "bucket", "n"])
 
-    rows = labelled.where(F.col(lang_col).isNotNull()).select(
-        F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[str, np.ndarray] = {}
+        for b in batches:
+            langs = b.column(1).to_pylist()
+            texts = [t or b"" for t in b.column(0).cast(pa.binary()).to_pylist()]
+            names = sorted(set(langs))
+            for start in range(0, len(names), BLOCK_LANGUAGES):
+                some = {x: i for i, x in enumerate(names[start:start + BLOCK_LANGUAGES])}
+                if len(counts.keys() | some.keys()) > BLOCK_LANGUAGES:
+                    yield from partial(counts)
+                    counts = {}
+                of = np.array([some[x] for x in langs if x in some], np.int64)
+                for bucket, which in trigram_chunks([t for t, x in zip(texts, langs) if x in some]):
+                    flat = np.bincount(of[which] * BUCKETS + bucket, minlength=len(some) * BUCKETS)
+                    for x, i in some.items():
+                        counts[x] = counts.get(x, 0) + flat[i * BUCKETS:(i + 1) * BUCKETS]
+        yield from partial(counts)
+
+    rows = labelled.select(F.col(text_col).alias("text"), primary_subtag(F.col(lang_col)).alias("lang"))
+    rows = rows.where(F.col("lang").isNotNull())
     return rows.mapInArrow(run, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
 
 
-def trigram_table(counts: DataFrame, cfg: FusionConfig) -> tuple[list[str], np.ndarray]:
-    """Languages and log P(bucket | language), bucket by language. The table
-    fetched has at most MAX_LANGUAGES x BUCKETS rows."""
-    langs = sorted(r[0] for r in counts.select("lang").distinct().take(MAX_LANGUAGES + 1))
-    if len(langs) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} labelled languages")
-    got = counts.toArrow().to_pandas()
-    table = np.full((BUCKETS, len(langs)), cfg.smoothing)
-    if len(got):
-        table[got["bucket"].to_numpy(), np.searchsorted(np.array(langs, object), got["lang"].to_numpy())] += got["n"].to_numpy()
-    return langs, np.log(table / table.sum(axis=0)) if langs else table
+def trigram_blocks(counts: DataFrame, cfg: FusionConfig) -> Iterator[tuple[list[str], np.ndarray]]:
+    """Languages, ``BLOCK_LANGUAGES`` at a time in the order of their names, and log
+    P(bucket | language), bucket by language. One block is fetched at a time."""
+    langs = sorted(r[0] for r in counts.select("lang").distinct().collect())
+    for start in range(0, len(langs), BLOCK_LANGUAGES):
+        some = langs[start:start + BLOCK_LANGUAGES]
+        got = counts.where(F.col("lang").between(some[0], some[-1])).toArrow().to_pandas()
+        table = np.full((BUCKETS, len(some)), cfg.smoothing)
+        at = np.searchsorted(np.array(some, object), got["lang"].to_numpy())
+        table[got["bucket"].to_numpy(), at] += got["n"].to_numpy()
+        yield some, np.log(table / table.sum(axis=0))
+
+
+def all_scores(df: DataFrame, text_col: str, counts: DataFrame, cfg: FusionConfig,
+               is_html: bool = False) -> tuple[DataFrame, list[str]]:
+    """``df`` with ``_text`` (as ``text_scores`` gives it) over all languages of ``counts``,
+    and these languages."""
+    langs, parts = [], []
+    for some, table in trigram_blocks(counts, cfg):
+        parts.append(f"_text_{len(parts)}")
+        df = text_scores(df, text_col, some, table, is_html, parts[-1])
+        langs += some
+    if not parts:
+        return text_scores(df, text_col, [], np.zeros((BUCKETS, 0)), is_html), langs
+    both = F.struct(F.col(f"{parts[0]}.n").alias("n"), F.concat(*[F.col(f"{p}.ll") for p in parts]).alias("ll"))
+    return df.withColumn("_text", both).drop(*parts), langs
 
 
 def text_scores(df: DataFrame, text_col: str, langs: list[str], table: np.ndarray, is_html: bool = False,
@@ -238,7 +276,9 @@ def fuse(rows: DataFrame, evidence: DataFrame, langs: list[str], cfg: FusionConf
     out = out.select("*", F.get(names_, F.col("vote").cast("int")).alias("text_lang"),
                      F.get(names_, (F.array_position("_s", top) - 1).cast("int")).alias("lang"),
                      (1 / mass).alias("posterior"))
-    ok = (F.col("n") > 0) & (F.col("posterior") >= cfg.min_posterior)
+    # against the model in which every trigram is as likely as any other
+    likely = F.get("ll", (F.array_position("_s", top) - 1).cast("int")) > F.col("n") * F.lit(-math.log(BUCKETS))
+    ok = (F.col("n") > 0) & (F.col("posterior") >= cfg.min_posterior) & likely
     return out.withColumn("accepted", ok).drop("_s", "_p", "vote", *tables, *[f"{c}_n" for c in tables])
 
 
@@ -247,11 +287,11 @@ def identify_pages(pages: DataFrame, labelled: DataFrame, id_col: str = "page_id
                    cfg: FusionConfig = FusionConfig()) -> DataFrame:
     """Per page: ``id, host, declared, suffix, n_trigrams, text_lang, lang,
     posterior, accepted``. ``labelled``: texts with their language."""
-    langs, table = trigram_table(write_table(learn(labelled, label_text_col, label_col), "trigrams"), cfg)
+    counts = write_table(learn(labelled, label_text_col, label_col), "trigrams")
     host = F.when(url_host(F.col("url")) != "", url_host(F.col("url")))
     rep = ReputationConfig()
     src = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    src = text_scores(src, "html", langs, table, is_html=True)
+    src, langs = all_scores(src, "html", counts, cfg, is_html=True)
     src = src.select("id", declared_language(F.col("html")).alias("declared"), host.alias("host"), "_text")
     src = src.select("id", "declared", "host", registered_domain(F.col("host"), rep).alias("domain"),
                      host_suffix(F.col("host"), rep).alias("suffix"), "_text.n", "_text.ll")
@@ -266,12 +306,12 @@ def identify_documents(docs: DataFrame, text_col: str = "text", declared_col: st
     """``row`` (all columns of ``docs`` in a struct) with ``text_lang, lang,
     posterior, accepted``. Documents have no address: their source is the host,
     and their declared language also labels the texts that the models learn from."""
-    langs, table = trigram_table(write_table(learn(docs, text_col, declared_col), "trigrams"), cfg)
+    counts = write_table(learn(docs, text_col, declared_col), "trigrams")
     rows = docs.select(F.struct("*").alias("row"))
     rows = rows.select("row", F.col(f"row.{text_col}").alias("text"),
-                       ascii_lower(F.col(f"row.{declared_col}").cast("string")).alias("declared"),
+                       primary_subtag(F.col(f"row.{declared_col}")).alias("declared"),
                        F.col(f"row.{host_col}").cast("string").alias("host"))
-    scored = text_scores(rows, "text", langs, table)
+    scored, langs = all_scores(rows, "text", counts, cfg)
     none = F.lit(None).cast("string")
     scored = scored.select("row", "declared", "host", F.col("host").alias("domain"), none.alias("suffix"), "_text.n", "_text.ll")
     # texts are scored again for the result instead of stored beside the evidence

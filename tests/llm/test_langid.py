@@ -44,7 +44,7 @@ def labelled(stored):
 
 
 def test_scores_equal_plain_python(spark, stored, labelled):
-    langs, table = G.trigram_table(G.learn(labelled, "text", "lang"), G.FusionConfig())
+    ((langs, table),) = G.trigram_blocks(G.learn(labelled, "text", "lang"), G.FusionConfig())
     assert langs == sorted(STEMS)
     texts = ["banu kilo", None, "", "12 .", text("cc", 500, 1)]
     df = stored(list(enumerate(texts)), "k int, text string")
@@ -92,10 +92,44 @@ def test_no_labels_and_empty(spark, stored, labelled):
     assert G.identify_pages(stored([], "page_id long, url string, html string", 1), labelled).count() == 0
 
 
-def test_too_many_languages_is_an_error(spark, stored, monkeypatch):
-    monkeypatch.setattr(G, "MAX_LANGUAGES", 2)
-    with pytest.raises(Exception, match="more than 2 labelled languages"):
-        G.trigram_table(G.learn(stored([("a", "x"), ("b", "y"), ("c", "z")], "text string, lang string", 1), "text", "lang"), G.FusionConfig())
+def test_blocks_of_languages_change_nothing(spark, stored, labelled, monkeypatch):
+    counts = G.learn(labelled, "text", "lang")
+    df = stored([(i, text(x, 9, i)) for i, x in enumerate(STEMS)] + [(9, None)], "k int, text string")
+    cfg = G.FusionConfig()
+    whole, langs = G.all_scores(df, "text", counts, cfg)
+    want = {r.k: r["_text"] for r in whole.collect()}
+    monkeypatch.setattr(G, "BLOCK_LANGUAGES", 2)
+    assert sorted(map(tuple, G.learn(labelled, "text", "lang").collect())) == sorted(map(tuple, counts.collect()))
+    cut, same = G.all_scores(df, "text", counts, cfg)
+    assert langs == same == sorted(STEMS)
+    got = {r.k: r["_text"] for r in cut.collect()}
+    assert all(got[k].n == want[k].n and np.allclose(got[k].ll, want[k].ll) for k in want)
+
+
+def test_tags_are_primary_subtags_and_any_number_of_languages_works(spark, stored):
+    tags = ["EN", "en-US", "en", " en_GB", "", "-", "e1", "averylongtag", None]
+    rows = [(i, "some words", t) for i, t in enumerate(tags)]
+    names = [f"{a}{b}" for a in "abcdefghijklm" for b in "abcdefghijklm"]
+    rows += [(100 + i, f"{x}{x}k {x}vu {x}{x}k", x) for i, x in enumerate(names)]
+    df = stored(rows, "doc_id long, text string, lang string").selectExpr("*", "'s' as source")
+    got = {r["row"].doc_id: r for r in G.identify_documents(df).collect()}
+    assert len(got) == len(rows) and len(names) > G.BLOCK_LANGUAGES
+    assert all(got[i].text_lang == "en" for i in range(len(tags)))
+    assert sum(got[100 + i].text_lang == x for i, x in enumerate(names)) > 0.95 * len(names)
+
+
+def test_texts_of_no_known_language_are_not_accepted(spark, stored):
+    rnd = random.Random(3)
+    rows = [(i, text(x, 60, i), x) for i in range(40) for x in STEMS]
+    rows += [(100 + i, " ".join("".join(rnd.choices("qxzkwvj", k=6)) for _ in range(40)), "aa") for i in range(3)]
+    rows += [(200, "これはにほんごのぶんしょうです " * 20, "bb"), (201, text("aa", 40, 7) + " qxzkwvj", "aa")]
+    df = stored(rows, "doc_id long, text string, lang string").selectExpr("*", "'s' as source")
+    learnt = df.where("doc_id < 100")
+    counts = G.learn(learnt, "text", "lang")
+    scored, langs = G.all_scores(df.withColumnRenamed("lang", "declared").withColumn("host", G.F.lit("s")), "text", counts, G.FusionConfig())
+    ev = scored.selectExpr("doc_id", "declared", "host", "host as domain", "cast(null as string) as suffix", "_text.n", "_text.ll")
+    ok = {r.doc_id: r.accepted for r in G.fuse(ev, ev, langs, G.FusionConfig()).collect()}
+    assert [k for k, v in ok.items() if not v] and sorted({k for k, v in ok.items() if not v}) == [100, 101, 102, 200]
 
 
 def test_documents_keep_their_columns(spark, stored):
