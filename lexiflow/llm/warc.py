@@ -160,10 +160,13 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     return _read(spark, path, True)
 
 
-def resolve_revisits(headers: DataFrame, min_bytes: int = 0) -> DataFrame:
+def resolve_revisits(headers: DataFrame, min_bytes: int = 0, id_type: str = "bigint") -> DataFrame:
     """Per record: ``file, idx, original_id, original_page, original_url``;
-    the original is null for what stays a response."""
-    order = F.struct(F.col("page_id").isNull().alias("no_id"), F.col("page_id").cast("long").alias("pid"),
+    the original is null for what stays a response. Archives hold ids as strings:
+    ``id_type`` is the type whose order tells which is smallest (ids that are not of that
+    type come after those that are, by their strings; null comes last)."""
+    pid = F.col("page_id").try_cast(id_type)
+    order = F.struct(F.col("page_id").isNull().alias("no_id"), pid.isNull().alias("other"), pid.alias("pid"),
                      "page_id", "record_id", "url")
     big = headers.where(F.col("payload_bytes") >= min_bytes)
     first = big.groupBy("payload_digest").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -209,7 +212,8 @@ def deduplicate_pages(pages: DataFrame, id_col: str = "page_id", url_col: str =
     spark = pages.sparkSession
     raw, out = scratch_path(spark, "warc"), scratch_path(spark, "warc-deduplicated")
     per_file = write_archives(pages, raw, id_col, url_col, html_col)
-    revisits = write_table(resolve_revisits(read_headers(spark, raw), min_bytes), "revisits")
+    kind = dict(pages.select(F.col(id_col).alias("id")).dtypes)["id"]
+    revisits = write_table(resolve_revisits(read_headers(spark, raw), min_bytes, kind), "revisits")
     write_deduplicated(read_records(spark, raw), revisits, per_file, out)
     back = write_table(read_headers(spark, out), "warc-headers")
     full = back.where("record_type = 'response'")
@@ -217,7 +221,6 @@ def deduplicate_pages(pages: DataFrame, id_col: str = "page_id", url_col: str =
                          F.col("payload_bytes").alias("full_bytes"))
     seen = back.where("record_type = 'revisit'").join(source, "refers_to_record", "left")
     cols = ["page_id", "payload_digest", "record_type"]
-    kind = dict(pages.select(F.col(id_col).alias("id")).dtypes)["id"]
     rows = full.select(*cols, "payload_bytes", F.lit(None).cast("string").alias("refers_to")).unionByName(
         seen.select(*cols, F.col("full_bytes").alias("payload_bytes"), "refers_to"))
     return rows.select(F.col("page_id").cast(kind).alias(id_col), "payload_bytes", "payload_digest", "record_type",

@@ -48,5 +48,25 @@ def test_records_keep_payloads(spark, stored, tmp_path):
     assert got == sorted((str(i), (h or "").encode()) for i, _, h in ROWS)
 
 
+def test_ids_of_other_types(spark, stored):
+    df = stored([("b2", "u", "x"), ("b10", "u", "x"), ("10", "u", "x"), (None, "u", "x"), ("9", "u", "y")],
+                "page_id string, url string, html string")
+    got = {r.page_id: (r.record_type, r.refers_to) for r in W.deduplicate_pages(df)[0].collect()}
+    assert got == {"10": ("response", None), "b10": ("revisit", "10"), "b2": ("revisit", "10"), None: ("revisit", "10"),
+                   "9": ("response", None)}
+    heads = stored([("f", i, p, f"r{p}", "d", 3) for i, p in enumerate(["b2", "10", "9", None])],
+                   "file string, idx long, page_id string, record_id string, payload_digest string, payload_bytes long")
+    heads = heads.selectExpr("*", "'u' as url")
+    assert {r.original_page for r in W.resolve_revisits(heads).collect()} == {"9"}
+    assert {r.original_page for r in W.resolve_revisits(heads, id_type="string").collect()} == {"10"}
+
+
+def test_one_very_long_payload(spark, stored):
+    body = "word " * 4_000_000
+    df = stored([(1, "u", body), (2, "u", body), (3, "u", "x")], "page_id long, url string, html string", 1)
+    got = {r.page_id: (r.record_type, r.payload_bytes) for r in W.deduplicate_pages(df)[0].collect()}
+    assert got == {1: ("response", len(body)), 2: ("revisit", len(body)), 3: ("response", 1)}
+
+
 def test_empty_table(spark, stored):
     assert W.deduplicate_pages(stored([], "page_id long, url string, html string", 1))[0].count() == 0
