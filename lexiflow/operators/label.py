@@ -2,7 +2,8 @@
 
 The whole job is narrow: every decision for a sentence (selected or not, how
 many typos, which words, which typo per copy) is an expression over that
-sentence's own row, so the plan has no Exchange and scales with the scan.
+sentence's own row, so the plan has no Exchange and scales with the scan. Only a stop
+list too long for an expression (``stop_table``) is joined.
 """
 
 from __future__ import annotations
@@ -17,7 +18,9 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..functions import typo as TY
 from ..functions.draw import draw_hash, scaled, threshold, word32
+from ..session import broadcast_if_small, write_table
 from ..sources import io as IO
+from .encode import ROW_KEY, with_row_key
 
 DETECT, CORRECT = 0, 1
 LABEL_COLUMNS = ("sentence", "input", "output", "task", "num_tokens")
@@ -84,10 +87,22 @@ def sample_positions(valid_idx: Column, k: Column, seed: int, key: Column) -> Co
     return F.transform(F.slice(ranked, F.lit(1), k), lambda s: s["i"])
 
 
+def stop_positions(df: DataFrame, min_chars: int, stop_table: DataFrame) -> DataFrame:
+    """Add ``_stop``: positions of ``_words`` that hold a word of ``stop_table`` (column
+    ``word``). The list is broadcast within the checked bounds and shuffled beyond
+    them; equal rows (same ``_key`` and words) are looked up together."""
+    part = with_row_key(df, "_key", F.col("_words")).repartition(ROW_KEY)
+    words = part.select(ROW_KEY, F.posexplode("_words").alias("_i", "word")).where(TY.valid_word(F.col("word"), min_chars))
+    hits = words.join(broadcast_if_small(stop_table.select("word")), "word", "left_semi")
+    found = hits.groupBy(ROW_KEY).agg(F.collect_set("_i").alias("_stop"))
+    out = part.join(found, ROW_KEY, "left").drop(ROW_KEY)
+    return out.withColumn("_stop", F.coalesce("_stop", F.array().cast("array<int>")))
+
+
 def plan_typos(df: DataFrame, text_col: str, cfg: LabelConfig, key_col: str | None = None,
-               keep: Sequence[str] = ()) -> DataFrame:
+               keep: Sequence[str] = (), stop_table: DataFrame | None = None) -> DataFrame:
     """Per sentence (>= 5 chars): ``_words``, ``_key``, ``_chosen`` (null if no
-    typo) and the ``keep`` columns."""
+    typo) and the ``keep`` columns. ``stop_table``: more stop words (``word``), any number."""
     TY.check_min_chars(cfg.min_num_characters)
     key = F.col(key_col) if key_col else sentence_key(F.col(text_col))
     base = (df.where(F.length(text_col) >= MIN_SENTENCE_CHARS)
@@ -96,6 +111,9 @@ def plan_typos(df: DataFrame, text_col: str, cfg: LabelConfig, key_col: str | No
     stop = list(cfg.stop_words)
     valid_idx = F.filter(F.sequence(F.lit(0), F.size("_words") - 1),
                          lambda i: TY.valid_word(F.get(F.col("_words"), i), cfg.min_num_characters, stop))
+    if stop_table is not None:
+        base = stop_positions(base, cfg.min_num_characters, stop_table)
+        valid_idx = F.array_except(valid_idx, F.col("_stop"))
     with_valid = base.select("*", valid_idx.alias("_valid"))
     selected = word32(draw_hash(cfg.seed, F.col("_key"), "sel"), 0) < F.lit(threshold(cfg.typo_probability))
     n_valid = F.size("_valid")
@@ -105,21 +123,22 @@ def plan_typos(df: DataFrame, text_col: str, cfg: LabelConfig, key_col: str | No
 
 
 def label_rows(df: DataFrame, text_col: str = "sentence", cfg: LabelConfig = LabelConfig(),
-               key_col: str | None = None, with_id: bool = False, keep: Sequence[str] = ()) -> DataFrame:
+               key_col: str | None = None, with_id: bool = False, keep: Sequence[str] = (),
+               stop_table: DataFrame | None = None) -> DataFrame:
     """Unprompted label rows ``sentence, task, input, output`` (G2/G3) and the
     ``keep`` columns of their sentence.
 
     ``with_id`` adds ``example_id`` = ``key:copy:task`` (copy -1 for a row
     without typos), unique per row even when two copies come out equal. Keys
-    default to the sentence's digest, so lines that repeat share their draws and
-    ids; give ``key_col`` (a row key) where they must differ.
+    default to the sentence's digest, so sentences that repeat share their draws
+    and ids; give ``key_col`` (a row key) where they must differ.
 
     Not selected, or no valid word: one detect row (s, s, s). Otherwise
     ``data_multiple`` copies, each one detect row (s, typo, marked typo) and
     one correct row (s, marked typo, marked s); copies share positions and
     draw their typos anew. Equal copies are kept.
     """
-    planned = plan_typos(df, text_col, cfg, key_col, keep)
+    planned = plan_typos(df, text_col, cfg, key_col, keep, stop_table)
     copies = F.when(F.col("_chosen").isNotNull(), F.sequence(F.lit(0), F.lit(cfg.data_multiple - 1)))
     fanned = planned.select("*", F.explode_outer(copies).alias("_copy"))
     typo_words = F.transform(F.col("_words"), lambda w, i: F.when(
@@ -183,10 +202,11 @@ def budget_tokens(rows: DataFrame, max_length: int, counter=T.count_tokens) -> D
 
 def label_sentences(df: DataFrame, text_col: str = "sentence", cfg: LabelConfig = LabelConfig(),
                     key_col: str | None = None, with_id: bool = False,
-                    counter=T.count_tokens, keep: Sequence[str] = ()) -> DataFrame:
+                    counter=T.count_tokens, keep: Sequence[str] = (),
+                    stop_table: DataFrame | None = None) -> DataFrame:
     """JOB3 rows ``sentence, input, output, task, num_tokens`` (prompted,
     budgeted) and the ``keep`` columns."""
-    rows = tag_tasks(label_rows(df, text_col, cfg, key_col, with_id, keep), cfg)
+    rows = tag_tasks(label_rows(df, text_col, cfg, key_col, with_id, keep, stop_table), cfg)
     cols = list(LABEL_COLUMNS) + list(keep) + ([EXAMPLE_ID] if with_id else [])
     return budget_tokens(rows, cfg.max_length, counter).select(*cols)
 
@@ -198,21 +218,27 @@ def union_rows(first: DataFrame, *more: DataFrame) -> DataFrame:
     return first
 
 
-#: A stop-word file is a short list given by the user; it becomes part of the plan.
-MAX_STOP_WORDS = 100_000
+#: A stop-word file of at most so many words becomes part of the plan; a longer one is
+#: joined. Both give the same rows.
+PLAN_STOP_WORDS = 10_000
 
 
 def label_files(spark, lines_path: str, csv_path: str, config_path: str, cfg: LabelConfig = LabelConfig(),
                 stop_words_path: str | None = None, counter=T.count_tokens) -> DataFrame:
     """JOB3 from file to file: read a line file (and a stop-word file), label its
     sentences, write them as CSV and the prompt config beside; returns what was
-    written. More than ``MAX_STOP_WORDS`` stop words are an error."""
+    written. Every line has draws of its own, also one that repeats (the key is the
+    line's place in its file). The stop-word file may hold any number of words."""
+    stop_table = None
     if stop_words_path is not None:
-        words = [r.word for r in IO.read_stop_words(spark, stop_words_path).where("word <> ''").distinct().take(MAX_STOP_WORDS + 1)]
-        if len(words) > MAX_STOP_WORDS:
-            raise ValueError(f"{stop_words_path} holds more than {MAX_STOP_WORDS} stop words")
-        cfg = replace(cfg, stop_words=tuple(sorted({*cfg.stop_words, *words})))
-    rows = label_sentences(IO.read_lines(spark, lines_path, "sentence"), "sentence", cfg, counter=counter)
+        stop = write_table(IO.read_stop_words(spark, stop_words_path).where("word <> ''").distinct(), "stop-words")
+        words = [r.word for r in stop.limit(PLAN_STOP_WORDS + 1).collect()]
+        if len(words) > PLAN_STOP_WORDS:
+            stop_table = stop
+        else:
+            cfg = replace(cfg, stop_words=tuple(sorted({*cfg.stop_words, *words})))
+    lines = IO.read_numbered_lines(spark, lines_path, "sentence", "line_key")
+    rows = label_sentences(lines, "sentence", cfg, "line_key", counter=counter, stop_table=stop_table)
     IO.write_csv(rows, csv_path)
     IO.write_prompt_config(spark, config_path, cfg.prompt_config())
     return IO.read_csv(spark, csv_path, rows.schema)

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from ..functions.text import strip_space
+from ..session import broadcast_if_small, write_table
 
 # The strings pandas.read_csv turns into missing values by default.
 PANDAS_NULL_TOKENS = (
@@ -67,6 +68,27 @@ def read_lines(spark: SparkSession, path: str, out_col: str = "sentence") -> Dat
     return raw.select(*rest, strip_space(F.col("value")).alias(out_col))
 
 
+def read_numbered_lines(spark: SparkSession, path: str, out_col: str = "sentence", key_col: str = "line_key") -> DataFrame:
+    """``read_lines`` with ``key_col``, the identity of each line: a digest of its file's
+    path and its number in the file, the same however the files are split.
+
+    The lines are written once with their split and their order in it; the lines of the
+    splits before (one count per split, so a small table) are added to that order.
+    """
+    raw = spark.read.text(path)
+    rest = [c for c in raw.columns if c != "value"]
+    src = raw.select(*rest, "value", F.col("_metadata.file_path").alias("_file"),
+                     F.col("_metadata.file_block_start").alias("_start"),
+                     F.monotonically_increasing_id().alias("_at"))
+    lines = write_table(src, "lines")
+    splits = lines.groupBy("_file", "_start").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_file").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select("_file", "_start", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_add"))
+    numbered = lines.join(broadcast_if_small(write_table(splits, "line-splits")), ["_file", "_start"])
+    key = F.md5(F.concat_ws(":", "_file", (F.col("_at") + F.col("_add")).cast("string")))
+    return numbered.select(*rest, strip_space(F.col("value")).alias(out_col), key.alias(key_col))
+
+
 def read_stop_words(spark: SparkSession, path: str | None) -> DataFrame:
     """Stripped stop words. No path means no stop words; a path that cannot be
     read is an error."""
