@@ -22,8 +22,11 @@ Scale: all of it is column expressions, explode and equi-joins. The benchmark's
 shingles are broadcast while their measured size allows it, else shuffled. Only
 documents with a hit are read again for their windows, and only windows with a
 fingerprint match reach the exact comparison. A document's windows stay within
-its own row until they are distinct, so a passage that a third of all documents
-share costs each of them a few rows, and no two documents are ever compared.
+its own row until they are distinct (windows of equal shingles, as told by a 64-bit hash
+of them, count once, so a text that repeats itself has few), so a passage that a third
+of all documents share costs each of them a few rows, and no two documents are ever
+compared. The index is probed with fingerprints alone; shingles are joined to what it
+found.
 
 Edge cases: null and empty texts and items have no words and match nothing; a
 document shorter than an item is compared whole; repeated rows (equal id and
@@ -106,10 +109,16 @@ def block_masks() -> list[int]:
 
 def numbered(sh: Column) -> Column:
     """Shingles told apart by their occurrence number, so that multisets can be
-    compared as sets."""
-    again = F.transform(sh, lambda h, i: F.xxhash64(h, F.size(F.filter(F.slice(sh, 1, i), lambda x: x == h))))
+    compared as sets. Equal shingles lie together in the sorted array, so each run
+    of them is numbered on its own: the time is that of the sort."""
     first = F.transform(sh, lambda h: F.xxhash64(h, F.lit(0)))
-    return F.when(F.size(F.array_distinct(sh)) == F.size(sh), first).otherwise(again)
+
+    def runs(s: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
+        return let(starts, lambda at: F.flatten(F.transform(at, lambda p, j: F.transform(
+            F.sequence(F.lit(0), F.coalesce(F.get(at, j + 1), F.size(s)) - p - 1), lambda k: F.xxhash64(F.get(s, p), k)))))
+
+    return F.when(F.size(F.array_distinct(sh)) == F.size(sh), first).otherwise(let(F.sort_array(sh), runs))
 
 
 def benchmark_items(benchmark: DataFrame, cfg: LeakConfig, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -137,6 +146,27 @@ def _windows(docs: DataFrame, items: DataFrame, cfg: LeakConfig) -> DataFrame:
     return hit.groupBy("doc_id", "th").agg(F.collect_set(F.struct(start.alias("start"), "size")).alias("windows"))
 
 
+def _distinct_windows(h: Column, windows: Column, k: int) -> Column:
+    """Windows of one document with their shingles; of windows of one size with equal
+    shingles (a passage that repeats itself) the first alone."""
+    n_words = lambda w: F.least(w["size"], F.size(h) - w["start"])
+
+    def cut(s: Column) -> Column:
+        def sh(w: Column) -> Column:
+            out = F.slice(s, w["start"] + 1, F.greatest(n_words(w) - k + 1, F.lit(0)))
+            for j in range(1, k):
+                out = F.when(w["size"] == j, F.array(F.xxhash64(F.lit(j), *[F.get(h, w["start"] + i) for i in range(j)]))).otherwise(out)
+            return out
+
+        signed = F.transform(windows, lambda w: F.struct(
+            F.xxhash64(w["size"], F.sort_array(sh(w))).alias("sig"), w["start"].alias("start"), w["size"].alias("size")))
+        one = let(F.sort_array(signed), lambda a: F.filter(a, lambda w, i: (i == 0) | (w["sig"] != F.get(a, i - 1)["sig"])))
+        return F.transform(one, lambda w: F.struct(
+            w["start"].alias("start"), w["size"].alias("size"), n_words(w).alias("n_words"), sh(w).alias("sh")))
+
+    return let(shingles(h, k), cut)
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                cfg: LeakConfig = LeakConfig()) -> DataFrame:
     """``doc_id, th`` (a hash of the text, which tells rows of one id apart),
@@ -154,19 +184,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     both = again.join(placed.select(F.col("doc_id").alias("_d"), F.col("th").alias("_t"), "windows"),
                       F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_t"))).drop("_d", "_t")
     both = _hashed(both, "text").select("doc_id", "th", "_h", "windows")
-    both = both.withColumn("_s", shingles(F.col("_h"), cfg.shingle))
-    k, h = cfg.shingle, F.col("_h")
-    n_words = lambda w: F.least(w["size"], F.size(h) - w["start"])
-
-    def sh(w: Column) -> Column:
-        out = F.slice(F.col("_s"), w["start"] + 1, F.greatest(n_words(w) - k + 1, F.lit(0)))
-        for j in range(1, k):
-            out = F.when(w["size"] == j, F.array(F.xxhash64(F.lit(j), *[F.get(h, w["start"] + i) for i in range(j)]))).otherwise(out)
-        return out
-
-    cut = both.select("doc_id", "th", F.explode(F.transform("windows", lambda w: F.struct(
-        w["start"].alias("start"), w["size"].alias("size"), n_words(w).alias("n_words"), sh(w).alias("sh")))).alias("w"))
-    windows = cut.select("doc_id", "th", "w.*").where(F.size("sh") > 0).withColumn("fp", simhash(F.col("sh")))
+    cut = both.select("doc_id", "th", F.explode(_distinct_windows(F.col("_h"), F.col("windows"), cfg.shingle)).alias("w"))
+    windows = write_table(cut.select("doc_id", "th", "w.*").where(F.size("sh") > 0).withColumn(
+        "fp", simhash(F.col("sh"))), "window-prints")
     # multi-index: eight probes per window, items entered with all near values of each block
     masks = F.array(*[F.lit(m) for m in block_masks()])
 
@@ -177,7 +197,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     entries = F.flatten(F.array(*[near_values(b) for b in range(BLOCKS)]))
     index = items.select("item_id", "size", F.col("fp").alias("item_fp"), F.explode(entries).alias("e")).select(
         "item_id", "size", "item_fp", "e.b", "e.v")
-    probes = windows.select("doc_id", "th", "start", "size", "n_words", "sh", "fp", F.explode(F.array(*[
+    probes = windows.select("doc_id", "th", "start", "size", "n_words", "fp", F.explode(F.array(*[
         F.struct(F.lit(b).alias("b"), block(F.col("fp"), b).alias("v")) for b in range(BLOCKS)])).alias("p"))
     probes = probes.select("*", "p.b", "p.v").drop("p")
     near = probes.join(broadcast_if_small(write_table(index, "item-index")), ["size", "b", "v"])
@@ -186,9 +206,16 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     first = functools.reduce(lambda x, b: F.when(
         F.bit_count(block(F.col("fp"), b).bitwiseXOR(block(F.col("item_fp"), b))) <= BLOCK_RADIUS, F.lit(b)).otherwise(x),
         reversed(range(BLOCKS)), F.lit(-1))
-    near = near.where((gap <= RADIUS) & (F.col("b") == first)).withColumn("hamming", gap)
-    exact = near.join(broadcast_if_small(items.select("item_id", F.col("size").alias("_size"), F.col("sh").alias("item_sh"))),
-                      "item_id")
+    near = near.where((gap <= RADIUS) & (F.col("b") == first)).select(
+        F.col("doc_id").alias("_d"), F.col("th").alias("_t"), F.col("start").alias("_at"), F.col("size").alias("_n"),
+        "item_id", gap.alias("hamming")).distinct()
+    # the shingles join only what the index found
+    near = broadcast_if_small(write_table(near, "near"))
+    exact = windows.select("doc_id", "th", "start", "size", "n_words", "sh").join(
+        near, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_t"))
+        & (F.col("start") == F.col("_at")) & (F.col("size") == F.col("_n")))
+    exact = exact.join(broadcast_if_small(items.select("item_id", F.col("size").alias("_size"), F.col("sh").alias("item_sh"))),
+                       "item_id")
     exact = exact.select("doc_id", "th", "item_id", "start", "n_words", "hamming",
                          numbered(F.col("sh")).alias("a"), numbered(F.col("item_sh")).alias("z"))
     exact = exact.withColumn("both", F.size(F.array_intersect("a", "z")))

@@ -97,3 +97,36 @@ def test_native(spark, stored):
     plan = D.find_leaks(stored([(1, "a b c d e f")], "doc_id long, text string", 1),
                         stored([(1, "a b c d e f")], "item_id long, text string", 1))._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas|Cartesian|NestedLoop", plan)
+
+
+def test_numbered_tells_occurrences_apart(spark, stored):
+    from pyspark.sql import functions as F
+    rnd = random.Random(6)
+    rows = [(i, [rnd.randrange(m) for _ in range(n)]) for i, (n, m) in enumerate(
+        [(1, 1), (2, 1), (7, 2), (50, 5), (300, 1), (300, 40), (20, 10**9)])]
+    df = stored(rows, "k int, sh array<long>", 1)
+    got = {r.k: r.x for r in df.select("k", D.numbered(F.col("sh")).alias("x")).collect()}
+    for k, sh in rows:
+        assert len(set(got[k])) == len(sh) == len(got[k])
+    pairs = df.select("k", "sh", F.transform("sh", lambda h: F.xxhash64(h, F.lit(0))).alias("first")).collect()
+    for r in pairs:  # the first occurrence of each shingle is in, and equal multisets give equal sets
+        assert set(r["first"]) <= set(got[r.k])
+    shuffled = stored([(k, rnd.sample(sh, len(sh))) for k, sh in rows], "k int, sh array<long>", 1)
+    ids = {r.k: set(r.x) for r in shuffled.select("k", D.numbered(F.col("sh")).alias("x")).collect()}
+    assert ids == {k: set(x) for k, x in got.items()}
+
+
+def test_texts_that_repeat_themselves(spark, stored):
+    """The windows of a long repetitive text are told apart by their shingles."""
+    items = [(1, "la " * 200), (2, "la " * 150), (3, "do re mi " * 60), (4, "fa so " * 20 + "la ti " * 20)]
+    docs = [(1, "la " * 4000), (2, "do re mi " * 1500), (3, "fa so " * 300 + "la ti " * 300), (4, "la " * 140),
+            (5, "ti do " * 2000), (1, "la " * 4000)]
+    df = stored(docs, "doc_id long, text string")
+    bench = stored(items, "item_id long, text string", 1)
+    got = sorted((str(r.doc_id), r.item_id, r.start, r.n_words, round(r.similarity, 9)) for r in D.find_leaks(df, bench).collect())
+    assert got == brute(docs, items)
+    placed = spark.range(1).selectExpr("transform(sequence(0, 3999), i -> 7L) AS h",
+                                       "transform(sequence(0, 3800), i -> struct(i AS start, 200 AS size)) AS w")
+    from pyspark.sql import functions as F
+    w = placed.select(D._distinct_windows(F.col("h"), F.col("w"), 5).alias("w")).first().w
+    assert [(x.start, x.size, x.n_words, len(x.sh)) for x in w] == [(0, 200, 200, 196)]
