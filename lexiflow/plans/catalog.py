@@ -155,7 +155,8 @@ def q_prepare_sentences(spark, sf_dir):
 # ---------------------------------------------------------------- JOB2 parts
 
 from ..operators import split as SP  # noqa: E402
-from ..sources import io as IO  # noqa: E402
+from ..sources import io as IO
+from ..sources.csv_split import read_csv_split  # noqa: E402
 from ..session import scratch_path, write_table  # noqa: E402
 
 SEED = 2330
@@ -245,6 +246,14 @@ def q_csv_scan(spark, sf_dir):
     return IO.read_csv(spark, path, d.schema)
 
 
+@query("csv_scan_split")
+def q_csv_scan_split(spark, sf_dir):
+    d = documents(spark, sf_dir)
+    path = scratch_path(spark, "documents-csv")
+    IO.write_csv(d, path)
+    return read_csv_split(spark, path, d.schema)
+
+
 # ---------------------------------------------------------------- JOB3 parts
 
 from ..functions import draw as D  # noqa: E402

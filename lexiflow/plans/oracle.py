@@ -134,6 +134,8 @@ ORACLE["csv_sink"] = f"WITH {sentence_table_ctes()} SELECT * FROM st"
 
 ORACLE["csv_scan"] = "SELECT * FROM documents"
 
+ORACLE["csv_scan_split"] = "SELECT * FROM documents"
+
 
 # ---------------------------------------------------------------- JOB3 parts
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -25,8 +26,9 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
              null_tokens=PANDAS_NULL_TOKENS, multi_line: bool = True) -> DataFrame:
     """Header CSV with quoted multi-line fields; pandas' null tokens become null.
 
-    A file with line breaks inside fields cannot be split, so each file is one
-    task; ``multi_line=False`` lets Spark split large files that have none.
+    Spark's reader does not split a file with line breaks inside fields, so each
+    file is one task; ``csv_split.read_csv_split`` reads large ones in many tasks, and
+    ``multi_line=False`` lets Spark split files that have no such breaks.
     All fields are read as text first (Spark's reader knows one null token
     only), tokens are nulled, then fields are cast to ``schema``.
     """
@@ -35,6 +37,11 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
         reader = reader.schema(
             T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields]))
     raw = reader.csv(path)
+    return null_and_cast(raw, schema, null_tokens)
+
+
+def null_and_cast(raw: DataFrame, schema: T.StructType | None, null_tokens) -> DataFrame:
+    """Text columns as read -> null tokens nulled, then cast to ``schema``."""
     tokens = list(null_tokens)
     cols = []
     for name in raw.columns:
@@ -52,9 +59,19 @@ def write_csv(df: DataFrame, path: str) -> None:
      .csv(path))
 
 
-def write_lines(df: DataFrame, text_col: str, path: str, partition_col: str | None = None) -> None:
-    """One value per line, in no particular order of files; one directory per ``partition_col`` value when given."""
+def write_lines(df: DataFrame, text_col: str, path: str, partition_col: str | None = None,
+                order_by: Sequence[str] = ()) -> None:
+    """One value per line; one directory per ``partition_col`` value when given.
+
+    With ``order_by`` the files of a directory, read by name, give the rows in that order:
+    rows are range-partitioned and sorted by it. The input is written first, as the range
+    sampling would run it twice. Without it files are in no particular order.
+    """
     cols = [text_col] + ([partition_col] if partition_col else [])
+    if order_by:
+        keys = [*([partition_col] if partition_col else []), *order_by]
+        df = write_table(df.select(*dict.fromkeys([*cols, *keys])), "lines-to-sort")
+        df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     w = df.select(*cols).write.mode("overwrite")
     if partition_col:
         w = w.partitionBy(partition_col)
