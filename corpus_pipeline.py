@@ -40,8 +40,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 6: pieces of the remaining documents in windows of 4096 tokens."""
-    return packing.pack_documents(docs, tokenizer_path())
+    """Operator 6: pieces of the remaining documents in windows of 4096 tokens, with their ids."""
+    return packing.pack_documents(docs, tokenizer_path(), with_ids=True)
 
 
 STAGES = [("language", language), ("quality", quality), ("near_duplicates", near_duplicates),

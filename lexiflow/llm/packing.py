@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import write_table
+from ..session import broadcast_if_small, write_table
 from .common import bounded_batches, row_ids
 from .words import WordTable, runs
 
@@ -245,6 +245,11 @@ def pack_documents(df: DataFrame, tokenizer_path: str, cfg: PackConfig = PackCon
     offset`` (and ``ids``). ``df`` must be a stored table (see ``row_ids``)."""
     src = row_ids(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")))
     pieces = write_table(document_pieces(src, tokenizer_path, cfg, with_ids), "pieces")
-    placed = place_pieces(pieces, cfg)
-    cols = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + (["ids"] if with_ids else [])
-    return placed.select(F.col("id").alias(id_col), *cols)
+    cols = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    if not with_ids:
+        return place_pieces(pieces, cfg).select(F.col("id").alias(id_col), *cols)
+    # ids stay out of the groups' tasks and meet their places at the end
+    placed = write_table(place_pieces(pieces.drop("ids"), cfg).withColumnRenamed("rid", "_r").withColumnRenamed("start", "_s"), "places")
+    found = pieces.select("rid", "start", "ids").join(
+        broadcast_if_small(placed), (F.col("rid") == F.col("_r")) & (F.col("start") == F.col("_s")))
+    return found.select(F.col("id").alias(id_col), *cols, "ids")
