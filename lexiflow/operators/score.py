@@ -12,7 +12,7 @@ from ..functions import text as T
 from ..session import checkpoint_dir
 from . import correct as CO
 from .predict import Predictor, StripPromptPredictor, batch_predict  # noqa: F401
-from .encode import EOS_ID, PAD_ID, encode_words, with_eos
+from .encode import EOS_ID, PAD_ID, encode_columns, with_eos
 
 # ------------------------------------------------------------------ M3 as predictor
 
@@ -28,8 +28,7 @@ def vocab_predict(df: DataFrame, id_col: str, input_col: str, task_col: str, voc
     words = T.split_words(F.col(input_col))
     n = F.when(F.col(task_col) == 0, F.lit(n_det)).otherwise(F.lit(n_cor))
     body = F.slice(words, n + 1, F.greatest(F.size(words) - n, F.lit(0)))
-    base = df.select("*", body.alias("_w"))
-    flagged = CO.word_flags(base, id_col, "_w", vocab, cfg)
+    flagged = CO.word_flags(df, id_col, F.struct(input_col, task_col), body, "_w", vocab, cfg)
     pred = F.when(F.col(task_col) == 0, CO.detect_output(F.col("_w"), F.col("_flags"), cfg)).otherwise(
         CO.correct_output(F.col("_w"), F.col("_flags"), cfg))
     return flagged.select(*df.columns, pred.alias(out_col))
@@ -74,8 +73,7 @@ def score_test_set(labels: DataFrame, id_col: str, vocab: DataFrame, cfg: CO.Cor
         pred = vocab_predict(labels, id_col, "input", "task", vocab, cfg)
     else:
         pred = batch_predict(labels, "input", predictor, "prediction")
-    coded = encode_words(pred, id_col, "prediction", vocab, "_pred_ids")
-    coded = encode_words(coded, id_col, "output", vocab, "_out_ids")
+    coded = encode_columns(pred, id_col, {"prediction": "_pred_ids", "output": "_out_ids"}, vocab)
     return score_rows(coded, "_pred_ids", "_out_ids", max_length).drop("_pred_ids", "_out_ids")
 
 
