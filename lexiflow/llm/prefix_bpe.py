@@ -15,10 +15,11 @@ the stored tokens back from the end gives the ids.
   merge to the next; on the right the same with left halves. The pairs that are there
   at the same time are looked up, from the last moment back to the first.
 
-Scale: a narrow job without a shuffle. Texts are cut at single blanks, which no
-pre-token reaches over from the left, and every worker keeps the ids of words in a
-table bounded in bytes, so the programme runs once per word, not per occurrence. Its
-time is linear in a word's length, so a text of one endless word is no special case.
+Scale: a narrow job without a shuffle. Every worker keeps the ids of pre-tokens in a
+table bounded in bytes, so the programme runs once per pre-token, not per occurrence. Its
+time is linear in a pre-token's length, so a text of one endless word is no special case.
+Texts are cut into pre-tokens by a compiled pattern; words with a character of which the
+library's version of Unicode may think otherwise are cut by the library.
 
 Edge cases: a null text is taken as empty; an empty text has no ids, and its digests
 are those of the empty string. Strings of special tokens inside texts become their
@@ -32,6 +33,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import unicodedata
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -41,8 +43,8 @@ from pyspark.sql import functions as F
 from .common import bounded_batches
 from .words import BLANK, WordTable, short_runs
 
-WORD_BYTES = 160 << 20
-PIECE_BYTES = 48 << 20
+WORD_BYTES = 48 << 20
+PIECE_BYTES = 160 << 20
 PAIRS = 1 << 19
 NEVER = 1 << 40
 
@@ -50,6 +52,26 @@ NEVER = 1 << 40
 ASCII_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.ASCII)
 
 
+#: White space that is not a separator by its Unicode category.
+CONTROL_SPACE = frozenset("\t\n\v\f\r\x85")
+
+
+def unicode_patterns() -> tuple[re.Pattern, re.Pattern]:
+    """The pre-token pattern for texts of settled characters, and a pattern for any other
+    character. Settled: in the basic plane and since Unicode 3.2 a letter, a number, white
+    space or neither, so that no version that a library may have thinks otherwise."""
+    settled: dict[str, list[str]] = {"L": [], "N": [], "Z": [], "": []}
+    for c in map(chr, range(0x10000)):
+        was, now = ("Z" if c in CONTROL_SPACE else u.category(c) for u in (unicodedata.ucd_3_2_0, unicodedata))
+        kinds = {x[0] if x[0] in settled else "" for x in (was, now)}
+        if len(kinds) == 1 and not {was, now} & {"Cn", "Cs"}:
+            settled[kinds.pop()].append(c)
+    letter, number, space, other = (re.escape("".join(x)) for x in settled.values())
+    piece = (f"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{number}]+| ?[{other}]+"
+             f"|[{space}]+(?![^{space}])|[{space}]+")
+    return re.compile(piece), re.compile(f"[^{letter}{number}{space}{other}]")
+
+
 def byte_letters() -> dict[str, int]:
     """Letter of the byte alphabet -> byte: bytes that show stand for themselves, the
     others, in order, are the letters from 256 on."""
@@ -182,12 +204,14 @@ class PrefixEncoder:
 
     def encode_pieces(self, pieces: Iterable[bytes]) -> Iterator[tuple[bytes, list[int]]]:
         """Each pre-token with its ids, in the order of their bytes: what is known of a
-        prefix serves all pre-tokens that begin with it."""
+        prefix serves all pre-tokens that begin with it. The last token of a prefix is looked
+        for when a longer one asks for it, the whole pre-token first."""
         moves, link, length = self.automaton.next, self.automaton.link, self.automaton.length
         size_of, pairs, ends = self.size, self.known_pairs, self.ends
-        last: list[int] = []  # the last token of each prefix
-        state: list[int] = []  # of the automaton, after each prefix
-        held: list[int] = []  # length of the longest end that it stands for
+        # by length of the prefix
+        last = [-1]  # its last token (-1: not looked for yet)
+        state = [0]  # of the automaton
+        held = [0]  # length of the longest end that the state stands for
         before = b""
         for piece in sorted(pieces):
             i = 0
@@ -195,45 +219,54 @@ class PrefixEncoder:
                 if x != y:
                     break
                 i += 1
-            del last[i:], state[i:], held[i:]
-            s, n = (state[-1], held[-1]) if i else (0, 0)
-            for i in range(i, len(piece)):
-                c = piece[i]
+            del state[i + 1:], held[i + 1:], last[i + 1:]
+            s, n = state[i], held[i]
+            for c in piece[i:]:
                 move = moves[s]
                 while c not in move:
                     s = link[s]
                     n, move = length[s], moves[s]
                 s = move[c]
                 n += 1
-                full = s if n == length[s] else link[s]
+                state.append(s)
+                held.append(n)
+            last += [-1] * (len(piece) - i)
+            asked = [len(piece)] if piece else []
+            while asked:
+                i = asked[-1]
+                s = state[i]
+                full = s if held[i] == length[s] else link[s]
                 for t, size in ends.get(full) or self._ends(full):
-                    if size > i:
+                    if size == i:
                         break
                     a = last[i - size]
+                    if a < 0:
+                        asked.append(i - size)
+                        break
                     known = pairs.get(a << 32 | t)
                     if known or (known is None and self.compatible(a, t)):
                         break
                 else:
                     raise AssertionError("every prefix has a last token")
-                last.append(t)
-                state.append(s)
-                held.append(n)
+                if asked[-1] == i:
+                    last[i] = t
+                    asked.pop()
             before = piece
             out, i = [], len(piece)
             while i:
-                out.append(last[i - 1])
-                i -= size_of[out[-1]]
-            yield piece, out[::-1]
+                t = last[i]
+                out.append(t)
+                i -= size_of[t]
+            out.reverse()
+            yield piece, out
 
     def encode_piece(self, piece: bytes) -> list[int]:
         """Ids of one pre-token."""
         return next(self.encode_pieces([piece]))[1]
 
-    def pieces(self, word: str) -> list[bytes]:
-        """Pre-tokens of a word, as bytes."""
-        if word.isascii():
-            return [p.encode() for p in ASCII_PIECE.findall(word)]
-        return [bytes(map(self.letters.__getitem__, p)) for p, _ in self.pre.pre_tokenize_str(word)]
+    def pieces(self, word: str) -> list[str]:
+        """Pre-tokens of a word, as the library cuts it."""
+        return [bytes(map(self.letters.__getitem__, p)).decode() for p, _ in self.pre.pre_tokenize_str(word)]
 
     def sections(self, text: str) -> Iterator[tuple[str, int | None]]:
         """Stretches between special tokens, and the special tokens with their ids."""
@@ -247,42 +280,57 @@ class PrefixEncoder:
 
 
 class TextEncoder:
-    """Encodes batches of texts: each new word once, each new pre-token of these once."""
+    """Encodes batches of texts: each new pre-token of these once."""
 
     def __init__(self, path: str, word_bytes: int = WORD_BYTES, piece_bytes: int = PIECE_BYTES):
         self.enc = PrefixEncoder(path)
+        self.settled, self.unsettled = unicode_patterns()
+        # pre-tokens of words that the library cuts; ids of pre-tokens
         self.words, self.pieces = WordTable(word_bytes), WordTable(piece_bytes)
 
-    def _learn(self, words: set[str]) -> None:
-        """Decimal ids, joined by commas, of words that are not in the table yet."""
-        cut = {w: self.enc.pieces(w) for w in words}
-        self.pieces.make_room()
-        new = {p for p in set().union(*cut.values()) if p not in self.pieces}
-        for p, ids in self.enc.encode_pieces(new):
-            self.pieces[p] = text = ",".join(map(str, ids))
-            self.pieces.bytes += 240 + len(p) + len(text)  # key, value, slot
-        for w, own in cut.items():
-            self.words[w] = text = ",".join(map(self.pieces.__getitem__, own))
-            self.words.bytes += 240 + 4 * len(w) + len(text)
+    def _cut(self, text: str) -> list[str]:
+        """Pre-tokens of a stretch without special tokens."""
+        if text.isascii():
+            return ASCII_PIECE.findall(text)
+        if not self.unsettled.search(text):
+            return self.settled.findall(text)
+        out: list[str] = []
+        first, *rest = BLANK.split(text)
+        for w in [first, *[" " + x for x in rest]]:
+            if not self.unsettled.search(w):
+                out += self.settled.findall(w)
+                continue
+            own = self.words.get(w)
+            if own is None:
+                self.words.make_room()
+                own = self.words[w] = self.enc.pieces(w)
+                self.words.bytes += 300 + 4 * len(w) + sum(80 + 4 * len(p) for p in own)
+            out += own
+        return out
+
+    def _learn(self, pieces: Iterable[str]) -> None:
+        """Decimal ids, joined by commas, of pre-tokens that are not in the table yet."""
+        for p, ids in self.enc.encode_pieces([p.encode() for p in pieces]):
+            piece = p.decode()
+            self.pieces[piece] = text = ",".join(map(str, ids))
+            self.pieces.bytes += 240 + 4 * len(piece) + len(text)  # key, value, slot
 
     def encode(self, texts: list[str]) -> Iterator[str]:
         """Decimal ids, joined by commas, of each text."""
-        self.words.make_room()
-        split: list[list[str]] = []
+        self.pieces.make_room()
+        split: list[list[str | bytes]] = []
         for text in texts:
-            words: list[str] = []
+            pieces: list[str | bytes] = []
             for part, special in self.enc.sections(text):
-                if special is not None:
-                    words.append(part)
-                    self.words[part] = str(special)
-                    continue
-                first, *rest = BLANK.split(part)
-                words += [first] if first else []
-                words += [" " + w for w in rest]
-            split.append(words)
-        self._learn({w for w in set().union(*split) if w not in self.words})
-        for words in split:
-            yield ",".join(map(self.words.__getitem__, words))
+                if special is None:
+                    pieces += self._cut(part)
+                else:  # as bytes, which no pre-token is
+                    pieces.append(part.encode())
+                    self.pieces[pieces[-1]] = str(special)
+            split.append(pieces)
+        self._learn(set().union(*split).difference(self.pieces))
+        for pieces in split:
+            yield ",".join(map(self.pieces.__getitem__, pieces))
 
 
 _loaded: dict[str, TextEncoder] = {}

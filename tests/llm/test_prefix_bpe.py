@@ -126,3 +126,30 @@ def test_documents(spark, sf_dir, stored):
 def test_small_word_tables_change_nothing():
     small = B.TextEncoder(PATH, word_bytes=1, piece_bytes=1)
     assert [list(small.encode([t])) for t in ODD] == [list(ENC.encode([t])) for t in ODD]
+
+
+def test_settled_characters_are_cut_as_the_library_does():
+    settled, other = B.unicode_patterns()
+    chars = [c for c in map(chr, range(0x10000)) if not other.search(c)]
+    assert len(chars) > 40_000 and other.search("😀") and other.search("\u200b")
+    for start in range(0, len(chars), 500):
+        text = "".join(f"a{c}1{c}{c}. {c} b  {c}'s" for c in chars[start:start + 500])
+        assert settled.findall(text) == ENC.enc.pieces(text)
+
+
+def test_each_pre_token_is_learned_once(monkeypatch):
+    enc, learned = B.TextEncoder(PATH), []
+    run = enc.enc.encode_pieces
+    monkeypatch.setattr(enc.enc, "encode_pieces", lambda pieces: run(learned.extend(pieces) or pieces))
+    texts = ["étude, étude. (étude) étude; 'étude'", "étude: étude! 😀étude étude😀 étude"]
+    for _ in range(2):
+        for text in texts:
+            assert [int(i) for i in next(enc.encode([text])).split(",")] == library(text)
+    assert len(learned) == len(set(learned)) and set(enc.words) == {" 😀étude", " étude😀"}
+
+
+def test_prefixes_are_looked_at_only_when_asked_for(monkeypatch):
+    enc, asked = B.PrefixEncoder(PATH), set()
+    monkeypatch.setattr(enc, "_ends", lambda s, run=enc._ends: asked.add(s) or run(s))
+    word = " international"
+    assert enc.encode_piece(word.encode()) == library(word) and len(asked) < len(word)
