@@ -208,7 +208,8 @@ def text_scores(df: DataFrame, text_col: str, langs: list[str], table: np.ndarra
                         ll[which[first], i] += np.add.reduceat(columns[i][bucket], first)
             yield pd.DataFrame({"n": n, "ll": list(ll)})
 
-    return df.withColumn(out, score(F.col(text_col)))
+    # as "nondeterministic", a filter on the result does not score every text a second time
+    return df.withColumn(out, score.asNondeterministic()(F.col(text_col)))
 
 
 # ------------------------------------------------------------------ evidence

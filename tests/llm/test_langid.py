@@ -139,3 +139,12 @@ def test_documents_keep_their_columns(spark, stored):
     kept = got.where("accepted").select("row.*")
     assert kept.columns == df.columns and kept.count() == 30
     assert got.where("accepted and lang <> row.lang").count() == 0
+
+
+def test_a_filter_on_the_result_does_not_score_texts_again(stored):
+    docs = stored([(i, ["the house is here", "das haus ist hier"][i % 2], ["en", "de"][i % 2], "a.org") for i in range(20)],
+                  "doc_id long, text string, lang string, source string")
+    kept = G.identify_documents(docs).where("accepted").select("row.*")
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython [") == 1
+    assert sorted(kept.collect()) == sorted(docs.collect())
