@@ -21,11 +21,15 @@ like any other; an empty table gives no rows.
 from __future__ import annotations
 
 import heapq
+import json
 import os
+import re
 import struct
 import zlib
+from codecs import charmap_decode
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import filterfalse
 
 import numpy as np
 import pandas as pd
@@ -35,10 +39,19 @@ from pyspark.sql import functions as F
 
 from ..session import broadcast_if_small, write_table
 from .common import bounded_batches, row_ids
+from .prefix_bpe import byte_letters
 from .words import WordTable, runs
 
 WORD_BYTES = 192 << 20
 ENDING = b".,;:!?)"  # marks that are a pre-token of their own behind a letter a-z
+#: Latin letters, all of them single code points in normal form, and ASCII marks but the apostrophe.
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+#: The rules of a tokenizer file for which a word of that form is its letters, made small, and its marks.
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
 
 
 @dataclass(frozen=True)
@@ -54,24 +67,87 @@ class PackConfig:
 _loaded: dict[str, tuple] = {}
 
 
-def _load(path: str):
-    if path not in _loaded:
+class WordModel:
+    """Ids of words (little-endian, unsigned 32-bit) by a tokenizer file.
+
+    Most of the library's time for a word goes into its normalizer and pre-tokenizer. A word of
+    Latin letters and marks behind them (``PLAIN``) is two pre-tokens whose form is known:
+    the letters made small, and the marks. If the file has the rules for which that holds,
+    the library's model is asked for the letters at once; other words take the whole way.
+    """
+
+    def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        _loaded[path] = (Tokenizer.from_file(path), WordTable(WORD_BYTES))
+        self.tok = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        self.model = self.tok.model
+        self.plain = (spec["normalizer"] == NORMALIZER and spec["pre_tokenizer"] == PRE_TOKENIZER and not spec["truncation"]
+                      and not spec["post_processor"] and all(t["content"].startswith("<|") for t in spec["added_tokens"]))
+        self.packed = [struct.pack("<I", i) for i in range(max(self.tok.get_vocab().values()) + 1)]
+        # the letter of the byte alphabet for each byte, as codecs take it
+        self.letters = "".join(c for c, _ in sorted(byte_letters().items(), key=lambda x: x[1]))
+
+    def letter_ids(self, core: str) -> bytes:
+        """Ids of a pre-token of small Latin letters."""
+        if not core.isascii():
+            core = charmap_decode(core.encode(), "strict", self.letters)[0]
+        return b"".join([self.packed[t.id] for t in self.model.tokenize(core)])
+
+    def learn(self, words: list[bytes], table: WordTable) -> None:
+        """Ids of words, none of them in the table, into the table."""
+        rest = []
+        for w in words:
+            m = PLAIN.fullmatch(w.decode("utf-8")) if self.plain else None
+            if m is None:
+                rest.append(w)
+                continue
+            if w in table:  # the letters of another word
+                continue
+            core, marks = m.groups()
+            if not marks:
+                enter(table, w, self.letter_ids(core.lower()))
+                continue
+            letters, marks = w[:-len(marks)], w[-len(marks):]
+            if letters not in table:
+                enter(table, letters, self.letter_ids(core.lower()))
+            if marks not in table:
+                self.learn_whole([marks], table)
+            enter(table, w, table[letters] + table[marks])
+        ended: dict[bytes, tuple[bytes, bytes]] = {}
+        whole = set()
+        for w in rest:
+            core = w.rstrip(ENDING)
+            if len(core) < len(w) and core and 97 <= core[-1] <= 122:
+                ended[w] = core, w[len(core):]
+                whole.update(ended[w])
+            else:
+                whole.add(w)
+        self.learn_whole([w for w in whole if w not in table], table)
+        for w, (core, marks) in ended.items():
+            enter(table, w, table[core] + table[marks])
+
+    def learn_whole(self, words: list[bytes], table: WordTable) -> None:
+        """The same by normalizer, pre-tokenizer and model of the library."""
+        for i in range(0, len(words), 5000):
+            part = words[i:i + 5000]
+            for w, e in zip(part, self.tok.encode_batch_fast([w.decode("utf-8") for w in part], add_special_tokens=False)):
+                enter(table, w, struct.pack(f"<{len(e.ids)}I", *e.ids))
+
+
+def enter(table: WordTable, word: bytes, ids: bytes) -> None:
+    table[word] = ids
+    table.bytes += 200 + len(word) + len(ids)
+
+
+def _load(path: str) -> tuple[WordModel, WordTable]:
+    if path not in _loaded:
+        _loaded[path] = (WordModel(path), WordTable(WORD_BYTES))
     return _loaded[path]
 
 
-def _learn(words: list[bytes], tok, table: WordTable) -> None:
-    """Ids of words, little-endian, into the table."""
-    for i in range(0, len(words), 5000):
-        part = words[i:i + 5000]
-        for w, e in zip(part, tok.encode_batch_fast([w.decode("utf-8") for w in part], add_special_tokens=False)):
-            table[w] = ids = struct.pack(f"<{len(e.ids)}I", *e.ids)
-            table.bytes += 200 + len(w) + len(ids)
-
-
 def encode_texts(texts: list[bytes | None], path: str) -> list[bytes]:
     """Ids of each UTF-8 text as little-endian unsigned 32-bit, no special
     tokens added.
@@ -82,23 +158,10 @@ def encode_texts(texts: list[bytes | None], path: str) -> list[bytes]:
     small, so words are compared without A-Z, unless a special token may be near; marks
     behind a letter a-z are pre-tokens of their own, so such a word is its two parts.
     """
-    tok, table = _load(path)
+    model, table = _load(path)
     table.make_room()
     split = [(t if b"<|" in t else t.lower()).split() if t else [] for t in texts]
-    new = [w for w in set().union(*split) if w not in table]
-    ended: dict[bytes, tuple[bytes, bytes]] = {}
-    whole = set()
-    for w in new:
-        core = w.rstrip(ENDING)
-        if len(core) < len(w) and core and 97 <= core[-1] <= 122:
-            ended[w] = core, w[len(core):]
-            whole.update(ended[w])
-        else:
-            whole.add(w)
-    _learn([w for w in whole if w not in table], tok, table)
-    for w, (core, marks) in ended.items():
-        table[w] = ids = table[core] + table[marks]
-        table.bytes += 200 + len(w) + len(ids)
+    model.learn(list(filterfalse(table.__contains__, set().union(*split))), table)
     return [b"".join(map(table.__getitem__, words)) for words in split]
 
 

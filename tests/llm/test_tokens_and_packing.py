@@ -1,4 +1,5 @@
 import collections
+import json
 import random
 import zlib
 
@@ -51,6 +52,49 @@ def test_long_words_by_queues_equal_the_library(letters, monkeypatch):
     assert MERGER.count_words(words) == want
 
 
+LATIN = [chr(c) for c in (*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC0, 0x100))]  # with the signs × and ÷
+MARKS = [chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum()]
+
+
+def test_latin_words_equal_the_library(monkeypatch):
+    """Letters with every mark behind them, before them and between them, and what looks like such words."""
+    rnd = random.Random(6)
+    words = LATIN + ["a" + c for c in LATIN] + [w + m for w in ("the", "Übel", "école") for m in MARKS]
+    words += ["".join(rnd.choices(LATIN, k=rnd.randint(1, 12))) + "".join(rnd.choices(MARKS, k=rnd.randint(0, 4))) for _ in range(2000)]
+    words += [m + "it" + n + "s" for m in ["", *MARKS] for n in MARKS] + ["e\u0301te\u0301", "a\u0300.", "ªº", "µm", "İi", "x1", "'s", "s'", "<|endoftext|>.", "A<|b"]
+    for size in (1, 100, len(words)):
+        monkeypatch.setattr(K, "_loaded", {})
+        for i in range(0, len(words), size):
+            part = words[i:i + size]
+            got = K.encode_texts([w.encode() for w in part] + [" ".join(part).encode()], PATH)
+            assert [np.frombuffer(x, "<u4").tolist() for x in got] == [ids(w) for w in part] + [ids(" ".join(part))]
+            if i > 300:
+                break
+
+
+def test_plain_words_skip_normalizer_and_pre_tokenizer(monkeypatch):
+    """Most of the time of a new word went there."""
+    whole = []
+    learn = K.WordModel.learn_whole
+    monkeypatch.setattr(K, "_loaded", {})
+    monkeypatch.setattr(K.WordModel, "learn_whole", lambda self, words, table: (whole.extend(words), learn(self, words, table)))
+    text = " ".join(f"{a}{b}ñé{c}" for a in "abcdefgh" for b in ("on", "Über", "st") for c in ("", ",", ".&&&", "%%%"))
+    assert np.frombuffer(K.encode_texts([text.encode()], PATH)[0], "<u4").tolist() == ids(text)
+    assert sorted(whole) == [b"%%%", b",", b".&&&"]
+
+
+def test_a_tokenizer_of_other_rules_goes_the_whole_way(tmp_path):
+    """Without the lower-casing, letters are not made small."""
+    spec = json.loads(TOK.to_str())
+    spec["normalizer"] = {"type": "NFC"}
+    path = str(tmp_path / "other.json")
+    with open(path, "w", encoding="utf-8") as f:
+        json.dump(spec, f)
+    other = Tokenizer.from_file(path)
+    got = K.encode_texts(["École, über".encode()], path)
+    assert np.frombuffer(got[0], "<u4").tolist() == other.encode("École, über", add_special_tokens=False).ids
+
+
 def test_a_word_of_a_million_letters():
     rnd = random.Random(5)
     word = "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=1_000_000))
