@@ -1,9 +1,12 @@
 import collections
 import math
+import types
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from lexiflow.llm import log_frequency_lm as L
@@ -42,6 +45,36 @@ def test_base_is_exact(spark, stored, cfg):
     assert all(r.score <= 0 and math.isfinite(r.score) for r in got)
 
 
+def test_tokens_are_numbered_without_an_object_each(monkeypatch):
+    """What a batch costs in Python follows its distinct words, not all of them."""
+    texts = [*TEXTS, " ", "\n", "\x0b a\x1cb\x85 \x0c", "  Zz  ", "É\u2003é\u00a0x", "A" * 70000, "the cat " * 5000, None]
+    seen = []
+    monkeypatch.setattr(L, "xxhash", types.SimpleNamespace(xxh64_intdigest=lambda w: (seen.append(w), xxhash.xxh64_intdigest(w))[1]))
+    whole = pa.array(["cut off", *texts, "cut off"])
+    for part in (texts, texts[:1], [""], [" "], []):
+        for column in (pa.array(part, pa.string()), whole.slice(1, len(part)) if part[:2] == texts[:2] else pa.array(part, pa.large_string())):
+            seen.clear()
+            h, at, lens = L.token_ids(column)
+            want = [tok(t) for t in part]
+            assert lens.tolist() == [len(x) for x in want]
+            assert h[at].tolist() == [xxhash.xxh64_intdigest(w) for x in want for w in x]
+            assert len(seen) == len(set(seen)) == len(h) and set(seen) - {b""} == {w for x in want for w in x} | {b"\n"}
+            assert seen[-1] == b"\n"
+
+
+def test_counts_of_batches_add_up(spark, stored):
+    """Every word and pair once, with its count."""
+    df = stored([(i, TEXTS[i % len(TEXTS)]) for i in range(200)], "doc_id long, text string").select("text")
+    want = collections.Counter()
+    for (t,) in df.collect():
+        h = [xxhash.xxh64_intdigest(w) for w in tok(t)]
+        want.update((False, x) for x in h)
+        pairs = L.pairs_of(np.array(h, np.uint64), np.array([len(h)]))
+        want.update((True, int(x)) for x in pairs)
+    got = [(r.pair, r.h % (1 << 64), r.n) for r in L.count_ngrams(df).collect()]
+    assert len(got) == len(want) and {x[:2]: x[2] for x in got} == want
+
+
 def test_filter_gives_levels_back():
     rng = np.random.default_rng(0)
     h = np.unique(rng.integers(0, 1 << 63, 30000).astype(np.uint64) * np.uint64(2))
