@@ -12,7 +12,7 @@ from ..functions import text as T
 from ..session import checkpoint_dir
 from . import correct as CO
 from .predict import Predictor, StripPromptPredictor, batch_predict  # noqa: F401
-from .encode import EOS_ID, PAD_ID, encode_columns, with_eos
+from .encode import EOS_ID, PAD_ID, encode_columns, with_eos, word_index
 
 # ------------------------------------------------------------------ M3 as predictor
 
@@ -73,7 +73,7 @@ def score_test_set(labels: DataFrame, id_col: str, vocab: DataFrame, cfg: CO.Cor
         pred = vocab_predict(labels, id_col, "input", "task", vocab, cfg)
     else:
         pred = batch_predict(labels, "input", predictor, "prediction")
-    coded = encode_columns(pred, id_col, {"prediction": "_pred_ids", "output": "_out_ids"}, vocab)
+    coded = encode_columns(pred, id_col, {"prediction": "_pred_ids", "output": "_out_ids"}, vocab, word_index(vocab))
     return score_rows(coded, "_pred_ids", "_out_ids", max_length).drop("_pred_ids", "_out_ids")
 
 
