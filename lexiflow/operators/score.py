@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions.util import let
 from ..session import checkpoint_dir
 from . import correct as CO
 from .predict import Predictor, StripPromptPredictor, batch_predict  # noqa: F401
@@ -48,10 +49,12 @@ def exact_match(generated: Column, labels: Column, pad: int) -> Column:
     """Correct iff every non-pad label position equals the generated token one
     step later (the first generated token is the decoder start); missing
     generated tokens count as 0, extra ones are ignored."""
-    n = F.size(labels)
-    ok = F.forall(F.sequence(F.lit(0), n - 1), lambda i: (F.get(labels, i) == pad) | (
-        F.coalesce(F.get(generated, i + 1), F.lit(0).cast("bigint")) == F.get(labels, i)))
-    return F.when(n == 0, F.lit(True)).otherwise(ok)
+    def matches(gen, lab):
+        ok = F.forall(F.sequence(F.lit(0), F.size(lab) - 1), lambda i: (F.get(lab, i) == pad) | (
+            F.coalesce(F.get(gen, i + 1), F.lit(0).cast("bigint")) == F.get(lab, i)))
+        return F.when(F.size(lab) == 0, F.lit(True)).otherwise(ok)
+
+    return let(generated, lambda gen: let(labels, lambda lab: matches(gen, lab)))
 
 
 def score_rows(df: DataFrame, pred_ids: str, out_ids: str, max_length: int, model_max_length: int = 512,

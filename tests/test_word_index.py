@@ -6,6 +6,7 @@ import random
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from lexiflow.operators import correct as CO
 from lexiflow.operators import encode as EN
 from lexiflow.operators import score as SC
 from lexiflow.plans import catalog as C
@@ -74,3 +75,29 @@ def test_a_written_step_leaves_no_shuffle(spark):
     before = shuffles()
     write_table(spark.range(20_000).groupBy((F.col("id") % 999).alias("k")).agg(F.max("id")), "step")
     assert shuffles() <= before
+
+
+def test_scoring_shuffles_no_tokens(spark):
+    vocab = spark.createDataFrame([("a", 3, 9), ("b", 4, 9), ("spelling", 5, 9)], "word string, word_id long, freq long")
+    rows = [(1, "detect typo: a b speling", 0, "a b $ speling @"), (2, "correct typo: x $ speling @", 1, "x $ spelling @"), (3, "detect typo: a", 0, "b")]
+    df = spark.createDataFrame(rows, "id int, input string, task int, output string")
+    scored = SC.score_test_set(df, "id", vocab)
+
+    def moves(d):
+        return d._jdf.queryExecution().executedPlan().toString().count("REPARTITION_BY_COL")
+
+    assert moves(scored) == moves(SC.vocab_predict(df, "id", "input", "task", vocab))
+    assert {r.id: r.correct for r in scored.collect()} == {1: True, 2: True, 3: False}
+    # aggregated, the optimiser merges what makes the predictions with what reads their ids
+    assert tuple(SC.accuracy(scored).first())[:2] == (3, 2)
+
+
+def test_near_keys_tell_words_that_begin_alike(spark):
+    rnd = random.Random(8)
+    words = sorted({"begin" + "".join(rnd.choice("abcdefgh") for _ in range(6)) for _ in range(60)})
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    for d in (1, 2):
+        left = df.select(F.col("w").alias("l"), F.explode(CO.prefix_keys(F.col("w"), d, True)).alias("k"))
+        right = df.select(F.col("w").alias("r"), F.explode(CO.prefix_keys(F.col("w"), d, False)).alias("k"))
+        met = left.join(right, "k").where("l <> r").select("l", "r").distinct().count()
+        assert met < len(words) ** 2 / 5  # nearly all with keys of 5 letters
